@@ -1,0 +1,6 @@
+"""Left empty on purpose.
+
+The pipeline this package reproduces is batch only: it has no stream source, no
+watermark and no stateful operator. Late rows are handled by the as-of join,
+which finds the dimension version that was valid at the row's own date.
+"""
