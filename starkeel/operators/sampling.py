@@ -8,6 +8,8 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..lineage import cut
+
 _POSITION = "__position"
 # monotonically_increasing_id puts the partition above this bit and the row's
 # place inside the partition below it.
@@ -38,11 +40,10 @@ def number_in_order(
     offset. The placed rows are checkpointed, since a range shuffle may cut
     elsewhere when it runs again.
     """
-    placed = (
+    placed = cut(
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(_POSITION, F.monotonically_increasing_id())
-        .checkpoint()
     )
     part = F.shiftright(_POSITION, _PARTITION_BIT)
     # One row per shuffle partition: a count the session fixes, not the data.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.keys import as_date
+from ..lineage import staged
 from ..operators import quality
 from ..operators.conform import accepted, rejected
 from ..operators.dedup import latest
@@ -27,7 +28,6 @@ from ..operators.scd1 import scd1_init, scd1_upsert
 from ..operators.scd2 import scd2_apply, scd2_init
 from ..sources import catalog, facts, files, snapshots
 from ..sources.raw import read_raw
-from ..sources.stage import staged
 from .session import require_utc
 
 log = logging.getLogger(__name__)
@@ -48,10 +48,6 @@ class Curated:
     def quarantine(self, feed: str, day: dt.date) -> str:
         return files.join(self.root, "quarantine", feed, f"run_date={day.isoformat()}")
 
-    @property
-    def staging(self) -> str:
-        return files.join(self.root, "_staging")
-
 
 def _feed(
     spark: SparkSession, raw: str, zone: Curated, name: str, day: dt.date
@@ -116,7 +112,7 @@ def load_facts(
 ) -> None:
     """Append the day's orders and refresh the summary of the dates they touch."""
     feed = latest(_feed(spark, raw, zone, "orders", day), ["order_id"], ["order_date"])
-    with staged(feed, "orders", zone.staging) as orders:
+    with staged(feed, "orders") as orders:
         lo, hi = orders.agg(F.min("order_date"), F.max("order_date")).first()
         # Versions that ended before the first order of the batch cannot match:
         # the directories that hold them are not opened.
@@ -127,7 +123,7 @@ def load_facts(
             spark, zone.table("dim_products"), day, schemas.DIM_PRODUCTS
         )
         resolved = resolve_orders(orders, customers, products, rows_per_slice=rows_per_slice)
-        with staged(resolved, "resolved", zone.staging) as resolved:
+        with staged(resolved, "resolved") as resolved:
             unmatched(resolved).write.mode("overwrite").parquet(
                 zone.quarantine("unmatched_orders", day)
             )
