@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_ROW = "__row"
+_LAST = "__last"
 _SOURCE = "__source"
 
 
@@ -22,22 +21,26 @@ def _orderable(t: T.DataType) -> bool:
 
 
 def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Keep the row of each key that is last by ``order_by``.
+    """Keep the row of each key that is last by ``order_by``, NULLs first.
 
     Ties fall to the remaining columns, so equal inputs always give equal
-    outputs. Spark turns the ``= 1`` filter on ``row_number`` into a group limit
-    that already runs before the shuffle: each map task sends at most one row
-    per key, however often a key repeats.
+    outputs. The row is found as the largest struct of a key: an aggregate,
+    which combines on the map side and so sends at most one row per key and
+    task through the shuffle, however often a key repeats.
     """
     named = [*keys, *order_by]
-    rest = [f.name for f in df.schema if f.name not in named and _orderable(f.dataType)]
-    order = [F.col(c).desc_nulls_last() for c in [*order_by, *rest]]
-    by_key = W.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
-    return (
-        df.withColumn(_ROW, F.row_number().over(by_key))
-        .filter(F.col(_ROW) == 1)
-        .drop(_ROW)
-    )
+    rest = [f for f in df.schema if f.name not in named]
+    ranked = [*order_by, *[f.name for f in rest if _orderable(f.dataType)]]
+    carried = [f.name for f in rest if not _orderable(f.dataType)]
+    if not ranked and not carried:
+        return df.select(*keys).distinct()
+    if carried:
+        order = F.struct(*ranked) if ranked else F.lit(0)
+        last = F.max_by(F.struct(*ranked, *carried), order)
+    else:
+        last = F.max(F.struct(*ranked))
+    picked = df.groupBy(*keys).agg(last.alias(_LAST))
+    return picked.select(*[c if c in keys else f"{_LAST}.{c}" for c in df.columns])
 
 
 def pool(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import id_key
+from .merge import match
 
 _IN = "__in"
 
@@ -22,25 +23,22 @@ def scd1_init(batch: DataFrame, key: str, surrogate: str) -> DataFrame:
 
 
 def scd1_upsert(
-    history: DataFrame, batch: DataFrame, key: str, surrogate: str
+    history: DataFrame, batch: DataFrame, key: str, surrogate: str,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Batch rows replace or extend the dimension; nothing is deleted.
 
-    A batch row replaces the whole row, NULLs included. Both sides hold one row
-    per key, so the full outer join has no hot key.
+    A batch row replaces the whole row, NULLs included. ``small_batch`` spares
+    the dimension a shuffle, see :func:`.merge.match`.
     """
-    columns = [c for c in batch.columns if c != key]
-    h = history.alias("h")
-    n = batch.withColumn(_IN, F.lit(True)).alias("n")
-    joined = h.join(n, F.col(f"h.{key}") == F.col(f"n.{key}"), "full_outer")
+    pairs, _, sent = match(history, batch, key, small_batch)
     natural = F.coalesce(f"h.{key}", f"n.{key}")
-    in_batch = F.col(f"n.{_IN}").isNotNull()
-    return joined.select(
+    return pairs.select(
         id_key(natural).alias(surrogate),
         natural.alias(key),
         *[
-            F.when(in_batch, F.col(f"n.{c}")).otherwise(F.col(f"h.{c}")).alias(c)
-            for c in columns
+            F.when(sent, F.col(f"n.{c}")).otherwise(F.col(f"h.{c}")).alias(c)
+            for c in batch.columns if c != key
         ],
     )
 

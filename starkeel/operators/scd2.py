@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import day_start, open_end, version_key
+from .merge import match
 
-_IN = "__in"
 KEEP_HISTORY = "history"
 OVERWRITE = "overwrite"
 
@@ -81,35 +81,32 @@ def closed_rows(dim: DataFrame, spec: Scd2 = CUSTOMERS) -> DataFrame:
     return dim.filter(~F.col(spec.current))
 
 
-def _compare(current: DataFrame, batch: DataFrame, spec: Scd2):
-    """The one full outer join of a merge, and the conditions on its rows.
+def _compare(current: DataFrame, batch: DataFrame, spec: Scd2, small_batch: bool = False):
+    """The pairs of a merge and the conditions on them.
 
-    The current set and the batch hold one row per key each, so no key is hot.
     Comparison is null-safe: a value appearing or vanishing is a change.
     """
-    h = current.withColumn(_IN, F.lit(True)).alias("h")
-    n = batch.withColumn(_IN, F.lit(True)).alias("n")
-    joined = h.join(n, F.col(f"h.{spec.key}") == F.col(f"n.{spec.key}"), "full_outer")
-    stored, sent = F.col(f"h.{_IN}").isNotNull(), F.col(f"n.{_IN}").isNotNull()
+    pairs, stored, sent = match(current, batch, spec.key, small_batch)
     differs = reduce(
         Column.__or__,
         [~F.col(f"h.{c}").eqNullSafe(F.col(f"n.{c}")) for c in spec.tracked],
     )
-    return joined, stored, sent, stored & sent & differs
+    return pairs, stored, sent, stored & sent & differs
 
 
 def scd2_apply(
     current: DataFrame, batch: DataFrame, run_date: str | dt.date,
-    spec: Scd2 = CUSTOMERS,
+    spec: Scd2 = CUSTOMERS, small_batch: bool = False,
 ) -> DataFrame:
     """Merge a batch into the current versions.
 
     Returns the new current set and the versions closed by this run. Versions
     closed earlier take no part: they never change and need not be read. Each
     joined row becomes an array of its old and its new version, which ``inline``
-    turns back into rows, so both come out of a single join.
+    turns back into rows, so both come out of a single join. ``small_batch``
+    spares the current set a shuffle, see :func:`.merge.match`.
     """
-    joined, stored, sent, changed = _compare(current, batch, spec)
+    joined, stored, sent, changed = _compare(current, batch, spec, small_batch)
     run_ts = day_start(run_date)
     own_start = run_ts if spec.new_from == "run_date" else F.to_timestamp(f"n.{spec.start_from}")
     begin = F.when(stored, run_ts).otherwise(own_start)

@@ -34,6 +34,9 @@ log = logging.getLogger(__name__)
 
 # Orders of one customer or product beyond this many are split over tasks.
 ROWS_PER_SLICE = 2_000_000
+# A counted batch of up to this many rows (some tens of MB) is broadcast to the
+# dimension it changes; a larger one is joined by shuffling both.
+SMALL_BATCH_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -59,33 +62,45 @@ def _feed(
     return accepted(text, schema, required)
 
 
-def load_customers(spark: SparkSession, raw: str, zone: Curated, day: dt.date) -> None:
-    batch = latest(_feed(spark, raw, zone, "customers", day), ["customer_id"], ["updated_at"])
+def load_customers(
+    spark: SparkSession, raw: str, zone: Curated, day: dt.date,
+    small_batch_rows: int = SMALL_BATCH_ROWS,
+) -> None:
+    feed = latest(_feed(spark, raw, zone, "customers", day), ["customer_id"], ["updated_at"])
     root = zone.table("dim_customers")
     last = snapshots.latest_run(spark, root, before=day)
-    if last is None:
-        merged = scd2_init(batch)
-    else:
-        current = snapshots.read_run(spark, root, last, schemas.DIM_CUSTOMERS)
-        merged = scd2_apply(current, batch, day)
-    snapshots.write_run(
-        merged.select(*schemas.DIM_CUSTOMERS.names), root, day, schemas.DIM_CUSTOMERS,
-        schemas.SORTED_BY["dim_customers"],
-    )
+    with staged(feed, "customers") as batch:
+        if last is None:
+            merged = scd2_init(batch)
+        else:
+            current = snapshots.read_run(spark, root, last, schemas.DIM_CUSTOMERS)
+            small = batch.count() <= small_batch_rows
+            merged = scd2_apply(current, batch, day, small_batch=small)
+        snapshots.write_run(
+            merged.select(*schemas.DIM_CUSTOMERS.names), root, day, schemas.DIM_CUSTOMERS,
+            schemas.SORTED_BY["dim_customers"],
+        )
 
 
-def load_products(spark: SparkSession, raw: str, zone: Curated, day: dt.date) -> None:
-    batch = latest(_feed(spark, raw, zone, "products", day), ["product_id"], ["updated_at"])
+def load_products(
+    spark: SparkSession, raw: str, zone: Curated, day: dt.date,
+    small_batch_rows: int = SMALL_BATCH_ROWS,
+) -> None:
+    feed = latest(_feed(spark, raw, zone, "products", day), ["product_id"], ["updated_at"])
     root = zone.table("dim_products")
     last = snapshots.latest_run(spark, root, before=day)
-    if last is None:
-        merged = scd1_init(batch, "product_id", "product_key")
-    else:
-        stored = snapshots.read_run(spark, root, last, schemas.DIM_PRODUCTS)
-        merged = scd1_upsert(stored, batch, "product_id", "product_key")
-    snapshots.write_run(
-        merged, root, day, schemas.DIM_PRODUCTS, schemas.SORTED_BY["dim_products"]
-    )
+    with staged(feed, "products") as batch:
+        if last is None:
+            merged = scd1_init(batch, "product_id", "product_key")
+        else:
+            stored = snapshots.read_run(spark, root, last, schemas.DIM_PRODUCTS)
+            small = batch.count() <= small_batch_rows
+            merged = scd1_upsert(
+                stored, batch, "product_id", "product_key", small_batch=small
+            )
+        snapshots.write_run(
+            merged, root, day, schemas.DIM_PRODUCTS, schemas.SORTED_BY["dim_products"]
+        )
 
 
 def cover_dates(spark: SparkSession, zone: Curated, lo: dt.date, hi: dt.date) -> DataFrame:
@@ -151,6 +166,7 @@ def load_facts(
 def run_daily(
     spark: SparkSession, run_date: str | dt.date, raw: str, curated: str,
     rows_per_slice: int | None = ROWS_PER_SLICE, register: bool = False,
+    small_batch_rows: int = SMALL_BATCH_ROWS,
 ) -> Curated:
     """Customers, products, orders, summary: in this order, for one date.
 
@@ -160,8 +176,8 @@ def run_daily(
     """
     require_utc(spark)
     day, zone = as_date(run_date), Curated(curated)
-    load_customers(spark, raw, zone, day)
-    load_products(spark, raw, zone, day)
+    load_customers(spark, raw, zone, day, small_batch_rows)
+    load_products(spark, raw, zone, day, small_batch_rows)
     load_facts(spark, raw, zone, day, rows_per_slice)
     if register:
         for name in ("fact_orders", "summary_daily_sales"):
@@ -175,7 +191,7 @@ def run_daily(
 
 def backfill(
     spark: SparkSession, run_dates: Iterable[str | dt.date], raw: str, curated: str,
-    rows_per_slice: int | None = ROWS_PER_SLICE,
+    rows_per_slice: int | None = ROWS_PER_SLICE, small_batch_rows: int = SMALL_BATCH_ROWS,
 ) -> Curated:
     """Run several dates in order.
 
@@ -194,7 +210,9 @@ def backfill(
         )
     for day in days:
         log.info("running %s", day)
-        run_daily(spark, day, raw, curated, rows_per_slice)
+        run_daily(
+            spark, day, raw, curated, rows_per_slice, small_batch_rows=small_batch_rows
+        )
     return Curated(curated)
 
 

@@ -125,6 +125,14 @@ def test_the_latest_row_wins_whatever_the_order_of_arrival(spark):
         assert rows_of(latest(df, ["k"], ["at"]), "k", "v", "at") == expected
 
 
+def test_columns_without_an_order_are_carried_along(spark):
+    df = spark.createDataFrame(
+        [(1, 1, {"a": 1}), (1, 2, {"a": 2}), (2, 5, None)], "k int, at int, m map<string,int>"
+    )
+    assert rows_of(latest(df, ["k"], ["at"]), *df.columns) == [(1, 2, {"a": 2}), (2, 5, None)]
+    assert rows_of(latest(df.select("k"), ["k"], []), "k") == [(1,), (2,)]
+
+
 def test_updates_replace_base_rows(spark):
     base = spark.createDataFrame([(1, "old"), (2, "old")], "k int, v string")
     updates = spark.createDataFrame([(2, "new"), (3, "new")], "k int, v string")

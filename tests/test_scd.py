@@ -16,6 +16,7 @@ from starkeel.operators.scd2 import (
     Scd2,
     closed_rows,
     current_rows,
+    scd2_apply,
     scd2_classify,
     scd2_init,
     scd2_merge,
@@ -140,6 +141,35 @@ def test_replay_equals_merging_step_by_step(spark):
     assert closed_rows(step).count() > 0
 
 
+def test_a_broadcast_batch_gives_the_same_table(spark):
+    history = scd2_merge(
+        scd2_init(people(spark, *[person(i, f"{i % 3}") for i in range(30)])),
+        people(spark, *[person(i, f"{i % 2}") for i in range(0, 30, 2)]), "2026-06-02",
+    )
+    batch = people(
+        spark, *[person(i, None if i % 5 else f"{i % 4}", name="New") for i in range(20, 40)]
+    )
+    for untracked in ("history", OVERWRITE):
+        spec = Scd2(
+            CUSTOMERS.key, CUSTOMERS.surrogate, CUSTOMERS.attributes, CUSTOMERS.tracked,
+            CUSTOMERS.start_from, untracked=untracked,
+        )
+        current = current_rows(history)
+        shuffled, sent = (
+            scd2_apply(current, batch, "2026-06-03", spec, small_batch=small)
+            for small in (False, True)
+        )
+        assert sent.schema.names == shuffled.schema.names
+        assert rows_of(sent, "*") == rows_of(shuffled, "*")
+    old = scd1_init(items(spark, *[item(i) for i in range(9)]), "product_id", "product_key")
+    new = items(spark, *[item(i, "1.00", category=None) for i in range(5, 15)])
+    shuffled, sent = (
+        scd1_upsert(old, new, "product_id", "product_key", small_batch=small)
+        for small in (False, True)
+    )
+    assert rows_of(sent, "*") == rows_of(shuffled, "*") and sent.count() == 15
+
+
 def test_outcomes_name_every_key_once(spark):
     history = scd2_init(people(spark, person(1), person(2), person(3, None)))
     batch = people(spark, person(2, "moved"), person(3, None), person(4))
