@@ -23,10 +23,16 @@ def read_partitioned(
 def only_partitions(table: DataFrame, touched: DataFrame, by: str) -> DataFrame:
     """Rows of the partitions named in ``touched``, a frame of distinct values.
 
-    The semi-join prunes partitions at run time. What is broadcast is one value
-    per calendar day, under four million for all dates Spark can hold.
+    The range of the values prunes partitions when planning; the semi-join
+    prunes those in between at run time, which Spark does only for a side that
+    carries a filter. What is broadcast is one value per calendar day, under
+    four million for all dates Spark can hold.
     """
-    return table.join(F.broadcast(touched), by, "left_semi")
+    lo, hi = touched.agg(F.min(by), F.max(by)).first()
+    if lo is None:
+        return table.filter(F.lit(False))
+    within = F.col(by).between(lo, hi)
+    return table.filter(within).join(F.broadcast(touched.filter(within)), by, "left_semi")
 
 
 def append_new(
