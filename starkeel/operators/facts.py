@@ -32,7 +32,9 @@ def resolve_orders(
 
     With ``how='left'`` orders that find no partner stay, keys NULL, so that one
     pass serves both the fact and the quarantine. Of the dimensions only keys,
-    interval and price are carried through the shuffles.
+    interval and price are carried through the shuffles. With
+    ``rows_per_slice`` the orders are also scanned for hot keys, so they should
+    be a stored table and not a long computation.
     """
     placed = orders.select(*_ORDER_COLUMNS).withColumn(
         "created_at", F.to_timestamp("order_date")

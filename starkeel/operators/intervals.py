@@ -87,8 +87,8 @@ def interval_join(
         match = (F.col(f"f.{c}") == F.col(f"v.{c}")) & match
     joined = f.join(v, match, how)
     return joined.select(
-        *[F.col(f"f.{c}") for c in facts.columns],
-        *[F.col(f"v.{c}") for c in versions.columns if c != key],
+        *[f"f.{c}" for c in facts.columns],
+        *[f"v.{c}" for c in versions.columns if c != key],
     )
 
 

@@ -112,28 +112,28 @@ def scd2_apply(
     begin = F.when(stored, run_ts).otherwise(own_start)
 
     def kept(c: str) -> Column:
-        if spec.untracked == OVERWRITE:
-            refreshed = F.when(sent & ~changed, F.col(f"n.{c}"))
-            return refreshed.otherwise(F.col(f"h.{c}")).alias(c)
-        return F.col(f"h.{c}")
+        refreshed = F.when(sent & ~changed, F.col(f"n.{c}"))
+        return refreshed.otherwise(F.col(f"h.{c}")).alias(c)
 
+    follow = spec.untracked == OVERWRITE
+    updated = kept(spec.updated) if follow else F.col(f"h.{spec.updated}")
     old = F.struct(
-        F.col(f"h.{spec.surrogate}").alias(spec.surrogate),
-        F.col(f"h.{spec.key}").alias(spec.key),
-        *[kept(c).alias(c) for c in spec.attributes],
-        F.col(f"h.{spec.start}").alias(spec.start),
+        f"h.{spec.surrogate}",
+        f"h.{spec.key}",
+        *[kept(c) if follow else f"h.{c}" for c in spec.attributes],
+        f"h.{spec.start}",
         F.when(changed, run_ts).otherwise(F.col(f"h.{spec.end}")).alias(spec.end),
         (~changed).alias(spec.current),
-        F.when(changed, run_ts).otherwise(kept(spec.updated)).alias(spec.updated),
+        F.when(changed, run_ts).otherwise(updated).alias(spec.updated),
     )
     new = F.struct(
         version_key(F.col(f"n.{spec.key}"), begin).alias(spec.surrogate),
-        F.col(f"n.{spec.key}").alias(spec.key),
-        *[F.col(f"n.{c}").alias(c) for c in spec.attributes],
+        f"n.{spec.key}",
+        *[f"n.{c}" for c in spec.attributes],
         begin.alias(spec.start),
         open_end().alias(spec.end),
         F.lit(True).alias(spec.current),
-        F.col(f"n.{spec.updated}").alias(spec.updated),
+        f"n.{spec.updated}",
     )
     versions = F.array(F.when(stored, old), F.when(sent & (~stored | changed), new))
     # A missing version inlines as a row of NULLs; the flag is never NULL in a
