@@ -97,15 +97,21 @@ class Filters:
     languages: tuple[str, ...]
     slots: np.ndarray  # slots x words, uint64
 
+    def _places(self, grams: np.ndarray) -> Iterator[np.ndarray]:
+        size, step = _U(len(self.slots)), (grams >> _U(32)) | _U(1)
+        with np.errstate(over="ignore"):
+            for k in range(PROBES):
+                yield (T.mix(grams + _U(k) * step) % size).astype(np.int64)
+
+    def add(self, language: int, grams: np.ndarray) -> None:
+        for at in self._places(grams):
+            self.slots[at, language // 64] |= _U(1) << _U(language % 64)
+
     def members(self, grams: np.ndarray) -> np.ndarray:
         """Bit words of the languages that hold each n-gram."""
-        size = _U(len(self.slots))
-        step = (grams >> _U(32)) | _U(1)
         found = None
-        with np.errstate(over="ignore"):
-            for k in range(PROBES):
-                at = self.slots[(T.mix(grams + _U(k) * step) % size).astype(np.int64)]
-                found = at if found is None else found & at
+        for at in self._places(grams):
+            found = self.slots[at] if found is None else found & self.slots[at]
         return found
 
     def false_rate(self) -> np.ndarray:
@@ -162,14 +168,10 @@ def fit(docs: DataFrame) -> Filters:
     languages = tuple(sorted(grams))
     most = max((len(g) for g in grams.values()), default=1)
     slots = np.zeros((SLOTS_PER_GRAM * most, max(1, -(-len(languages) // 64))), dtype=np.uint64)
-    size = _U(len(slots))
+    filters = Filters(languages, slots)
     for i, lang in enumerate(languages):
-        step = (grams[lang] >> _U(32)) | _U(1)
-        with np.errstate(over="ignore"):
-            for k in range(PROBES):
-                at = (T.mix(grams[lang] + _U(k) * step) % size).astype(np.int64)
-                slots[at, i // 64] |= _U(1) << _U(i % 64)
-    return Filters(languages, slots)
+        filters.add(i, grams[lang])
+    return filters
 
 
 def _decide(filters: Filters, false_rate: np.ndarray, text: str | None, grams: np.ndarray) -> tuple[str, float]:

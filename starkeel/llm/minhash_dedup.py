@@ -11,10 +11,11 @@ be is thus decided by each region itself: where few signatures share a short
 prefix, neighbours meet at that depth, and where thousands do, only those
 with the longest common prefixes stand side by side.
 
-Candidates are confirmed on the full sets. Rounds follow until nothing is
-left: later ones pass over neighbours that are already in the same component,
-and widen the window fourfold wherever the neighbours at its end still share
-the prefix, so a dense region is searched to its end, whatever its size.
+Candidates are confirmed on the full sets. Rounds follow as long as one finds a
+link: each passes over neighbours that are already in the same component and
+looks twice as far beyond them, so in a dense region a document is compared
+with ever more of those it is not yet linked to. The number of candidates is
+in proportion to the number of documents in every round, whatever the groups.
 """
 
 from __future__ import annotations
@@ -118,13 +119,13 @@ def _forest(trees: int):
 
 
 def _alike(threshold: float) -> int:
-    """Equal sketch bits below which a pair cannot reach the threshold, five deviations off."""
+    """Equal sketch bits that a pair at the threshold falls below once in 30,000 times (four deviations)."""
     p = (1 + threshold) / 2
-    return int(HASHES * p - 5 * (HASHES * p * (1 - p)) ** 0.5)
+    return int(HASHES * p - 4 * (HASHES * p * (1 - p)) ** 0.5)
 
 
 def _neighbours(window: int, least_equal: int):
-    """Candidates among rows sorted by (tree, key), and nodes whose window ends inside a region.
+    """Candidates among rows sorted by (tree, key).
 
     A row is held against the ``window`` rows after the end of its run, a run
     being rows of one component. Rows that the following batches may still
@@ -155,18 +156,14 @@ def _neighbours(window: int, least_equal: int):
             region = np.cumsum(region)
             ends = np.flatnonzero(np.concatenate([component[1:] != component[:-1], [True]])) + 1
             run_end = ends[np.searchsorted(ends, np.arange(n), side="right")]
-            left, right, more = [], [], []
+            left, right = [], []
             for k in range(window):
                 i = np.flatnonzero(run_end + k < n)
                 j = run_end[i] + k
-                fits = (region[i] == region[j]) & (j >= old)
-                i, j = i[fits], j[fits]
-                if not len(i):
-                    if k:
-                        continue
+                same = region[i] == region[j]
+                if not same.any():
                     break
-                if k == window - 1:
-                    more.append(node[i])
+                i, j = i[same & (j >= old)], j[same & (j >= old)]
                 other = component[i] != component[j]
                 i, j = i[other], j[other]
                 equal = HASHES - np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1)
@@ -178,16 +175,10 @@ def _neighbours(window: int, least_equal: int):
             open_run = starts[np.searchsorted(ends, max(0, n - window), side="right")]
             begin = max(int(np.searchsorted(region, region[-1])), int(open_run), n - window - CARRIED)
             held = tuple(r[begin:] for r in rows)
-            found = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right, more)]
-            pairs = np.unique(np.stack([np.minimum(*found[:2]), np.maximum(*found[:2])]), axis=1)
-            dense = np.unique(found[2])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([pairs[0], dense])),
-                    pa.array(np.concatenate([pairs[1], dense]), mask=np.repeat([False, True], [pairs.shape[1], len(dense)])),
-                ],
-                ["u", "v"],
-            )
+            if left:
+                u, v = np.concatenate(left), np.concatenate(right)
+                pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["u", "v"])
 
     return run
 
@@ -221,9 +212,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     row without doc_id is linked with nothing, has no component and is kept. An empty table gives an empty
     result; other columns are not read.
 
-    Every pair with a link is a candidate with a probability of 1 - 10^-5 or
-    more at the threshold, and nearer to 1 above it; links are exact, on the
-    full sets as 64-bit hashes. Sets are only made for documents that have a
+    Links are exact, on the full sets as 64-bit hashes. A pair at the threshold
+    shares a prefix of ``LEAST_PREFIX`` in one of the orders with a probability
+    of 1 - 10^-7, more above it; see the README for the recall measured. Sets are only made for documents that have a
     candidate. A hot group costs one row per member and tree, its members are
     compared with their neighbours only, and its sort is split by key range.
     """
@@ -285,11 +276,10 @@ def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -> DataFrame:
     """Each linked node with the smallest node of its component (columns u, v)."""
-    spark = rows.sparkSession
     forest_schema = "tree int, key binary, node bigint, component bigint, sketch binary"
     least_equal = _alike(percent / 100)
-    none = spark.createDataFrame([], "u bigint, v bigint")
-    checked, links, star = none, none, none
+    star = rows.sparkSession.createDataFrame([], "u bigint, v bigint")
+    checked = sets = None
     members = classes.select("node", "signature")
     trees, window, round_ = FIRST_TREES, FIRST_WINDOW, 0
     while True:
@@ -300,35 +290,34 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
             .repartitionByRange("tree", "key", "node")
             .sortWithinPartitions("tree", "key", "component", "node")
         )
-        met = work.write(forest.mapInArrow(_neighbours(window, least_equal), "u bigint, v bigint"), f"met-{round_}")
-        new = met.filter("v is not null").distinct().join(checked, ["u", "v"], "left_anti")
+        new = forest.mapInArrow(_neighbours(window, least_equal), "u bigint, v bigint").distinct()
+        if checked is not None:
+            new = new.join(checked, ["u", "v"], "left_anti")
         new = work.write(new, f"new-{round_}")
-        if not new.isEmpty():
-            sets = work.write(_wanted_sets(rows, classes, new), f"sets-{round_}")
-            pairs = (
-                new.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("shingles_u")), "u")
-                .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("shingles_v")), "v")
-                .mapInArrow(_confirm(percent, 100), "u bigint, v bigint")
-            )
-            good = work.write(pairs, f"links-{round_}")
-            work.drop(f"sets-{round_}")
-            links = links.unionByName(good)
-            checked = checked.unionByName(new)
-            star = components(links, work, f"components-{round_}")
-        dense = met.filter("v is null").select(F.col("u").alias("node")).distinct()
-        if round_ == 0:
-            trees, window = TREES, WINDOW
+        nodes = new.select(F.col("u").alias("doc_id")).union(new.select("v")).distinct()
+        if sets is not None:
+            nodes = nodes.join(sets.select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
+        nodes = work.write(nodes, f"nodes-{round_}")
+        found = work.write(_shingle_sets(rows.join(nodes, "doc_id", "left_semi")), f"sets-{round_}")
+        sets = found if sets is None else sets.unionByName(found)
+        pairs = (
+            new.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("shingles_u")), "u")
+            .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("shingles_v")), "v")
+            .mapInArrow(_confirm(percent, 100), "u bigint, v bigint")
+        )
+        links = work.write(pairs, f"links-{round_}")
+        checked = new if checked is None else checked.unionByName(new)
+        if round_ and links.isEmpty():
+            return star
+        star = components(star.unionByName(links), work, f"components-{round_}")
+        if round_:
+            # Who has met nobody meets nobody later: only others' components grow.
+            members = classes.join(sets.select("node"), "node", "left_semi").select("node", "signature")
+            window *= 2
         else:
-            # Only where a window ended inside a region can there be more.
-            members = classes.join(dense, "node", "left_semi").select("node", "signature")
-            window *= 4
-            if dense.isEmpty() or window > 4**12:
-                return star
+            trees, window = TREES, WINDOW
         round_ += 1
 
 
-def _wanted_sets(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Shingle sets of the nodes in ``pairs``."""
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = rows.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    return wanted.select(F.col("doc_id").alias("node"), "text").mapInArrow(_sets, "node bigint, shingles binary")
+def _shingle_sets(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").alias("node"), "text").mapInArrow(_sets, "node bigint, shingles binary")

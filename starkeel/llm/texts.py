@@ -115,7 +115,7 @@ def shingles(hashes: np.ndarray, firsts: np.ndarray, width: int) -> list[np.ndar
     with np.errstate(over="ignore"):
         whole = np.zeros(max(0, n - width + 1), np.uint64)
         for k in range(width):
-            whole += hashes[k : n - width + 1 + k] * _PLACES[k]
+            whole += hashes[k : k + len(whole)] * _PLACES[k]
         whole = mix(whole)
         found = []
         for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
