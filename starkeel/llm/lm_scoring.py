@@ -45,6 +45,8 @@ CONTEXT = 8
 TRAIN_EVERY = 16
 BATCH = 32
 RATE = 0.01
+# Steps a segment takes at least: few windows are passed over again, shifted.
+LEAST_STEPS = 300
 SMOOTH = 0.1
 # Weight of the classes' shares in a row of the bigram table.
 PULL = 20
@@ -410,9 +412,17 @@ def _train(shared):
         for row in _rows(batches):
             stream, _ = _training(row, classes)
             before = np.concatenate([[0], stream[:-1]])
-            begins = np.arange(0, len(stream) - WINDOW, WINDOW * TRAIN_EVERY)
+            spaced = np.arange(0, len(stream) - WINDOW, WINDOW * TRAIN_EVERY)
+            passes = -(-LEAST_STEPS * BATCH // max(1, len(spaced)))
             # Not in the order of the text, so that a batch holds many texts.
-            begins = np.random.default_rng(11).permutation(begins)
+            rng = np.random.default_rng(11)
+            begins = np.concatenate(
+                [
+                    rng.permutation((spaced + k * WINDOW) % max(1, len(stream) - WINDOW))
+                    for k in range(min(passes, 2 * TRAIN_EVERY) if len(spaced) else 0)
+                ]
+                or [np.empty(0, np.int64)]
+            )
             for a in range(0, len(begins), BATCH):
                 at = begins[a : a + BATCH, None] + np.arange(WINDOW)
                 grads = model.step(before[at], stream[at])

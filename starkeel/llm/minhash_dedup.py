@@ -262,16 +262,20 @@ def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
     share id and text one stays. All columns as they were.
     """
     kept = near_duplicates(docs, percent).filter("kept and doc_id is not null")
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    kept = kept.select("doc_id", "text_key").distinct()
+    # The whole row travels as one column, so that no name can clash.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     key = F.xxhash64(F.col("text").cast("string"))
-    named = docs.filter("doc_id is not null").withColumns({"__id": F.col("doc_id").cast("bigint"), "__key": key})
-    ordered = Window.partitionBy("__id", "__key").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.filter("doc_id is not null").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("text_key"), whole
+    )
+    ordered = Window.partitionBy("doc_id", "text_key").orderBy("row")
     first = (
-        named.join(kept, ["__id", "__key"], "left_semi")
-        .withColumn("__n", F.row_number().over(ordered))
-        .filter("__n = 1")
+        named.join(kept, ["doc_id", "text_key"], "left_semi")
+        .withColumn("n", F.row_number().over(ordered))
+        .filter("n = 1")
     )
-    return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    return first.select("row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -> DataFrame:
