@@ -315,8 +315,9 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
             return star
         star = components(star.unionByName(links), work, f"components-{round_}")
         if round_:
-            # Who has met nobody meets nobody later: only others' components grow.
-            members = classes.join(sets.select("node"), "node", "left_semi").select("node", "signature")
+            # Who met nobody new meets nobody later: only components have grown.
+            met = new.select(F.col("u").alias("node")).union(new.select("v")).distinct()
+            members = classes.join(met, "node", "left_semi").select("node", "signature")
             window *= 2
         else:
             trees, window = TREES, WINDOW
