@@ -12,10 +12,10 @@ prefix, neighbours meet at that depth, and where thousands do, only those
 with the longest common prefixes stand side by side.
 
 Candidates are confirmed on the full sets. Rounds follow as long as one finds a
-link: each passes over neighbours that are already in the same component and
-looks twice as far beyond them, so in a dense region a document is compared
-with ever more of those it is not yet linked to. The number of candidates is
-in proportion to the number of documents in every round, whatever the groups.
+link: each passes over neighbours that are already in the same component, so
+that a document of a dense region meets those it is not yet linked to. The
+number of candidates is in proportion to the number of documents in every
+round, whatever the groups.
 """
 
 from __future__ import annotations
@@ -39,7 +39,9 @@ LEAST_PREFIX = 4
 # Trees of the first, cheap round; most copies meet in them.
 FIRST_TREES = 6
 FIRST_WINDOW = 1
-WINDOW = 4
+# Neighbours looked at in each order, and how many of them become candidates.
+WINDOW = 32
+BEST = 2
 # Rows of one component that a task remembers while it waits for the next component.
 CARRIED = 200_000
 
@@ -128,8 +130,8 @@ def _neighbours(window: int, least_equal: int):
     """Candidates among rows sorted by (tree, key).
 
     A row is held against the ``window`` rows after the end of its run, a run
-    being rows of one component. Rows that the following batches may still
-    meet are carried over.
+    being rows of one component; the ``BEST`` of them by sketch are its
+    candidates. Rows that the following batches may still meet are carried over.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,28 +158,35 @@ def _neighbours(window: int, least_equal: int):
             region = np.cumsum(region)
             ends = np.flatnonzero(np.concatenate([component[1:] != component[:-1], [True]])) + 1
             run_end = ends[np.searchsorted(ends, np.arange(n), side="right")]
-            left, right = [], []
+            # The most alike of the window, best first.
+            score = np.full((BEST, n), -1)
+            best = np.zeros((BEST, n), dtype=np.int64)
             for k in range(window):
                 i = np.flatnonzero(run_end + k < n)
                 j = run_end[i] + k
                 same = region[i] == region[j]
                 if not same.any():
                     break
-                i, j = i[same & (j >= old)], j[same & (j >= old)]
-                other = component[i] != component[j]
-                i, j = i[other], j[other]
-                equal = HASHES - np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1)
-                good = equal >= least_equal
-                left.append(node[i[good]])
-                right.append(node[j[good]])
+                new = same & (j >= old) & (component[i] != component[j])
+                i, j = i[new], j[new]
+                equal = HASHES - np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1).astype(np.int64)
+                i, j, equal = i[equal >= least_equal], j[equal >= least_equal], equal[equal >= least_equal]
+                for rank in range(BEST):
+                    ahead = equal > score[rank, i]
+                    old_equal, old_j = score[rank, i[ahead]], best[rank, i[ahead]]
+                    score[rank, i[ahead]], best[rank, i[ahead]] = equal[ahead], j[ahead]
+                    # Who has been overtaken competes for the next place.
+                    equal, j = equal.copy(), j.copy()
+                    equal[ahead], j[ahead] = old_equal, old_j
+            rank, i = np.nonzero(score >= 0)
+            left, right = node[i], node[best[rank, i]]
             # Rows of the last region whose window reaches past the last row may meet rows to come.
             starts = np.concatenate([[0], ends[:-1]])
             open_run = starts[np.searchsorted(ends, max(0, n - window), side="right")]
             begin = max(int(np.searchsorted(region, region[-1])), int(open_run), n - window - CARRIED)
             held = tuple(r[begin:] for r in rows)
-            if left:
-                u, v = np.concatenate(left), np.concatenate(right)
-                pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+            if len(left):
+                pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["u", "v"])
 
     return run
@@ -318,7 +327,6 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
             # Who met nobody new meets nobody later: only components have grown.
             met = new.select(F.col("u").alias("node")).union(new.select("v")).distinct()
             members = classes.join(met, "node", "left_semi").select("node", "signature")
-            window *= 2
         else:
             trees, window = TREES, WINDOW
         round_ += 1

@@ -100,7 +100,7 @@ def test_one_of_each_keeps_columns(awkward, empty):
     assert minhash_dedup.one_of_each(empty).collect() == []
 
 
-@pytest.mark.parametrize("window", [1, 3])
+@pytest.mark.parametrize("window", [1, 2])
 def test_window_goes_past_its_own_component(window):
     """Rows of one component side by side do not hide the row after them."""
     import numpy as np
