@@ -20,12 +20,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--raw", required=True)
     parser.add_argument("--curated", required=True)
     parser.add_argument("--landing")
+    parser.add_argument("--register", action="store_true", help="define the tables in the catalog")
     args = parser.parse_args(argv)
     spark = build_session()
     if args.landing:
         for day in args.run_date:
             publish(spark, args.landing, args.raw, day)
-    backfill(spark, args.run_date, args.raw, args.curated)
+    backfill(spark, args.run_date, args.raw, args.curated, register=args.register)
 
 
 if __name__ == "__main__":

@@ -13,8 +13,17 @@ from pyspark.sql import types as T
 
 
 def parse(raw: Column, to: T.DataType) -> Column:
-    """``raw`` as type ``to``, NULL where the text does not fit."""
-    return raw if isinstance(to, T.StringType) else raw.try_cast(to)
+    """``raw`` as type ``to``, NULL where the text does not fit.
+
+    Days and instants outside the years 1 to 9999 do not fit either: they have no
+    date key, and Python cannot hold them.
+    """
+    if isinstance(to, T.StringType):
+        return raw
+    value = raw.try_cast(to)
+    if isinstance(to, (T.DateType, T.TimestampType)):
+        value = F.when(F.year(value).between(1, 9999), value)
+    return value
 
 
 def malformed(raw: Column, to: T.DataType) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -16,15 +15,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint directory.
 
     A cluster names a shared one in ``spark.checkpoint.dir``. Only a local
-    session without one gets a temporary directory; a cluster without one is
-    refused, since a machine's own folder would be lost with the machine.
+    session without one gets a folder below its warehouse; a cluster without one
+    is refused, since a machine's own folder would be lost with the machine.
     """
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared directory")
-        named = tempfile.mkdtemp(prefix="starkeel-")
+        named = files.join(spark.conf.get("spark.sql.warehouse.dir"), "_staging")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
@@ -36,17 +35,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _write_aside(df: DataFrame, name: str, root: str | None) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = files.join(root or checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Like :func:`cut`, but columnar and with statistics; stays in the checkpoint directory."""
+    return _write_aside(df, name, None)[0]
+
+
 @contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+def staged(df: DataFrame, name: str, root: str | None = None) -> Iterator[DataFrame]:
     """Write ``df`` as a table aside, yield it as read back, remove it afterwards.
 
     For results that several later steps read: unlike a checkpoint the table is
-    columnar, so each step reads only the columns it needs.
+    columnar, so each step reads only the columns it needs. ``root`` is a shared
+    folder to use instead of the checkpoint directory.
     """
-    spark = df.sparkSession
-    path = files.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    table, path = _write_aside(df, name, root)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield table
     finally:
-        files.delete(spark, path)
+        files.delete(df.sparkSession, path)

@@ -8,34 +8,15 @@ from pyspark.sql import functions as F
 _IN = "__in"
 
 
-def match(
-    stored: DataFrame, batch: DataFrame, key: str, small_batch: bool = False
-) -> tuple[DataFrame, Column, Column]:
+def match(stored: DataFrame, batch: DataFrame, key: str) -> tuple[DataFrame, Column, Column]:
     """Pair stored rows ``h`` with batch rows ``n`` of the same key.
 
     Returns the pairs, with one side NULL where it has no partner, and the
     conditions "is stored" and "is in the batch". Both inputs hold one row per
-    key, so no key can be hot.
-
-    The general form is a full outer join, which shuffles both sides. With
-    ``small_batch`` the stored set, however large, stays where it is: the batch
-    is broadcast to it, and the batch rows without a partner are found by
-    broadcasting only its keys. The caller vouches for the size of the batch.
+    key, so no key can be hot. It is one full outer join, which shuffles both
+    sides by key, whatever their sizes.
     """
     h = stored.withColumn(_IN, F.lit(True)).alias("h")
     n = batch.withColumn(_IN, F.lit(True)).alias("n")
-    same = F.col(f"h.{key}") == F.col(f"n.{key}")
-    if small_batch:
-        kept = h.join(F.broadcast(n), same, "left").select(
-            F.struct("h.*").alias("h"), F.struct("n.*").alias("n")
-        )
-        known = stored.select(key).join(F.broadcast(batch.select(key)), key, "left_semi")
-        # At most as many keys as the batch has rows, hence as small as the batch.
-        fresh = n.join(F.broadcast(known), key, "left_anti").select(
-            F.lit(None).cast(kept.schema["h"].dataType).alias("h"),
-            F.struct(*[F.col(f"n.{c}") for c in [*batch.columns, _IN]]).alias("n"),
-        )
-        pairs = kept.unionByName(fresh)
-    else:
-        pairs = h.join(n, same, "full_outer")
+    pairs = h.join(n, F.col(f"h.{key}") == F.col(f"n.{key}"), "full_outer")
     return pairs, F.col(f"h.{_IN}").isNotNull(), F.col(f"n.{_IN}").isNotNull()

@@ -23,15 +23,13 @@ def scd1_init(batch: DataFrame, key: str, surrogate: str) -> DataFrame:
 
 
 def scd1_upsert(
-    history: DataFrame, batch: DataFrame, key: str, surrogate: str,
-    small_batch: bool = False,
+    history: DataFrame, batch: DataFrame, key: str, surrogate: str
 ) -> DataFrame:
     """Batch rows replace or extend the dimension; nothing is deleted.
 
-    A batch row replaces the whole row, NULLs included. ``small_batch`` spares
-    the dimension a shuffle, see :func:`.merge.match`.
+    A batch row replaces the whole row, NULLs included.
     """
-    pairs, _, sent = match(history, batch, key, small_batch)
+    pairs, _, sent = match(history, batch, key)
     natural = F.coalesce(f"h.{key}", f"n.{key}")
     return pairs.select(
         id_key(natural).alias(surrogate),

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import day_start, open_end, version_key
 from .merge import match
 
+_RUN, _RUN_TS = "__run", "__run_ts"
 KEEP_HISTORY = "history"
 OVERWRITE = "overwrite"
 
@@ -81,12 +82,12 @@ def closed_rows(dim: DataFrame, spec: Scd2 = CUSTOMERS) -> DataFrame:
     return dim.filter(~F.col(spec.current))
 
 
-def _compare(current: DataFrame, batch: DataFrame, spec: Scd2, small_batch: bool = False):
+def _compare(current: DataFrame, batch: DataFrame, spec: Scd2):
     """The pairs of a merge and the conditions on them.
 
     Comparison is null-safe: a value appearing or vanishing is a change.
     """
-    pairs, stored, sent = match(current, batch, spec.key, small_batch)
+    pairs, stored, sent = match(current, batch, spec.key)
     differs = reduce(
         Column.__or__,
         [~F.col(f"h.{c}").eqNullSafe(F.col(f"n.{c}")) for c in spec.tracked],
@@ -96,17 +97,16 @@ def _compare(current: DataFrame, batch: DataFrame, spec: Scd2, small_batch: bool
 
 def scd2_apply(
     current: DataFrame, batch: DataFrame, run_date: str | dt.date,
-    spec: Scd2 = CUSTOMERS, small_batch: bool = False,
+    spec: Scd2 = CUSTOMERS,
 ) -> DataFrame:
     """Merge a batch into the current versions.
 
     Returns the new current set and the versions closed by this run. Versions
     closed earlier take no part: they never change and need not be read. Each
     joined row becomes an array of its old and its new version, which ``inline``
-    turns back into rows, so both come out of a single join. ``small_batch``
-    spares the current set a shuffle, see :func:`.merge.match`.
+    turns back into rows, so both come out of a single join.
     """
-    joined, stored, sent, changed = _compare(current, batch, spec, small_batch)
+    joined, stored, sent, changed = _compare(current, batch, spec)
     run_ts = day_start(run_date)
     own_start = run_ts if spec.new_from == "run_date" else F.to_timestamp(f"n.{spec.start_from}")
     begin = F.when(stored, run_ts).otherwise(own_start)
@@ -156,15 +156,47 @@ def scd2_replay(
 ) -> DataFrame:
     """The table after a first load and several runs, given in date order.
 
-    Only the current set is carried from run to run; versions are collected as
-    they close. The closed side of a run shares its shuffles with the current
-    side, so the work grows with the number of runs, not with its square.
+    One pass, whatever the number of runs: all batches are put together and
+    shuffled once by key. A key has one row per run, and a row opens a version
+    if it is the key's first or a tracked column differs from the row before
+    (a row that changes nothing equals the open version in all of them).
     """
-    merged, closed = scd2_init(first, spec), []
-    for run_date, batch in later:
-        merged = scd2_apply(current_rows(merged, spec), batch, run_date, spec)
-        closed.append(closed_rows(merged, spec))
-    return reduce(DataFrame.unionByName, closed[:-1], merged)
+    batches = [first.withColumn(_RUN, F.lit(0)).withColumn(_RUN_TS, F.lit(None).cast("timestamp"))]
+    for n, (run_date, batch) in enumerate(later, 1):
+        batches.append(batch.withColumn(_RUN, F.lit(n)).withColumn(_RUN_TS, day_start(run_date)))
+    columns = [spec.key, *spec.attributes, spec.start_from, spec.updated, _RUN, _RUN_TS]
+    sent = reduce(DataFrame.unionByName, [b.select(*dict.fromkeys(columns)) for b in batches])
+    runs = Window.partitionBy(spec.key).orderBy(_RUN)
+    differs = reduce(
+        Column.__or__, [~F.col(c).eqNullSafe(F.lag(c).over(runs)) for c in spec.tracked]
+    )
+    is_first = F.row_number().over(runs) == 1
+    own_start = F.to_timestamp(spec.start_from)
+    if spec.new_from == "run_date":
+        own_start = F.coalesce(F.col(_RUN_TS), own_start)
+    rows = sent.withColumn("__first", is_first).withColumn("__opens", is_first | differs)
+    if spec.untracked == OVERWRITE:
+        # A version ends up with what the last row before the next version says.
+        rows = rows.withColumn("__version", F.count_if("__opens").over(runs))
+        version = Window.partitionBy(spec.key, "__version").orderBy(_RUN).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing
+        )
+        kept = [c for c in (*spec.attributes, spec.updated) if c != spec.start_from]
+        rows = rows.withColumn("__begin", F.when(F.col("__first"), own_start).otherwise(F.col(_RUN_TS)))
+        rows = rows.withColumns({c: F.last(c).over(version) for c in [*kept, spec.start_from]})
+    else:
+        rows = rows.withColumn("__begin", F.when(F.col("__first"), own_start).otherwise(F.col(_RUN_TS)))
+    opened = rows.filter("__opens").withColumn("__closed", F.lead(_RUN_TS).over(runs))
+    closed = F.col("__closed").isNotNull()
+    return opened.select(
+        version_key(F.col(spec.key), F.col("__begin")).alias(spec.surrogate),
+        spec.key,
+        *spec.attributes,
+        F.col("__begin").alias(spec.start),
+        F.coalesce("__closed", open_end()).alias(spec.end),
+        (~closed).alias(spec.current),
+        F.coalesce("__closed", spec.updated).alias(spec.updated),
+    )
 
 
 def scd2_classify(

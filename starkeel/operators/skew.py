@@ -2,10 +2,9 @@
 
 AQE splits skewed partitions of a sort-merge join by itself. Two things remain:
 a hot key whose *right* side is large too, and sessions where AQE is off. Here
-the hot keys are found with a mergeable top-k sketch (one scan of the key
-columns, no shuffle by key), each is given as many slices as its row count
-asks for, and the join runs on (key, slice). The sketch only decides how work
-is spread; the join result is exact whatever it returns.
+rows are counted per key, which combines before its shuffle and so is even
+itself; each hot key is given as many slices as its row count asks for, and the
+join runs on (key, slice).
 """
 
 from __future__ import annotations
@@ -17,41 +16,24 @@ from pyspark.sql import functions as F
 
 SLICE = "__slice"
 SLICES = "__slices"
-# Bound on the number of hot keys, hence on the broadcast that carries them.
-MAX_HOT_KEYS = 10_000
-MAX_SLICES = 100_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows and the slices each needs.
+    """Every key with more than ``rows_per_slice`` rows, and the slices it needs.
 
-    At most ``MAX_HOT_KEYS`` rows, whatever the size of ``df``.
+    Exact. There can be no more of them than rows of ``df`` over
+    ``rows_per_slice``: half a million for 10^12 rows and the daily run's value.
     """
-    packed = F.to_json(F.struct(*keys)) if len(keys) > 1 else F.col(keys[0])
-    sketch = (
-        df.filter(F.col(keys[0]).isNotNull())
-        .select(packed.alias("item"))
-        .agg(F.expr(f"approx_top_k(item, {MAX_HOT_KEYS}, {10 * MAX_HOT_KEYS})").alias("top"))
-    )
-    heavy = (
-        sketch.select(F.inline("top"))
-        .filter(F.col("count") > rows_per_slice)
-        .withColumn(
-            SLICES,
-            F.least(F.ceil(F.col("count") / rows_per_slice), F.lit(MAX_SLICES)).cast("int"),
-        )
-    )
-    if len(keys) == 1:
-        return heavy.select(F.col("item").alias(keys[0]), SLICES)
-    types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    return heavy.select(F.from_json("item", types).alias("k"), SLICES).select("k.*", SLICES)
+    counted = df.select(*keys).dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("n"))
+    slices = F.ceil(F.col("n") / rows_per_slice).cast("int").alias(SLICES)
+    return counted.filter(F.col("n") > rows_per_slice).select(*keys, slices)
 
 
 def _with_slices(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """Attach each row's slice count; 1 for keys that are not hot.
 
-    The hot set is bounded by ``MAX_HOT_KEYS`` rows, which is what makes the
-    broadcast safe at any data size.
+    The hot set is bounded by rows over rows per slice (see :func:`hot_keys`),
+    which is what makes its broadcast safe.
     """
     found = df.join(F.broadcast(hot), on=list(keys), how="left")
     return found.withColumn(SLICES, F.coalesce(SLICES, F.lit(1)))

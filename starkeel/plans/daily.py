@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import date_key
 from ..functions.keys import as_date
 from ..lineage import staged
 from ..operators import quality
-from ..operators.conform import accepted, rejected
+from ..operators.conform import REASON, accepted, rejected
 from ..operators.dedup import latest
 from ..operators.facts import (
     calendar,
@@ -34,9 +35,14 @@ log = logging.getLogger(__name__)
 
 # Orders of one customer or product beyond this many are split over tasks.
 ROWS_PER_SLICE = 2_000_000
-# A counted batch of up to this many rows (some tens of MB) is broadcast to the
-# dimension it changes; a larger one is joined by shuffling both.
-SMALL_BATCH_ROWS = 100_000
+# Orders dated before the first day, or later than so many days after the run, are
+# set aside: they bound the calendar.
+FIRST_ORDER_DAY = dt.date(1970, 1, 1)
+DAYS_AHEAD = 366
+OUT_OF_RANGE = "order_date_out_of_range"
+ALREADY_STORED = "already_stored"
+# Runs that stay repeatable; older current sets are freed.
+RUNS_KEPT = 30
 
 
 @dataclass(frozen=True)
@@ -48,6 +54,11 @@ class Curated:
     def table(self, name: str) -> str:
         return files.join(self.root, name)
 
+    @property
+    def staging(self) -> str:
+        """For tables that live as long as one step: beside the zone, hence shared."""
+        return files.join(self.root, "_staging")
+
     def quarantine(self, feed: str, day: dt.date) -> str:
         return files.join(self.root, "quarantine", feed, f"run_date={day.isoformat()}")
 
@@ -62,77 +73,101 @@ def _feed(
     return accepted(text, schema, required)
 
 
-def load_customers(
-    spark: SparkSession, raw: str, zone: Curated, day: dt.date,
-    small_batch_rows: int = SMALL_BATCH_ROWS,
-) -> None:
+def load_customers(spark: SparkSession, raw: str, zone: Curated, day: dt.date) -> None:
     feed = latest(_feed(spark, raw, zone, "customers", day), ["customer_id"], ["updated_at"])
     root = zone.table("dim_customers")
     last = snapshots.latest_run(spark, root, before=day)
-    with staged(feed, "customers") as batch:
+    with staged(feed, "customers", zone.staging) as batch:
         if last is None:
             merged = scd2_init(batch)
         else:
             current = snapshots.read_run(spark, root, last, schemas.DIM_CUSTOMERS)
-            small = batch.count() <= small_batch_rows
-            merged = scd2_apply(current, batch, day, small_batch=small)
+            merged = scd2_apply(current, batch, day)
         snapshots.write_run(
             merged.select(*schemas.DIM_CUSTOMERS.names), root, day, schemas.DIM_CUSTOMERS,
             schemas.SORTED_BY["dim_customers"],
         )
 
 
-def load_products(
-    spark: SparkSession, raw: str, zone: Curated, day: dt.date,
-    small_batch_rows: int = SMALL_BATCH_ROWS,
-) -> None:
+def load_products(spark: SparkSession, raw: str, zone: Curated, day: dt.date) -> None:
     feed = latest(_feed(spark, raw, zone, "products", day), ["product_id"], ["updated_at"])
     root = zone.table("dim_products")
     last = snapshots.latest_run(spark, root, before=day)
-    with staged(feed, "products") as batch:
+    with staged(feed, "products", zone.staging) as batch:
         if last is None:
             merged = scd1_init(batch, "product_id", "product_key")
         else:
             stored = snapshots.read_run(spark, root, last, schemas.DIM_PRODUCTS)
-            small = batch.count() <= small_batch_rows
-            merged = scd1_upsert(
-                stored, batch, "product_id", "product_key", small_batch=small
-            )
+            merged = scd1_upsert(stored, batch, "product_id", "product_key")
         snapshots.write_run(
             merged, root, day, schemas.DIM_PRODUCTS, schemas.SORTED_BY["dim_products"]
         )
 
 
 def cover_dates(spark: SparkSession, zone: Curated, lo: dt.date, hi: dt.date) -> DataFrame:
-    """The date dimension, extended by whole years if it does not reach."""
+    """The date dimension, extended by whole years if it does not reach.
+
+    Years are only ever added, in one file whose appearance is the commit: a
+    crash leaves the calendar as it was.
+    """
     path = zone.table("dim_date")
     stored = facts.read_partitioned(spark, path, schemas.DIM_DATE)
     have = stored.agg(F.min("date"), F.max("date")).first() if stored is not None else None
-    if have is not None and have[0] is not None:
-        if have[0] <= lo and hi <= have[1]:
-            return stored
-        lo, hi = min(lo, have[0]), max(hi, have[1])
-    limits = spark.range(1).select(
-        F.lit(dt.date(lo.year, 1, 1)).alias("lo"), F.lit(dt.date(hi.year, 12, 31)).alias("hi")
-    )
-    date_dimension(calendar(limits)).coalesce(1).sortWithinPartitions("date").write.mode(
-        "overwrite"
-    ).parquet(path)
+    if have is None or have[0] is None:
+        missing = [(lo.year, hi.year)]
+    else:
+        missing = [(lo.year, have[0].year - 1), (have[1].year + 1, hi.year)]
+    missing = [
+        (dt.date(a, 1, 1), dt.date(b, 12, 31)) for a, b in missing if a <= b
+    ]
+    if missing:
+        days = calendar(spark.createDataFrame(missing, "lo date, hi date"))
+        date_dimension(days).coalesce(1).sortWithinPartitions("date").write.mode("append").parquet(path)
     return facts.read_partitioned(spark, path, schemas.DIM_DATE)
 
 
+def _set_aside(orders: DataFrame, stored: DataFrame | None, day: dt.date) -> tuple[DataFrame, DataFrame]:
+    """Orders to store, and those not to, with a reason.
+
+    An order that an earlier ingest day stored is not stored again; if anything
+    in it differs from what is stored, it is set aside. Of the stored table the
+    rows in the batch's range of ids are read, and of these the compared columns.
+    """
+    last = day + dt.timedelta(days=DAYS_AHEAD)
+    placed = F.col("order_date").between(F.lit(FIRST_ORDER_DAY), F.lit(last))
+    far = orders.filter(~placed).withColumn(REASON, F.lit(OUT_OF_RANGE))
+    orders = orders.filter(placed)
+    if stored is None:
+        return orders, far
+    lo, hi = orders.agg(F.min("order_id"), F.max("order_id")).first()
+    known = stored.filter((F.col("ingest_date") < F.lit(day)) & F.col("order_id").between(lo, hi)).select(
+        "order_id",
+        F.struct("order_date_key", "quantity", "total_amount", "order_status").alias("was"),
+    )
+    now = F.struct(date_key(F.col("order_date")).alias("order_date_key"), "quantity", "total_amount", "order_status")
+    again = orders.join(known, "order_id", "left")
+    fresh = again.filter(F.col("was").isNull()).drop("was")
+    changed = again.filter(F.col("was").isNotNull() & ~F.col("was").eqNullSafe(now)).drop("was")
+    return fresh, far.unionByName(changed.withColumn(REASON, F.lit(ALREADY_STORED)))
+
+
 def load_facts(
     spark: SparkSession, raw: str, zone: Curated, day: dt.date,
     rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> None:
-    """Append the day's orders and refresh the summary of the dates they touch."""
+    """Store the day's orders, instead of those an earlier run of the day stored,
+    and refresh the summary of all dates either of them touches."""
     feed = latest(_feed(spark, raw, zone, "orders", day), ["order_id"], ["order_date"])
-    with staged(feed, "orders") as orders:
-        n, lo, hi = orders.agg(
-            F.count(F.lit(1)), F.min("order_date"), F.max("order_date")
-        ).first()
-        if rows_per_slice is not None and n <= rows_per_slice:
-            rows_per_slice = None  # no key of the batch can have more rows than that
+    path = zone.table("fact_orders")
+    stored = facts.read_partitioned(spark, path, schemas.FACT_ORDERS)
+    before = (
+        [] if stored is None else
+        # One row per calendar day at most.
+        stored.filter(F.col("ingest_date") == F.lit(day)).select("order_date_key").distinct().collect()
+    )
+    with staged(feed, "orders", zone.staging) as sent:
+        orders, aside = _set_aside(sent, stored, day)
+        lo, hi = orders.agg(F.min("order_date"), F.max("order_date")).first()
         # Versions that ended before the first order of the batch cannot match:
         # the directories that hold them are not opened.
         customers = snapshots.read_table(
@@ -142,82 +177,117 @@ def load_facts(
             spark, zone.table("dim_products"), day, schemas.DIM_PRODUCTS
         )
         resolved = resolve_orders(orders, customers, products, rows_per_slice=rows_per_slice)
-        with staged(resolved, "resolved") as resolved:
-            unmatched(resolved).write.mode("overwrite").parquet(
-                zone.quarantine("unmatched_orders", day)
-            )
+        with staged(resolved, "resolved", zone.staging) as resolved:
+            unmatched(resolved).unionByName(aside.select(*sent.columns, REASON)).write.mode(
+                "overwrite"
+            ).parquet(zone.quarantine("unmatched_orders", day))
+            rows = fact_rows(resolved).withColumn("ingest_date", F.lit(day))
             if lo is None:
                 log.warning("no usable orders for %s", day)
-                return
-            rows = fact_rows(resolved)
-            path = zone.table("fact_orders")
-            facts.append_new(
-                spark, rows, path, schemas.FACT_ORDERS, "order_id", "order_date_key"
-            )
-            dates = cover_dates(spark, zone, lo, hi)
-            fact = facts.read_partitioned(spark, path, schemas.FACT_ORDERS)
-            touched = facts.only_partitions(
-                fact, rows.select("order_date_key").distinct(), "order_date_key"
-            )
-            facts.replace_partitions(
-                daily_sales(
-                    touched, customers, products, dates, rows_per_slice=rows_per_slice
-                ),
-                zone.table("summary_daily_sales"), schemas.DAILY_SALES, "order_date_key",
-            )
+                if not before:
+                    return
+            facts.write_run(rows, path, day, schemas.FACT_ORDERS, "order_date_key")
+            touched = {r[0] for r in [*before, *rows.select("order_date_key").distinct().collect()]}
+    if not touched:
+        return
+    dates = cover_dates(
+        spark, zone, *(dt.datetime.strptime(str(f(touched)), "%Y%m%d").date() for f in (min, max))
+    )
+    fact = facts.read_partitioned(spark, path, schemas.FACT_ORDERS)
+    days = spark.createDataFrame([(t,) for t in sorted(touched)], "order_date_key int")
+    # Stored orders of these dates may refer to versions that ended long ago.
+    customers = snapshots.read_table(spark, zone.table("dim_customers"), day, schemas.DIM_CUSTOMERS)
+    summary = daily_sales(
+        facts.only_partitions(fact, days, "order_date_key"), customers, products, dates,
+        rows_per_slice=rows_per_slice, orders_unique=True,
+    )
+    facts.replace_partitions(
+        summary, touched, zone.table("summary_daily_sales"), schemas.DAILY_SALES, "order_date_key"
+    )
+
+
+def register_tables(spark: SparkSession, zone: Curated, day: dt.date) -> None:
+    """Define the zone's tables, and views of the dimensions as of a day, in the catalog."""
+    for name in ("fact_orders", "summary_daily_sales", "dim_date"):
+        if files.exists(spark, zone.table(name)):
+            catalog.define(spark, name, zone.table(name))
+            if schemas.PARTITIONED_BY.get(name):
+                catalog.register_partitions(spark, name)
+    for name in ("dim_customers", "dim_products"):
+        rows = snapshots.read_table(spark, zone.table(name), day, schemas.TABLES[name])
+        if rows is not None:
+            rows.createOrReplaceTempView(name)
 
 
 def run_daily(
     spark: SparkSession, run_date: str | dt.date, raw: str, curated: str,
     rows_per_slice: int | None = ROWS_PER_SLICE, register: bool = False,
-    small_batch_rows: int = SMALL_BATCH_ROWS,
+    runs_kept: int | None = RUNS_KEPT,
 ) -> Curated:
     """Customers, products, orders, summary: in this order, for one date.
 
-    Safe to repeat: dimensions are rewritten from the last earlier run, orders
-    already stored are not stored again, and the summary is replaced for the
-    dates touched. ``register`` also defines the tables in the session catalog.
+    Safe to repeat, also with corrected feeds: dimensions are rewritten from the
+    last earlier run, the orders the day stored are replaced, and the summary is
+    refreshed for the dates either touches. Later runs have to be repeated too;
+    see :func:`backfill`. ``register`` also defines the tables in the session
+    catalog. Current sets beyond the last ``runs_kept`` runs are freed.
     """
     require_utc(spark)
     day, zone = as_date(run_date), Curated(curated)
-    load_customers(spark, raw, zone, day, small_batch_rows)
-    load_products(spark, raw, zone, day, small_batch_rows)
+    _refuse_gaps(spark, zone, [day])
+    load_customers(spark, raw, zone, day)
+    load_products(spark, raw, zone, day)
     load_facts(spark, raw, zone, day, rows_per_slice)
+    if runs_kept is not None:
+        for name in ("dim_customers", "dim_products"):
+            snapshots.drop_old_current(spark, zone.table(name), runs_kept)
     if register:
-        for name in ("fact_orders", "summary_daily_sales"):
-            if files.exists(spark, zone.table(name)):
-                catalog.define(spark, name, zone.table(name))
-                catalog.register_partitions(spark, name)
-        if files.exists(spark, zone.table("dim_date")):
-            catalog.define(spark, "dim_date", zone.table("dim_date"))
+        register_tables(spark, zone, day)
     return zone
 
 
+def _refuse_gaps(spark: SparkSession, zone: Curated, days: list[dt.date]) -> None:
+    """History builds on the run before: no finished later run may be left out."""
+    later = {
+        d
+        for name in ("dim_customers", "dim_products")
+        for d in snapshots.run_dates(spark, zone.table(name))
+        if d > days[0] and d not in days
+    }
+    if later:
+        raise ValueError(
+            "later runs would rest on replaced history, include them: "
+            + ", ".join(d.isoformat() for d in sorted(later))
+        )
+
+
 def backfill(
     spark: SparkSession, run_dates: Iterable[str | dt.date], raw: str, curated: str,
-    rows_per_slice: int | None = ROWS_PER_SLICE, small_batch_rows: int = SMALL_BATCH_ROWS,
+    rows_per_slice: int | None = ROWS_PER_SLICE, register: bool = False,
+    runs_kept: int | None = RUNS_KEPT,
 ) -> Curated:
     """Run several dates in order.
 
     History builds on the run before, so repeating a date means repeating every
     later one that has already run.
     """
+    require_utc(spark)
     days = sorted({as_date(d) for d in run_dates})
     if not days:
         raise ValueError("no dates given")
-    root = Curated(curated).table("dim_customers")
-    left_out = [d for d in snapshots.run_dates(spark, root) if d > days[0] and d not in days]
-    if left_out:
-        raise ValueError(
-            "later runs would rest on replaced history, include them: "
-            + ", ".join(d.isoformat() for d in left_out)
-        )
+    zone = Curated(curated)
+    _refuse_gaps(spark, zone, days)
     for day in days:
         log.info("running %s", day)
-        run_daily(
-            spark, day, raw, curated, rows_per_slice, small_batch_rows=small_batch_rows
-        )
-    return Curated(curated)
+        load_customers(spark, raw, zone, day)
+        load_products(spark, raw, zone, day)
+        load_facts(spark, raw, zone, day, rows_per_slice)
+    if runs_kept is not None:
+        for name in ("dim_customers", "dim_products"):
+            snapshots.drop_old_current(spark, zone.table(name), runs_kept)
+    if register:
+        register_tables(spark, zone, days[-1])
+    return zone
 
 
 def check_zone(spark: SparkSession, curated: str, up_to: str | dt.date) -> dict[str, DataFrame]:
@@ -254,6 +324,15 @@ def check_zone(spark: SparkSession, curated: str, up_to: str | dt.date) -> dict[
                 found[f"{name}.{column}"] = quality.fk_violations(
                     table, tables[parent], column, key
                 )
+    for name, limits in schemas.RANGES.items():
+        if tables[name] is not None:
+            for column, (least, most) in limits.items():
+                outside = F.lit(False)
+                if least is not None:
+                    outside = outside | (F.col(column) < F.lit(least))
+                if most is not None:
+                    outside = outside | (F.col(column) > F.lit(most))
+                found[f"{name}.{column}.range"] = tables[name].filter(outside)
     if tables["dim_customers"] is not None:
         dim = tables["dim_customers"]
         found["dim_customers.current"] = quality.current_flag_violations(dim, "customer_id")

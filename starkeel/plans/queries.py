@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import date_key, open_end, render_timestamp
-from ..lineage import cut
+from ..lineage import stored
 from ..operators import quality
 from ..operators.conform import accepted, conform, rejected
 from ..operators.dedup import latest, pool
@@ -394,12 +394,13 @@ def dim_date(spark, d):
 
 def _daily_sales(spark, d, **options):
     """The roll-up over stored tables, as the daily run computes it."""
-    customers, products = cut(w.customer_dim(spark, d)), cut(w.product_dim(spark, d))
+    customers = stored(w.customer_dim(spark, d), "customers")
+    products = stored(w.product_dim(spark, d), "products")
     fact = build_fact(w.order_batch(spark, d), customers, products, **options)
     if options:  # looking for hot keys reads the fact again
-        fact = cut(fact)
+        fact = stored(fact, "fact")
     dates = build_dim_date(table(spark, d, "orders"), "o_orderdate")
-    return daily_sales(fact, customers, products, dates, **options)
+    return daily_sales(fact, customers, products, dates, orders_unique=True, **options)
 
 
 @query
@@ -499,7 +500,7 @@ def version_continuity(spark, d):
 @query
 def dimension_checks(spark, d):
     """How many keys of the dimension fail the flag and the continuity check."""
-    dim = cut(w.customer_dim(spark, d))
+    dim = stored(w.customer_dim(spark, d), "versions")
     failed = {
         "versions": dim,
         "current flag": quality.current_flag_violations(dim, "customer_id"),

@@ -31,9 +31,9 @@ CUSTOMER_RUNS = ("1996-01-01", "2000-06-01")
 PRODUCT_RUNS = ("1995-03-01", "2001-09-01")
 LINES_PER_ORDER = 10
 
-CUSTOMER = schemas.widen_ids(schemas.CUSTOMER)
-PRODUCT = schemas.widen_ids(schemas.PRODUCT)
-ORDER = schemas.widen_ids(schemas.ORDER)
+CUSTOMER = schemas.CUSTOMER
+PRODUCT = schemas.PRODUCT
+ORDER = schemas.ORDER
 
 
 # Schemas of the tables as stored. Declaring them spares every query a job that

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import types as T
 
@@ -31,18 +32,6 @@ def all_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, STR, True) for f in schema])
 
 
-def widen_ids(schema: T.StructType) -> T.StructType:
-    """The same schema with 64-bit ``*_id`` columns, for feeds beyond 2^31 keys."""
-    return T.StructType(
-        [
-            T.StructField(f.name, LONG, f.nullable)
-            if f.name.endswith("_id") and f.dataType == INT
-            else f
-            for f in schema
-        ]
-    )
-
-
 @dataclass(frozen=True)
 class Constraints:
     """Declared constraints of one table."""
@@ -53,18 +42,21 @@ class Constraints:
     foreign_keys: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
 
+# Fixed values of the published tables: column names, types and length limits.
+# Ids are 64-bit; keys hash their text, so they are those of narrower ids.
+
 # Conformed feeds -------------------------------------------------------------
 
 CUSTOMER = struct(
-    customer_id=INT, name=STR, email=STR, phone=STR, address=STR, city=STR,
+    customer_id=LONG, name=STR, email=STR, phone=STR, address=STR, city=STR,
     state=STR, signup_date=DATE, updated_at=TS,
 )
 PRODUCT = struct(
-    product_id=INT, product_name=STR, category=STR, price=PRICE,
+    product_id=LONG, product_name=STR, category=STR, price=PRICE,
     stock_quantity=INT, created_at=TS, updated_at=TS,
 )
 ORDER = struct(
-    order_id=INT, customer_id=INT, product_id=INT, quantity=INT,
+    order_id=LONG, customer_id=LONG, product_id=LONG, quantity=INT,
     order_date=DATE, total_amount=AMOUNT, order_status=STR,
 )
 FEEDS: dict[str, T.StructType] = {
@@ -83,12 +75,12 @@ REQUIRED: dict[str, tuple[str, ...]] = {
 # Curated tables --------------------------------------------------------------
 
 DIM_CUSTOMERS = struct(
-    customer_key=STR, customer_id=INT, name=STR, email=STR, phone=STR,
+    customer_key=STR, customer_id=LONG, name=STR, email=STR, phone=STR,
     address=STR, city=STR, state=STR, signup_date=DATE, start_date=TS,
     end_date=TS, is_current=BOOL, updated_at=TS,
 )
 DIM_PRODUCTS = struct(
-    product_key=STR, product_id=INT, product_name=STR, category=STR,
+    product_key=STR, product_id=LONG, product_name=STR, category=STR,
     price=PRICE, stock_quantity=INT, created_at=TS, updated_at=TS,
 )
 DIM_DATE = struct(
@@ -96,9 +88,9 @@ DIM_DATE = struct(
     day=INT, day_of_week=INT, day_name=STR, is_weekend=BOOL,
 )
 FACT_ORDERS = struct(
-    order_id=INT, customer_key=STR, product_key=STR, order_date_key=INT,
+    order_id=LONG, customer_key=STR, product_key=STR, order_date_key=INT,
     quantity=INT, price_each=PRICE, total_amount=AMOUNT, order_status=STR,
-    created_at=TS,
+    created_at=TS, ingest_date=DATE,
 )
 DAILY_SALES = struct(
     year=INT, month=INT, order_date_key=INT, customer_state=STR,
@@ -111,7 +103,7 @@ TABLES: dict[str, T.StructType] = {
     "summary_daily_sales": DAILY_SALES,
 }
 PARTITIONED_BY: dict[str, tuple[str, ...]] = {
-    "fact_orders": ("order_date_key",),
+    "fact_orders": ("ingest_date", "order_date_key"),
     "summary_daily_sales": ("order_date_key",),
 }
 # Sort order inside files, so that row groups can be skipped on these columns.
@@ -156,6 +148,12 @@ CONSTRAINTS: dict[str, Constraints] = {
     ),
 }
 
+# Least and greatest value a column may have; None is no limit.
+RANGES: dict[str, dict[str, tuple]] = {
+    "dim_products": {"price": (Decimal("0.01"), None)},
+    "fact_orders": {"quantity": (1, None), "order_date_key": (19700101, 99991231)},
+}
+
 
 def same_columns(actual: T.StructType, expected: T.StructType) -> list[str]:
     """Differences in name, order or type; empty when the schemas agree."""

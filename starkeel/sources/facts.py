@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,27 +38,32 @@ def only_partitions(table: DataFrame, touched: DataFrame, by: str) -> DataFrame:
     return table.filter(within).join(F.broadcast(touched.filter(within)), by, "left_semi")
 
 
-def append_new(
-    spark: SparkSession, df: DataFrame, path: str, schema: T.StructType,
-    key: str, by: str,
-) -> None:
-    """Append the rows whose key is not yet in the partitions they belong to.
+def run_path(path: str, day: dt.date) -> str:
+    return files.join(path, f"ingest_date={day.isoformat()}")
+
+
+def write_run(df: DataFrame, path: str, day: dt.date, schema: T.StructType, by: str) -> None:
+    """Write the rows one ingest day brought, instead of all it brought before.
 
-    Appending a day twice therefore adds nothing, also after a crash in
-    between. Only the partitions of the new rows are read, and of these the key.
+    A rerun with a corrected feed thus leaves nothing of the first run behind;
+    rows of other ingest days are not touched. A crash leaves the day without
+    ``_SUCCESS``, and running it again heals it.
     """
     schemas.assert_schema(df.schema, schema, path)
-    stored = read_partitioned(spark, path, schema)
-    if stored is not None:
-        touched = df.select(by).distinct()
-        known = only_partitions(stored.select(key, by), touched, by)
-        df = df.join(known, [key, by], "left_anti").select(*schema.names)
-    arrange(df, gather=[by]).write.mode("append").partitionBy(by).parquet(path)
+    if df.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "static":
+        files.delete(df.sparkSession, run_path(path, day))
+    rows = df.drop("ingest_date")
+    arrange(rows, gather=[by]).write.mode("overwrite").partitionBy(by).parquet(run_path(path, day))
 
 
-def replace_partitions(df: DataFrame, path: str, schema: T.StructType, by: str) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
+def replace_partitions(df: DataFrame, touched: Iterable, path: str, schema: T.StructType, by: str) -> None:
+    """Make the ``touched`` partitions hold what ``df`` has for them.
+
+    Partitions that ``df`` has rows for are replaced by the write; touched ones
+    without rows are removed. ``touched`` are values such as days, listed.
+    """
     schemas.assert_schema(df.schema, schema, path)
+    spark = df.sparkSession
     (
         arrange(df, gather=[by])
         .write.mode("overwrite")
@@ -63,3 +71,11 @@ def replace_partitions(df: DataFrame, path: str, schema: T.StructType, by: str)
         .partitionBy(by)
         .parquet(path)
     )
+    touched = set(touched)
+    if touched:
+        written = read_partitioned(spark, path, schema).filter(F.col(by).isin(*touched))
+        # One row for each touched partition at most.
+        present = {r[0] for r in df.filter(F.col(by).isNotNull()).select(by).distinct().collect()}
+        gone = {r[0] for r in written.select(by).distinct().collect()} - present
+        for value in gone:
+            files.delete(spark, files.join(path, f"{by}={value}"))

@@ -29,6 +29,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -10,6 +10,10 @@ last good state in place, and a rerun gives the same result. Closed versions are
 written once and never copied again: a day costs the current set, not the
 history. The table after run D is the current set of D plus the versions closed
 up to D. Type-1 tables use the same layout without the ``is_current`` level.
+
+Old current sets are freed by :func:`drop_old_current`, which leaves a ``_FREED``
+mark: such a run is never taken for an empty one, reading it raises
+:class:`FreedRun`.
 """
 
 from __future__ import annotations
@@ -27,6 +31,11 @@ from .layout import arrange
 
 _RUN = "run_date="
 _FLAG = "is_current"
+_FREED = "_FREED"
+
+
+class FreedRun(LookupError):
+    """The current set of this run has been freed; it cannot be read any more."""
 
 
 def run_path(root: str, day: str | dt.date) -> str:
@@ -68,7 +77,7 @@ def write_run(
     writer = arrange(df, sort=sort).write.mode("overwrite")
     if _FLAG in schema.names:
         writer = writer.partitionBy(_FLAG)
-    writer.parquet(run_path(root, day))
+    writer.parquet(run_path(root, day))  # an overwrite removes a _FREED mark as well
 
 
 def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
@@ -83,8 +92,10 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFr
 def read_run(
     spark: SparkSession, root: str, day: str | dt.date, schema: T.StructType
 ) -> DataFrame:
-    """The current set as written by one run."""
+    """The current set as written by one run; raises if it has been freed."""
     path = run_path(root, day)
+    if files.exists(spark, files.join(path, _FREED)):
+        raise FreedRun(f"{path} has been freed; repeat the runs from an earlier one")
     if _FLAG not in schema.names:
         return _read(spark, [path], schema)
     stored = T.StructType([f for f in schema if f.name != _FLAG])
@@ -133,18 +144,24 @@ def read_table(
 
 
 def drop_old_current(spark: SparkSession, root: str, keep: int = 2) -> list[dt.date]:
-    """Free the current sets of all but the last ``keep`` finished runs.
+    """Free the current sets of all but the last ``keep`` + 1 finished runs.
 
-    Versions they closed stay, since every later state needs them. Runs before
-    the oldest one kept cannot be repeated any more.
+    ``keep`` runs can then be repeated, the oldest of them from the one more that
+    stays. Versions closed by freed runs stay, since every later state needs
+    them; of Type-1 tables, which have none, the whole rows go.
     """
     if keep < 1:
         raise ValueError("at least one run must be kept")
     done = [d for d in run_dates(spark, root) if finished(spark, root, d)]
     freed = []
-    for day in done[:-keep]:
-        current = files.join(run_path(root, day), f"{_FLAG}=true")
-        if files.exists(spark, current):
-            files.delete(spark, current)
-            freed.append(day)
+    for day in done[: -keep - 1]:
+        path = run_path(root, day)
+        if files.exists(spark, files.join(path, _FREED)):
+            continue
+        # The mark comes first: a crash in between leaves a run that cannot be read.
+        files.touch(spark, files.join(path, _FREED))
+        for name in files.children(spark, path):
+            if name == f"{_FLAG}=true" or name.startswith("part-"):
+                files.delete(spark, files.join(path, name))
+        freed.append(day)
     return freed

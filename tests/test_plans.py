@@ -1,5 +1,6 @@
 """Physical plans: what must and must not appear in them."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -14,7 +15,7 @@ from starkeel.operators.scd1 import scd1_upsert
 from starkeel.operators.scd2 import scd2_apply
 from starkeel.operators.skew import hot_keys
 from starkeel.plans import workload as w
-from starkeel.sources.facts import append_new, read_partitioned
+from starkeel.sources.facts import read_partitioned, write_run
 
 SF = "/root/testdata/sf0.001"
 
@@ -46,8 +47,9 @@ def stored(spark, tmp_path_factory):
         df.write.parquet(str(root / name))
         out[name] = spark.read.parquet(str(root / name))
     fact = build_fact(out["orders"], out["customers"], out["products"])
+    fact = fact.withColumn("ingest_date", F.lit(dt.date(2026, 6, 1)))
     schema = fact.schema
-    append_new(spark, fact, str(root / "fact"), schema, "order_id", "order_date_key")
+    write_run(fact, str(root / "fact"), dt.date(2026, 6, 1), schema, "order_date_key")
     out["fact"] = read_partitioned(spark, str(root / "fact"), schema)
     return out
 
@@ -61,16 +63,6 @@ def test_a_merge_is_one_join_and_two_shuffles(spark, stored, shuffled_joins):
     assert p.count("SortMergeJoin") == 1 and p.count("Exchange") == 2
 
 
-def test_a_small_batch_leaves_the_dimension_in_place(spark, stored):
-    current = stored["customers"].filter("is_current")
-    for p in (
-        plan(scd2_apply(current, stored["batch"], "2001-12-01", small_batch=True)),
-        plan(scd1_upsert(stored["products"], stored["product_batch"], "product_id",
-                         "product_key", small_batch=True)),
-    ):
-        assert p.count("BroadcastHashJoin") == 3 and "hashpartitioning" not in p
-
-
 def test_deduplication_combines_before_the_shuffle(spark):
     p = plan(latest(w.table(spark, SF, "orders"), ["o_custkey"], ["o_orderdate"]))
     assert p.count("Exchange") == 1 and "partial_max" in p[p.index("Exchange"):]
@@ -86,9 +78,9 @@ def test_the_interval_is_a_residual_of_an_equi_join(spark, stored, shuffled_join
         assert "SortMergeJoin" in p and "NestedLoop" not in p and "Cartesian" not in p
 
 
-def test_hot_keys_need_no_shuffle_by_key(spark, stored):
+def test_hot_keys_are_counted_in_parallel(spark, stored):
     p = plan(hot_keys(stored["orders"], ["customer_id"], 100))
-    assert "hashpartitioning" not in p
+    assert "SinglePartition" not in p and "partial_count" in p[p.index("Exchange"):]
     assert "ReadSchema: struct<customer_id:bigint>" in p
 
 
@@ -102,9 +94,14 @@ def test_the_summary_reads_only_its_columns(spark, stored):
         set(re.findall(r"(\w+)#", scan)) for scan in re.findall(r"FileScan parquet \[([^\]]*)\]", p)
     ]
     assert {
-        "order_id", "customer_key", "product_key", "quantity", "total_amount", "order_date_key"
+        "order_id", "customer_key", "product_key", "quantity", "total_amount", "order_date_key",
+        "ingest_date",
     } in read
     assert {"customer_key", "state"} in read
+    summed = plan(daily_sales(
+        stored["fact"], stored["customers"], stored["products"], dates, orders_unique=True
+    ))
+    assert "partial_sum" in summed and "distinct" not in summed
     assert {"product_key", "category"} in read
 
 

@@ -115,8 +115,8 @@ def test_continuity_check_agrees_with_sorting_the_versions(spark):
 
 def test_schema_comparison_names_what_differs():
     assert schemas.same_columns(schemas.ORDER, schemas.ORDER) == []
-    widened = schemas.widen_ids(schemas.ORDER)
-    assert any("order_id" in p for p in schemas.same_columns(widened, schemas.ORDER))
+    narrow = schemas.struct(order_id=schemas.INT, **{f.name: f.dataType for f in schemas.ORDER.fields[1:]})
+    assert any("order_id" in p for p in schemas.same_columns(narrow, schemas.ORDER))
     swapped = schemas.struct(b=schemas.INT, a=schemas.INT)
     assert schemas.same_columns(swapped, schemas.struct(a=schemas.INT, b=schemas.INT)) == [
         "columns are in another order"

@@ -1,6 +1,7 @@
 """Type-1 and Type-2 merges: the documented cases and their edges."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -141,33 +142,28 @@ def test_replay_equals_merging_step_by_step(spark):
     assert closed_rows(step).count() > 0
 
 
-def test_a_broadcast_batch_gives_the_same_table(spark):
-    history = scd2_merge(
-        scd2_init(people(spark, *[person(i, f"{i % 3}") for i in range(30)])),
-        people(spark, *[person(i, f"{i % 2}") for i in range(0, 30, 2)]), "2026-06-02",
-    )
-    batch = people(
-        spark, *[person(i, None if i % 5 else f"{i % 4}", name="New") for i in range(20, 40)]
-    )
+def test_replay_equals_merges_one_after_the_other(spark):
+    rng = random.Random(5)
+    batches = []
+    for n in range(5):
+        keys = rng.sample(range(25), 14)
+        batches.append(people(spark, *[
+            person(i, rng.choice([None, "A", "B"]), name=f"N{n}", updated=f"2026-0{n + 1}-01 08:00:00") for i in keys
+        ]))
+    days = [f"2026-06-0{n + 1}" for n in range(4)]
     for untracked in ("history", OVERWRITE):
         spec = Scd2(
             CUSTOMERS.key, CUSTOMERS.surrogate, CUSTOMERS.attributes, CUSTOMERS.tracked,
             CUSTOMERS.start_from, untracked=untracked,
         )
-        current = current_rows(history)
-        shuffled, sent = (
-            scd2_apply(current, batch, "2026-06-03", spec, small_batch=small)
-            for small in (False, True)
-        )
-        assert sent.schema.names == shuffled.schema.names
-        assert rows_of(sent, "*") == rows_of(shuffled, "*")
-    old = scd1_init(items(spark, *[item(i) for i in range(9)]), "product_id", "product_key")
-    new = items(spark, *[item(i, "1.00", category=None) for i in range(5, 15)])
-    shuffled, sent = (
-        scd1_upsert(old, new, "product_id", "product_key", small_batch=small)
-        for small in (False, True)
-    )
-    assert rows_of(sent, "*") == rows_of(shuffled, "*") and sent.count() == 15
+        one_by_one = scd2_init(batches[0], spec)
+        for day, batch in zip(days, batches[1:], strict=True):
+            one_by_one = scd2_merge(one_by_one, batch, day, spec)
+        at_once = scd2_replay(batches[0], list(zip(days, batches[1:], strict=True)), spec)
+        assert at_once.schema.names == one_by_one.schema.names
+        assert rows_of(at_once, "*") == rows_of(one_by_one, "*")
+    plan = at_once._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("hashpartitioning") == 1
 
 
 def test_outcomes_name_every_key_once(spark):

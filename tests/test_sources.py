@@ -64,6 +64,24 @@ def test_publish_copies_every_line_unchanged(spark, tmp_path):
         raw.publish(spark, str(tmp_path / "landing"), root, D2)
 
 
+def test_publish_keeps_blank_and_header_like_lines_and_refuses_mixed_headers(spark, tmp_path):
+    inbox = tmp_path / "landing" / "ingest_date=2026-06-01" / "orders.csv"
+    inbox.mkdir(parents=True)
+    (inbox / "part-0.csv").write_text("a,b\n1,2\n\na,b\n")
+    (inbox / "part-1.csv").write_text("a,b\n3,4\n")
+    root = str(tmp_path / "raw")
+    raw.publish(spark, str(tmp_path / "landing"), root, D1)
+    lines = []
+    for f in sorted((tmp_path / "raw" / "orders" / "ingest_date=2026-06-01").glob("part-*")):
+        header, *rest = f.read_text().split("\n")[:-1]
+        assert header == "a,b"
+        lines += rest
+    assert sorted(lines) == ["", "1,2", "3,4", "a,b"]
+    (inbox / "part-1.csv").write_text("b,a\n4,3\n")
+    with pytest.raises(RuntimeError, match="orders"):
+        raw.publish(spark, str(tmp_path / "landing"), root, D1)
+
+
 def test_publish_reports_a_failed_table_after_the_others(spark, tmp_path):
     inbox = tmp_path / "landing" / "ingest_date=2026-06-01"
     inbox.mkdir(parents=True)
@@ -122,26 +140,33 @@ def sales(spark, *rows):
     return spark.createDataFrame(list(rows), SALES)
 
 
-def test_append_skips_known_keys_of_the_touched_partitions(spark, tmp_path):
+RUNS = schemas.struct(id=schemas.INT, day=schemas.INT, v=schemas.STR, ingest_date=schemas.DATE)
+
+
+def stored(spark, path, day, *rows):
+    df = sales(spark, *rows).withColumn("ingest_date", F.lit(day))
+    facts.write_run(df, path, day, RUNS, "day")
+
+
+def test_a_run_replaces_what_it_wrote_and_nothing_else(spark, tmp_path):
     path = str(tmp_path / "fact")
-    assert facts.read_partitioned(spark, path, SALES) is None
-    first = sales(spark, (1, 20260601, "a"), (2, 20260602, "a"))
-    for _ in range(2):
-        facts.append_new(spark, first, path, SALES, "id", "day")
-    facts.append_new(
-        spark, sales(spark, (2, 20260602, "b"), (3, 20260602, "b")), path, SALES, "id", "day"
-    )
-    assert rows_of(facts.read_partitioned(spark, path, SALES), "*") == [
-        (1, 20260601, "a"), (2, 20260602, "a"), (3, 20260602, "b"),
+    assert facts.read_partitioned(spark, path, RUNS) is None
+    stored(spark, path, D1, (1, 20260601, "a"), (2, 20260602, "a"))
+    stored(spark, path, D2, (3, 20260602, "b"))
+    stored(spark, path, D1, (1, 20260603, "c"))
+    assert rows_of(facts.read_partitioned(spark, path, RUNS), "*") == [
+        (1, 20260603, "c", D1), (3, 20260602, "b", D2),
     ]
+    stored(spark, path, D1)
+    assert rows_of(facts.read_partitioned(spark, path, RUNS), "id") == [(3,)]
 
 
 def test_touched_partitions_are_pruned_while_running(spark, tmp_path):
     path = str(tmp_path / "fact")
-    facts.append_new(spark, sales(spark, *[(i, i, "a") for i in range(9)]), path, SALES, "id", "day")
-    stored = facts.read_partitioned(spark, path, SALES)
+    stored(spark, path, D1, *[(i, i, "a") for i in range(9)])
+    whole = facts.read_partitioned(spark, path, RUNS).select(*SALES.names)
     touched = sales(spark, (1, 3, "a"), (2, 3, "b")).select("day").distinct()
-    part = facts.only_partitions(stored, touched, "day")
+    part = facts.only_partitions(whole, touched, "day")
     assert "dynamicpruning" in part._jdf.queryExecution().executedPlan().toString()
     assert rows_of(part, "*") == [(3, 3, "a")]
 
@@ -149,9 +174,9 @@ def test_touched_partitions_are_pruned_while_running(spark, tmp_path):
 def test_replacing_partitions_leaves_the_others(spark, tmp_path):
     path = str(tmp_path / "summary")
     facts.replace_partitions(
-        sales(spark, (1, 1, "a"), (2, 2, "a"), (3, 2, "a")), path, SALES, "day"
+        sales(spark, (1, 1, "a"), (2, 2, "a"), (3, 2, "a"), (4, 3, "a")), {1, 2, 3}, path, SALES, "day"
     )
-    facts.replace_partitions(sales(spark, (9, 2, "b")), path, SALES, "day")
+    facts.replace_partitions(sales(spark, (9, 2, "b")), {2, 3, 4}, path, SALES, "day")
     assert rows_of(facts.read_partitioned(spark, path, SALES), "*") == [(1, 1, "a"), (9, 2, "b")]
 
 
@@ -164,12 +189,13 @@ def test_a_hot_partition_is_split_over_tasks(spark, tmp_path):
     keep = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
-        facts.append_new(spark, df, str(tmp_path / "t"), SALES, "id", "day")
+        facts.write_run(df.withColumn("ingest_date", F.lit(D1)), str(tmp_path), D1, RUNS, "day")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", keep)
-    hot = list((tmp_path / "t" / "day=1").glob("*.parquet"))
+    run = tmp_path / f"ingest_date={D1.isoformat()}"
+    hot = list((run / "day=1").glob("*.parquet"))
     single = [
-        d for d in (tmp_path / "t").glob("day=*") if len(list(d.glob("*.parquet"))) == 1
+        d for d in run.glob("day=*") if len(list(d.glob("*.parquet"))) == 1
     ]
     # Days that hash together with the hot one share its tasks; the rest do not.
     assert len(hot) > 3 and len(single) > 10
