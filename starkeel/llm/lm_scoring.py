@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import texts as T
 from .staging import Workspace
 
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 GROUPS = 32
 MEMBERS = 32
 CLASSES = GROUPS * MEMBERS
@@ -42,11 +42,11 @@ WIDTH = 16
 WINDOW = 32
 CONTEXT = 8
 # One window in so many is trained on, in every training text's stream of ids.
-TRAIN_EVERY = 16
+TRAIN_EVERY = 24
 BATCH = 32
 RATE = 0.01
-# Steps a segment takes at least: few windows are passed over again, shifted.
-LEAST_STEPS = 300
+# Windows trained on in all, at least: small inputs are passed over again, shifted.
+LEAST_WINDOWS = 20_000
 SMOOTH = 0.1
 # Weight of the classes' shares in a row of the bigram table.
 PULL = 20
@@ -271,13 +271,17 @@ class Model:
             np.log(groups).astype(np.float32), np.log(smooth / groups[:, :, None]).astype(np.float32)
         )
 
-    def attend(self, before: np.ndarray, valid: np.ndarray | None = None) -> tuple:
-        """Attention over windows: ``before`` (windows x places) holds the preceding classes."""
+    def attend(self, before: np.ndarray) -> tuple:
+        """Attention over windows: ``before`` (windows x places) holds the preceding classes.
+
+        Places past a text's end come last in its window, where the causal mask
+        keeps them from every place before.
+        """
         w = self.weights
         x = w["e"][before] + w["p"]
         q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
         s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5)
-        s += _CAUSAL if valid is None else np.where(valid[:, None, :], _CAUSAL, np.float32(-1e9))
+        s += _CAUSAL
         s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
         s /= s.sum(axis=2, keepdims=True)
@@ -333,7 +337,7 @@ class Model:
             valid = at < starts[text[a : a + 256] + 1][:, None]
             at = np.where(valid, at, 0)
             prev = before[at]
-            hidden = self.attend(prev, valid)[-1]
+            hidden = self.attend(prev)[-1]
             own = valid.copy()
             own[number[a : a + 256] > 0, :CONTEXT] = False
             prev, hidden, at = prev[own], hidden[own], at[own]
@@ -404,7 +408,7 @@ def _train(shared):
     """One task's weights after a pass of Adam over its windows, and the number of windows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, initial = shared.value
+        classes, initial, passes = shared.value
         model = Model(dict(initial.weights), initial.groups, initial.members)
         first = {n: np.zeros_like(w) for n, w in model.weights.items()}
         second = {n: np.zeros_like(w) for n, w in model.weights.items()}
@@ -413,13 +417,12 @@ def _train(shared):
             stream, _ = _training(row, classes)
             before = np.concatenate([[0], stream[:-1]])
             spaced = np.arange(0, len(stream) - WINDOW, WINDOW * TRAIN_EVERY)
-            passes = -(-LEAST_STEPS * BATCH // max(1, len(spaced)))
             # Not in the order of the text, so that a batch holds many texts.
             rng = np.random.default_rng(11)
             begins = np.concatenate(
                 [
                     rng.permutation((spaced + k * WINDOW) % max(1, len(stream) - WINDOW))
-                    for k in range(min(passes, 2 * TRAIN_EVERY) if len(spaced) else 0)
+                    for k in range(passes if len(spaced) else 0)
                 ]
                 or [np.empty(0, np.int64)]
             )
@@ -462,8 +465,10 @@ def learn(segments: DataFrame) -> tuple[Classes, Model]:
     table = np.zeros(CLASSES * CLASSES)
     table[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
     model = Model.of_pairs(table.reshape(CLASSES, CLASSES))
+    windows = counts.sum() / (WINDOW * TRAIN_EVERY)
+    passes = int(min(2 * TRAIN_EVERY, max(1, -(-LEAST_WINDOWS // max(1, windows)))))
     trained = streams.mapInArrow(
-        _train(context.broadcast((classes, model))), "place int, weight double, windows bigint"
+        _train(context.broadcast((classes, model, passes))), "place int, weight double, windows bigint"
     )
     share = F.sum(F.col("weight") * F.col("windows")) / F.sum("windows")
     averaged = trained.groupBy("place").agg(share.alias("weight")).orderBy("place").toPandas()
