@@ -13,7 +13,11 @@ from . import workload as w
 OPEN = "timestamp '9999-12-31 23:59:59'"
 
 
-def _window(day: str, runs: tuple[str, ...], i: int) -> str:
+def _window(day: str, runs: tuple[str, ...], i: int | str) -> str:
+    if i == w.ALL:
+        return "true"
+    if i == w.REST:
+        return f"{day} >= timestamp '{runs[0]}'"
     tests = []
     if i > 0:
         tests.append(f"{day} >= timestamp '{runs[i - 1]}'")
@@ -26,7 +30,7 @@ def _text(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S')"
 
 
-def _customer_rows(i: int) -> str:
+def _customer_rows(i: int | str) -> str:
     return f"""
       select c.c_custkey as customer_id, c.c_name as name,
              lower(replace(c.c_name, '#', '.')) || '@example.com' as email,
@@ -47,7 +51,7 @@ def _customer_rows(i: int) -> str:
       join region r on r.r_regionkey = n.n_regionkey"""
 
 
-def _product_batch(i: int) -> str:
+def _product_batch(i: int | str) -> str:
     return f"""
       select p.p_partkey as product_id, p.p_name as product_name,
              case when l.l_returnflag <> '{w.NO_CATEGORY_FLAG}' then p.p_type end as category,
@@ -139,13 +143,19 @@ _WITH = f"""
 with customer_rows0 as ({_customer_rows(0)}),
 customer_rows1 as ({_customer_rows(1)}),
 customer_rows2 as ({_customer_rows(2)}),
+customer_rows_all as ({_customer_rows(w.ALL)}),
+customer_rows_rest as ({_customer_rows(w.REST)}),
+customers_all as (select * from customer_rows_all where signup_date is not null),
+customers_rest as (select * from customer_rows_rest where signup_date is not null),
 customers0 as (select * from customer_rows0 where signup_date is not null),
 customers1 as (select * from customer_rows1 where signup_date is not null),
 customers2 as (select * from customer_rows2 where signup_date is not null),
 loaded as ({_opened('customers0 n', 'cast(n.signup_date as timestamp)')}),
 merged as ({_merge('loaded', 'customers1', _RUN1)}),
 dim_customer as ({_merge('merged', 'customers2', _RUN2)}),
-by_city as ({_merge('loaded', 'customers1', _RUN1, ('city',), refresh=True)}),
+loaded_all as ({_opened('customers_all n', 'cast(n.signup_date as timestamp)')}),
+merged_rest as ({_merge('loaded', 'customers_rest', _RUN1)}),
+by_city as ({_merge('loaded', 'customers_rest', _RUN1, ('city',), refresh=True)}),
 outcomes as (
   select coalesce(h.customer_id, n.customer_id) as customer_id,
          case when h.customer_id is null then 'new'
@@ -159,6 +169,9 @@ products0 as ({_product_batch(0)}),
 products1 as ({_product_batch(1)}),
 products2 as ({_product_batch(2)}),
 upserted as ({_upsert('products0', 'products1')}),
+products_all as ({_product_batch(w.ALL)}),
+products_rest as ({_product_batch(w.REST)}),
+upserted_rest as ({_upsert('products0', 'products_rest')}),
 products_now as ({_upsert('upserted', 'products2')}),
 dim_product as (
   select md5(cast(product_id as varchar)) as product_key, * from products_now),
@@ -242,15 +255,15 @@ def _outcome_sql(name: str) -> str:
 
 
 _BODIES: dict[str, str] = {
-    "conform_customers": f"select {_STAMPED} from customers1",
-    "conform_products": f"select {_PRODUCT} from products1",
+    "conform_customers": f"select {_STAMPED} from customers_all",
+    "conform_products": f"select {_PRODUCT} from products_all",
     "conform_orders": "select * from order_lines",
     "rejected_customers": f"""
       select * replace (cast(customer_id as varchar) as customer_id,
                         cast(signup_date as varchar) as signup_date,
                         {_text('updated_at')} as updated_at),
              'null_signup_date' as reject_reason
-      from customer_rows0 where signup_date is null""",
+      from customer_rows_all where signup_date is null""",
     "malformed_values": """
       select *, 'bad_whole_price' as reject_reason from whole_prices
       where not regexp_full_match(whole_price, '[0-9]+')""",
@@ -276,10 +289,10 @@ _BODIES: dict[str, str] = {
     ),
     "pool_customers": f"""
       select {_STAMPED} from (
-        select * from customer_rows1 union all select * from customer_rows0
-        where customer_id not in (select customer_id from customer_rows1))""",
-    "scd2_initial_load": f"select {_VERSION} from loaded",
-    "scd2_merged": f"select {_VERSION} from merged",
+        select * from customer_rows_rest union all select * from customer_rows0
+        where customer_id not in (select customer_id from customer_rows_rest))""",
+    "scd2_initial_load": f"select {_VERSION} from loaded_all",
+    "scd2_merged": f"select {_VERSION} from merged_rest",
     "scd2_backfill": f"select {_VERSION} from dim_customer",
     "scd2_outcomes": "select * from outcomes",
     "scd2_new_keys": _outcome_sql("new"),
@@ -295,15 +308,15 @@ _BODIES: dict[str, str] = {
     "scd2_overwrite_untracked": f"select {_VERSION} from by_city",
     "scd2_change_feed": f"""
       select n.* replace ({_text('n.updated_at')} as updated_at)
-      from customers1 n left join customers0 b on b.customer_id = n.customer_id
+      from customers_rest n left join customers0 b on b.customer_id = n.customer_id
       where b.customer_id is null or b.address is distinct from n.address
          or b.city is distinct from n.city or b.state is distinct from n.state""",
     "as_of_lookup": f"""select {_VERSION} from dim_customer
       where start_date <= timestamp '{q.AS_OF}' and timestamp '{q.AS_OF}' < end_date""",
     "scd1_initial_load": f"""
-      select md5(cast(product_id as varchar)) as product_key, {_PRODUCT} from products0""",
+      select md5(cast(product_id as varchar)) as product_key, {_PRODUCT} from products_all""",
     "scd1_upserted": f"""
-      select md5(cast(product_id as varchar)) as product_key, {_PRODUCT} from upserted""",
+      select md5(cast(product_id as varchar)) as product_key, {_PRODUCT} from upserted_rest""",
     "scd1_backfill": f"select {_PRODUCT} from dim_product",
     "interval_join_half_open": _interval_sql(),
     "interval_join_closed": _interval_sql("<="),
@@ -335,7 +348,7 @@ _BODIES: dict[str, str] = {
     "daily_sales_sliced": _DAILY_SALES,
     "repeated_keys": """select l_orderkey, l_linenumber, count(*) as n from lineitem
       group by l_orderkey, l_linenumber having count(*) > 1""",
-    "null_report": _nulls("customer_rows0", ("customer_id", "address", "city", "signup_date")),
+    "null_report": _nulls("customer_rows_all", ("customer_id", "address", "city", "signup_date")),
     "length_limits": " union all ".join(
         f"""select '{c}' as column_name, cast(max(length({c})) as integer) as max_length,
             count(*) filter (where length({c}) > {n}) as too_long from conversations"""
@@ -356,9 +369,9 @@ _BODIES: dict[str, str] = {
         )
     ),
     "orphan_values": """select o_custkey, count(*) as n from orders
-      where o_custkey not in (select customer_id from customers0) group by o_custkey""",
+      where o_custkey not in (select customer_id from customers_all) group by o_custkey""",
     "resolved_references": """select o_orderkey, o_custkey from orders
-      where o_custkey in (select customer_id from customers0)""",
+      where o_custkey in (select customer_id from customers_all)""",
     "current_flags": f"""
       select * from (
         select l_orderkey, count(*) filter (where is_current) as current_versions,

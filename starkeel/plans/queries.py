@@ -72,13 +72,13 @@ def query(run: Run) -> Run:
 
 @query
 def conform_customers(spark, d):
-    feed = w.as_feed(w.customer_rows(spark, d, 1))
+    feed = w.as_feed(w.customer_rows(spark, d, w.ALL))
     return accepted(feed, w.CUSTOMER, schemas.REQUIRED["customers"])
 
 
 @query
 def conform_products(spark, d):
-    return conform(w.as_feed(w.product_batch(spark, d, 1)), w.PRODUCT)
+    return conform(w.as_feed(w.product_batch(spark, d, w.ALL)), w.PRODUCT)
 
 
 @query
@@ -88,7 +88,7 @@ def conform_orders(spark, d):
 
 @query
 def rejected_customers(spark, d):
-    feed = w.as_feed(w.customer_rows(spark, d, 0))
+    feed = w.as_feed(w.customer_rows(spark, d, w.ALL))
     return rejected(feed, w.CUSTOMER, schemas.REQUIRED["customers"])
 
 
@@ -154,7 +154,7 @@ def latest_events(spark, d):
 def pool_customers(spark, d):
     """Customers known so far with today's rows put over them."""
     return pool(
-        w.customer_rows(spark, d, 0), w.customer_rows(spark, d, 1), ["customer_id"]
+        w.customer_rows(spark, d, 0), w.customer_rows(spark, d, w.REST), ["customer_id"]
     )
 
 
@@ -163,13 +163,13 @@ def pool_customers(spark, d):
 
 @query
 def scd2_initial_load(spark, d):
-    return scd2_init(w.customer_batch(spark, d, 0))
+    return scd2_init(w.customer_batch(spark, d, w.ALL))
 
 
 @query
 def scd2_merged(spark, d):
     return scd2_merge(
-        scd2_init(w.customer_batch(spark, d, 0)), w.customer_batch(spark, d, 1),
+        scd2_init(w.customer_batch(spark, d, 0)), w.customer_batch(spark, d, w.REST),
         w.CUSTOMER_RUNS[0],
     )
 
@@ -242,7 +242,7 @@ def scd2_overwrite_untracked(spark, d):
         tracked=("city",), start_from=CUSTOMERS.start_from, untracked=OVERWRITE,
     )
     return scd2_merge(
-        scd2_init(w.customer_batch(spark, d, 0), spec), w.customer_batch(spark, d, 1),
+        scd2_init(w.customer_batch(spark, d, 0), spec), w.customer_batch(spark, d, w.REST),
         w.CUSTOMER_RUNS[0], spec,
     )
 
@@ -251,7 +251,7 @@ def scd2_overwrite_untracked(spark, d):
 def scd2_change_feed(spark, d):
     """Rows of the next batch that are new or changed: the minimal daily feed."""
     return changed_rows(
-        w.customer_batch(spark, d, 0), w.customer_batch(spark, d, 1), "customer_id",
+        w.customer_batch(spark, d, 0), w.customer_batch(spark, d, w.REST), "customer_id",
         CUSTOMERS.tracked,
     )
 
@@ -266,14 +266,14 @@ def as_of_lookup(spark, d):
 
 @query
 def scd1_initial_load(spark, d):
-    return scd1_init(w.product_batch(spark, d, 0), "product_id", "product_key")
+    return scd1_init(w.product_batch(spark, d, w.ALL), "product_id", "product_key")
 
 
 @query
 def scd1_upserted(spark, d):
     return scd1_upsert(
         scd1_init(w.product_batch(spark, d, 0), "product_id", "product_key"),
-        w.product_batch(spark, d, 1), "product_id", "product_key",
+        w.product_batch(spark, d, w.REST), "product_id", "product_key",
     )
 
 
@@ -424,7 +424,7 @@ def repeated_keys(spark, d):
 @query
 def null_report(spark, d):
     return quality.null_counts(
-        w.customer_rows(spark, d, 0), ["customer_id", "address", "city", "signup_date"]
+        w.customer_rows(spark, d, w.ALL), ["customer_id", "address", "city", "signup_date"]
     )
 
 
@@ -459,16 +459,16 @@ def range_limits(spark, d):
 
 @query
 def orphan_values(spark, d):
-    """Customers that order but were not in the first customer batch."""
+    """Customers that order but have no known sign-up."""
     return quality.fk_violations(
-        table(spark, d, "orders"), w.customer_batch(spark, d, 0), "o_custkey", "customer_id"
+        table(spark, d, "orders"), w.customer_batch(spark, d, w.ALL), "o_custkey", "customer_id"
     )
 
 
 @query
 def resolved_references(spark, d):
     return quality.with_parent(
-        table(spark, d, "orders"), w.customer_batch(spark, d, 0), "o_custkey", "customer_id"
+        table(spark, d, "orders"), w.customer_batch(spark, d, w.ALL), "o_custkey", "customer_id"
     ).select("o_orderkey", "o_custkey")
 
 

@@ -30,6 +30,7 @@ NO_CATEGORY_FLAG = "N"
 CUSTOMER_RUNS = ("1996-01-01", "2000-06-01")
 PRODUCT_RUNS = ("1995-03-01", "2001-09-01")
 LINES_PER_ORDER = 10
+ALL, REST = "all", "rest"
 
 CUSTOMER = schemas.CUSTOMER
 PRODUCT = schemas.PRODUCT
@@ -61,8 +62,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _window(df: DataFrame, day: str, runs: tuple[str, ...], i: int) -> DataFrame:
-    """Rows of feed ``i``: from run date ``i`` (the first from the start) to the next."""
+def _window(df: DataFrame, day: str, runs: tuple[str, ...], i: int | str) -> DataFrame:
+    """Rows of feed ``i``: from run date ``i`` (the first from the start) to the next.
+
+    ``ALL`` takes every row, ``REST`` those of all feeds but the first.
+    """
+    if i == ALL:
+        return df
+    if i == REST:
+        return df.filter(F.col(day) >= F.lit(runs[0]).cast("timestamp_ntz"))
     if i > 0:
         df = df.filter(F.col(day) >= F.lit(runs[i - 1]).cast("timestamp_ntz"))
     if i < len(runs):
@@ -70,7 +78,7 @@ def _window(df: DataFrame, day: str, runs: tuple[str, ...], i: int) -> DataFrame
     return df
 
 
-def customer_rows(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
+def customer_rows(spark: SparkSession, sf_dir: str, i: int | str) -> DataFrame:
     """Customer batch ``i`` as the source sends it: some lack a sign-up date."""
     orders = _window(table(spark, sf_dir, "orders"), "o_orderdate", CUSTOMER_RUNS, i)
     specified = F.nullif("o_orderpriority", F.lit(NOT_SPECIFIED))
@@ -103,11 +111,11 @@ def customer_rows(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
     )
 
 
-def customer_batch(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
+def customer_batch(spark: SparkSession, sf_dir: str, i: int | str) -> DataFrame:
     return customer_rows(spark, sf_dir, i).filter(F.col("signup_date").isNotNull())
 
 
-def product_batch(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
+def product_batch(spark: SparkSession, sf_dir: str, i: int | str) -> DataFrame:
     lines = _window(table(spark, sf_dir, "lineitem"), "l_shipdate", PRODUCT_RUNS, i)
     sold = lines.groupBy("l_partkey").agg(
         F.max(
