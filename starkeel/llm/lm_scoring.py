@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import texts as T
 from .staging import Workspace
 
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 GROUPS = 32
 MEMBERS = 32
 CLASSES = GROUPS * MEMBERS
@@ -41,8 +41,10 @@ FREQUENT = 896
 WIDTH = 16
 WINDOW = 32
 CONTEXT = 8
+# Words whose ids a worker remembers.
+REMEMBERED = 200_000
 # One window in so many is trained on, in every training text's stream of ids.
-TRAIN_EVERY = 24
+TRAIN_EVERY = 32
 BATCH = 32
 RATE = 0.01
 # Windows trained on in all, at least: small inputs are passed over again, shifted.
@@ -71,6 +73,19 @@ def _encoder(path: str):
     return tiktoken.Encoding("subwords", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
 
 
+_memory: dict[bytes, list[int]] = {}
+
+
+def _ids(word: bytes, encoder) -> list[int]:
+    found = _memory.get(word)
+    if found is None:
+        found = encoder.encode_ordinary(" " + word.decode("utf-8", "replace"))
+        if len(_memory) >= REMEMBERED:
+            _memory.clear()
+        _memory[word] = found
+    return found
+
+
 class _Segment:
     """Words of some texts, each distinct word once."""
 
@@ -100,7 +115,7 @@ class _Segment:
         shift = np.cumsum([0, *map(len, self.hashes[:-1])])
         words = np.concatenate([inverse[w + s] for w, s in zip(self.words, shift, strict=True)])
         spelt = np.concatenate(self.spelt)[at]
-        subs = [encoder.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in spelt]
+        subs = [_ids(w, encoder) for w in spelt]
         lengths = np.array([len(s) for s in subs], dtype=np.int64)
         flat = np.array([i for s in subs for i in s], dtype=np.uint16)
         used = np.bincount(flat, np.repeat(train, lengths)) if len(flat) else np.empty(0)
@@ -143,7 +158,7 @@ def _segments(path: str):
             )
 
         for batch in batches:
-            for part in T.slices(batch, "text"):
+            for part in T.slices(batch, "text", SEGMENT_BYTES // 4):
                 open_.add(part)
                 if open_.size >= SEGMENT_BYTES:
                     yield closed()
@@ -395,6 +410,8 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1).to_pylist()[0]
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def _training(row: dict, classes: Classes) -> tuple[np.ndarray, np.ndarray]:

@@ -49,7 +49,6 @@ def test_query_over_the_whole_table(spark, documents):
 def test_many_segments_count_alike(spark, documents, monkeypatch):
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
     monkeypatch.setattr(M, "SEGMENT_BYTES", 10_000)
-    monkeypatch.setattr(M.T, "SLICE_BYTES", 4_000)
     got = M.score(documents.repartition(3), F.col("doc_id") % 3 == 0, RANKS).collect()
     close([tuple(r)[:6] for r in got], base(rows, lambda i: i % 3 == 0))
 
