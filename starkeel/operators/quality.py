@@ -179,3 +179,19 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     for c in counted[1:]:
         total = total.unionByName(c)
     return total
+
+
+def count_expectations(
+    frames: Mapping[str, DataFrame], expected: Mapping[str, tuple[int | None, int | None]]
+) -> DataFrame:
+    """Rows of each frame against the least and the most it should have.
+
+    None is no limit. ``met`` is false where the count lies outside.
+    """
+    limits = frames[next(iter(expected))].sparkSession.createDataFrame(
+        [(n, *limits) for n, limits in expected.items()], "table_name string, least bigint, most bigint"
+    )
+    counted = row_counts({n: frames[n] for n in expected}).join(limits, "table_name")
+    low = F.col("n") < F.coalesce("least", F.lit(0))
+    high = F.coalesce(F.col("n") > F.col("most"), F.lit(False))
+    return counted.select("table_name", "n", "least", "most", (~low & ~high).alias("met"))

@@ -410,6 +410,12 @@ _BODIES: dict[str, str] = {
         f"select '{t}' as table_name, count(*) as n from {t}"
         for t in ("customer", "part", "orders", "lineitem")
     ),
+    "count_expectations": " union all ".join(
+        f"""select '{t}' as table_name, n, cast({least or "null"} as bigint) as least,
+          cast({most or "null"} as bigint) as most,
+          n >= {least or 0} and n <= {most or 2**62} as met from (select count(*) as n from {t})"""
+        for t, (least, most) in q.EXPECTED_ROWS.items()
+    ),
     "ordered_ids": f"""
       select {_text('o_orderdate')} as o_orderdate, o_orderkey, o_custkey,
              row_number() over (order by o_orderdate, o_orderkey) + {q.FIRST_ORDER_ID - 1}

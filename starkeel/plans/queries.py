@@ -523,6 +523,17 @@ def table_sizes(spark, d):
     )
 
 
+EXPECTED_ROWS = {
+    "customer": (1, None), "part": (None, 100), "orders": (1000, 10**9), "lineitem": (10**12, None),
+}
+
+
+@query
+def count_expectations(spark, d):
+    frames = {n: table(spark, d, n) for n in EXPECTED_ROWS}
+    return quality.count_expectations(frames, EXPECTED_ROWS)
+
+
 # Numbering, sampling, scalars ---------------------------------------------------
 
 

@@ -121,3 +121,10 @@ def test_schema_comparison_names_what_differs():
     assert schemas.same_columns(swapped, schemas.struct(a=schemas.INT, b=schemas.INT)) == [
         "columns are in another order"
     ]
+
+
+def test_counts_outside_their_limits_are_named(spark):
+    frames = {"a": spark.range(5), "b": spark.range(0)}
+    found = q.count_expectations(frames, {"a": (5, 5), "b": (1, None)})
+    assert rows_of(found, "table_name", "n", "met") == [("a", 5, True), ("b", 0, False)]
+    assert q.count_expectations(frames, {"a": (None, 4)}).first()["met"] is False
