@@ -218,14 +218,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     Null, empty and blank texts have an empty set and are linked with nothing.
     Rows that share a doc_id are judged each by its own text, under that id. A
-    row without doc_id is linked with nothing, has no component and is kept. An empty table gives an empty
-    result; other columns are not read.
+    row without doc_id is linked with nothing, has no component and is kept. An
+    empty table gives an empty result; other columns are not read.
 
     Links are exact, on the full sets as 64-bit hashes. A pair at the threshold
     shares a prefix of ``LEAST_PREFIX`` in one of the orders with a probability
-    of 1 - 10^-7, more above it; see the README for the recall measured. Sets are only made for documents that have a
-    candidate. A hot group costs one row per member and tree, its members are
-    compared with their neighbours only, and its sort is split by key range.
+    of 1 - 10^-7, more above it; see the README for the recall measured. Sets are
+    only made for documents that have a candidate. A hot group costs one row per
+    member and tree, its members are compared with their neighbours only, and its
+    sort is split by key range.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "near-duplicates")
