@@ -129,7 +129,7 @@ class _Segment:
             hashes.tobytes(),
             train.tobytes(),
             flat.tobytes(),
-            lengths.astype("<u2").tobytes(),
+            lengths.astype("<u4").tobytes(),
             ids.tolist(),
             used[ids].astype(np.int64).tolist(),
         )
@@ -243,7 +243,7 @@ def _streams(row: dict, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.nd
     words = np.frombuffer(row["words"], "<u4").astype(np.int64)
     n_words = np.frombuffer(row["n_words"], "<i4").astype(np.int64)
     sub = np.frombuffer(row["sub"], np.uint16)
-    lengths = np.frombuffer(row["sub_lengths"], "<u2").astype(np.int64)
+    lengths = np.frombuffer(row["sub_lengths"], "<u4").astype(np.int64)
     begins = np.cumsum(lengths) - lengths
     own = lengths[words]
     ends = np.cumsum(own)

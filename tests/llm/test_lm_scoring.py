@@ -138,3 +138,28 @@ def test_training_helps_on_unseen_texts(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     held = M.score(df, F.col("doc_id") >= 540, RANKS).filter("held_out").collect()
     assert len(held) == 60 and all(r["score"] > 0.7 * r["base_score"] for r in held)
+
+
+def segment_row(texts, held=None):
+    """The stored segment of some texts."""
+    import pyarrow as pa
+
+    own = M._Segment()
+    held = held or [False] * len(texts)
+    columns = [pa.array(range(len(texts)), pa.int64()), pa.array(held, pa.bool_()), pa.array(texts, pa.string())]
+    own.add(pa.RecordBatch.from_arrays(columns, ["doc_id", "held", "text"]))
+    return dict(zip(M._SEGMENT_NAMES, own.row(0, M._encoder(RANKS)), strict=True))
+
+
+def test_a_word_of_very_many_ids():
+    """More ids than 16 bits can count, beside normal texts: each as if it stood alone."""
+    rng = np.random.default_rng(1)
+    long = "".join(map(chr, rng.integers(0x4E00, 0x9000, 70_000)))
+    texts = ["one two three", f"before {long} after", "four five one", long]
+    classes = M.Classes.from_counts(rng.integers(0, 100, 1 << 16).astype(float))
+    stream, within, starts = M._streams(segment_row(texts), classes)
+    assert np.diff(starts).max() > 1 << 16
+    for n, text in enumerate(texts):
+        own, own_within, _ = M._streams(segment_row([text]), classes)
+        assert np.array_equal(stream[starts[n] : starts[n + 1]], own)
+        assert np.array_equal(within[starts[n] : starts[n + 1]], own_within)
