@@ -7,9 +7,10 @@ class by a softmax within the group, and the id within the class by training
 counts. Frequent ids are classes of their own; the others share classes of
 equal training weight. Both softmaxes add up a bigram table, counted over all
 training texts, and what one head of causal self-attention over the last ids
-contributes. The attention's weights are trained in numpy: each task passes
-over evenly spaced windows of its training texts, all tasks from the same
-start, and their weights are averaged by the number of windows.
+contributes. The attention's weights are trained in numpy: each task makes
+``PASSES`` passes over all ids of its training texts in consecutive windows, all
+tasks from the same start, and their weights are averaged by the number of
+windows.
 
 Scoring cuts a text into windows that overlap by ``CONTEXT`` ids; each id is
 scored once, in the window where it has most context, and windows are run
@@ -43,12 +44,10 @@ WINDOW = 32
 CONTEXT = 8
 # Words whose ids a worker remembers.
 REMEMBERED = 200_000
-# One window in so many is trained on, in every training text's stream of ids.
-TRAIN_EVERY = 32
+# Passes over all training ids, whatever their number.
+PASSES = 2
 BATCH = 32
 RATE = 0.01
-# Windows trained on in all, at least: small inputs are passed over again, shifted.
-LEAST_WINDOWS = 20_000
 SMOOTH = 0.1
 # Weight of the classes' shares in a row of the bigram table.
 PULL = 20
@@ -302,11 +301,16 @@ class Model:
         s /= s.sum(axis=2, keepdims=True)
         return x, q, k, v, s, x + s @ v
 
-    def step(self, before: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradients of the mean log loss over one batch of windows."""
+    def step(self, before: np.ndarray, target: np.ndarray, valid: np.ndarray | None = None) -> dict[str, np.ndarray]:
+        """Gradients of the mean log loss over one batch of windows.
+
+        Places that are not ``valid`` come last in their window and add nothing.
+        """
         w = self.weights
         x, q, k, v, a, h = self.attend(before)
         flat, prev, y = h.reshape(-1, WIDTH), before.ravel(), target.ravel()
+        places = slice(None) if valid is None else np.flatnonzero(valid.ravel())
+        flat, prev, y = flat[places], prev[places], y[places]
         n, (group, member) = len(y), np.divmod(y, MEMBERS)
         z = _softmax(flat @ w["g"] + self.groups[prev])
         z[np.arange(n), group] -= 1
@@ -320,14 +324,16 @@ class Model:
             z /= n
             grads["m"][g] = own.T @ z
             dh[at] += z @ w["m"][g].T
-        dh = dh.reshape(h.shape)
+        whole = np.zeros((before.size, WIDTH), dh.dtype)
+        whole[places] = dh
+        dh = whole.reshape(h.shape)
         da = dh @ v.transpose(0, 2, 1)
         ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
         dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
         dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
         de = np.zeros_like(w["e"])
         flat_dx = dx.reshape(-1, WIDTH)
-        for c, at in _by_value(prev):
+        for c, at in _by_value(before.ravel()):
             de[c] = flat_dx[at].sum(axis=0)
         rows = x.reshape(-1, WIDTH).T
         for name, d in (("q", dq), ("k", dk), ("v", dv)):
@@ -422,30 +428,26 @@ def _training(row: dict, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _train(shared):
-    """One task's weights after a pass of Adam over its windows, and the number of windows."""
+    """One task's weights after ``PASSES`` passes of Adam over all its ids, and the number of windows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, initial, passes = shared.value
+        classes, initial = shared.value
         model = Model(dict(initial.weights), initial.groups, initial.members)
         first = {n: np.zeros_like(w) for n, w in model.weights.items()}
         second = {n: np.zeros_like(w) for n, w in model.weights.items()}
         steps = windows = 0
         for row in _rows(batches):
             stream, _ = _training(row, classes)
+            size = len(stream)
+            # The last window may reach past the end.
+            stream = np.concatenate([stream, np.zeros(-size % WINDOW, stream.dtype)])
             before = np.concatenate([[0], stream[:-1]])
-            spaced = np.arange(0, len(stream) - WINDOW, WINDOW * TRAIN_EVERY)
             # Not in the order of the text, so that a batch holds many texts.
             rng = np.random.default_rng(11)
-            begins = np.concatenate(
-                [
-                    rng.permutation((spaced + k * WINDOW) % max(1, len(stream) - WINDOW))
-                    for k in range(passes if len(spaced) else 0)
-                ]
-                or [np.empty(0, np.int64)]
-            )
+            begins = np.concatenate([rng.permutation(np.arange(0, size, WINDOW)) for _ in range(PASSES)])
             for a in range(0, len(begins), BATCH):
                 at = begins[a : a + BATCH, None] + np.arange(WINDOW)
-                grads = model.step(before[at], stream[at])
+                grads = model.step(before[at], stream[at], None if at.max() < size else at < size)
                 steps += 1
                 windows += len(at)
                 for n, g in grads.items():
@@ -482,10 +484,8 @@ def learn(segments: DataFrame) -> tuple[Classes, Model]:
     table = np.zeros(CLASSES * CLASSES)
     table[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
     model = Model.of_pairs(table.reshape(CLASSES, CLASSES))
-    windows = counts.sum() / (WINDOW * TRAIN_EVERY)
-    passes = int(min(2 * TRAIN_EVERY, max(1, -(-LEAST_WINDOWS // max(1, windows)))))
     trained = streams.mapInArrow(
-        _train(context.broadcast((classes, model, passes))), "place int, weight double, windows bigint"
+        _train(context.broadcast((classes, model))), "place int, weight double, windows bigint"
     )
     share = F.sum(F.col("weight") * F.col("windows")) / F.sum("windows")
     averaged = trained.groupBy("place").agg(share.alias("weight")).orderBy("place").toPandas()

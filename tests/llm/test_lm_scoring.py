@@ -163,3 +163,45 @@ def test_a_word_of_very_many_ids():
         own, own_within, _ = M._streams(segment_row([text]), classes)
         assert np.array_equal(stream[starts[n] : starts[n + 1]], own)
         assert np.array_equal(within[starts[n] : starts[n + 1]], own_within)
+
+
+@pytest.mark.parametrize("sizes", [[3], [40, 1, 7], [200] * 40])
+def test_every_training_id_is_trained_on_alike(sizes, monkeypatch):
+    """Each id of each training text as often as any other, in short and in long inputs; held-out ones never."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 500, n)) for n in sizes] + ["held out words"]
+    row = segment_row(texts, [False] * len(sizes) + [True])
+    classes = M.Classes.from_counts(rng.integers(0, 100, 1 << 16).astype(float))
+    stream, _ = M._training(row, classes)
+    met, step = Counter(), M.Model.step
+
+    def spy(self, before, target, valid=None):
+        own = np.ones(target.shape, bool) if valid is None else valid
+        met.update(zip(before[own].tolist(), target[own].tolist(), strict=True))
+        return step(self, before, target, valid)
+
+    monkeypatch.setattr(M.Model, "step", spy)
+    kinds = dict(zip(M._SEGMENT_NAMES, M._SEGMENT_TYPES, strict=True))
+    names = ["held", "n_words", "words", "sub", "sub_lengths"]
+    batch = pa.RecordBatch.from_arrays([pa.array([row[n]], kinds[n]) for n in names], names)
+    (out,) = M._train(SimpleNamespace(value=(classes, model())))([batch])
+    expected = Counter(zip([0, *stream[:-1].tolist()], stream.tolist(), strict=True))
+    assert met == {pair: M.PASSES * n for pair, n in expected.items()}
+    assert out.column("windows")[0].as_py() == M.PASSES * -(-len(stream) // M.WINDOW)
+    assert np.isfinite(out.column("weight").to_numpy()).all()
+
+
+def test_places_past_the_end_add_nothing():
+    own, rng = model(5), np.random.default_rng(6)
+    before, target = rng.integers(0, 40, (2, 2, M.WINDOW))
+    valid = np.arange(M.WINDOW) < np.array([[M.WINDOW], [9]])
+    other = before.copy(), target.copy()
+    for x in other:
+        x[~valid] = 77
+    one, two = own.step(before, target, valid), own.step(*other, valid)
+    for name in one:
+        assert two[name] == pytest.approx(one[name], abs=1e-6)
