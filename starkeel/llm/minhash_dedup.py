@@ -13,9 +13,13 @@ with the longest common prefixes stand side by side.
 
 Candidates are confirmed on the full sets. Rounds follow as long as one finds a
 link: each passes over neighbours that are already in the same component, so
-that a document of a dense region meets those it is not yet linked to. The
-number of candidates is in proportion to the number of documents in every
-round, whatever the groups.
+that a document of a dense region meets those it is not yet linked to. They
+only make components large at little cost; what they leave out, a last pass
+makes up for: in each region, all pairs of different components that have not
+been checked are candidates. Their number is that of the members outside the
+region's largest component times all members, so it is small for copies of one
+text and grows with the square where many texts are alike just below the
+threshold.
 """
 
 from __future__ import annotations
@@ -223,10 +227,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     Links are exact, on the full sets as 64-bit hashes. A pair at the threshold
     shares a prefix of ``LEAST_PREFIX`` in one of the orders with a probability
-    of 1 - 10^-7, more above it; see the README for the recall measured. Sets are
-    only made for documents that have a candidate. A hot group costs one row per
-    member and tree, its members are compared with their neighbours only, and its
-    sort is split by key range.
+    of 1 - 10^-7 (85 percent), more above it, and all pairs that share one and are
+    not in one component are checked. Sets are only made for documents that have
+    a candidate. A hot group costs one row per member and tree, and its sort is
+    split by key range.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "near-duplicates")
@@ -236,7 +240,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = work.write(
         features.filter("doc_id is not null and n_shingles > 0")
         .groupBy("set_a", "set_b")
-        .agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature")),
+        .agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature")),
         "classes",
     )
     links = _links(rows, classes, percent, work)
@@ -308,21 +312,10 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
         if checked is not None:
             new = new.join(checked, ["u", "v"], "left_anti")
         new = work.write(new, f"new-{round_}")
-        nodes = new.select(F.col("u").alias("doc_id")).union(new.select("v")).distinct()
-        if sets is not None:
-            nodes = nodes.join(sets.select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
-        nodes = work.write(nodes, f"nodes-{round_}")
-        found = work.write(_shingle_sets(rows.join(nodes, "doc_id", "left_semi")), f"sets-{round_}")
-        sets = found if sets is None else sets.unionByName(found)
-        pairs = (
-            new.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("shingles_u")), "u")
-            .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("shingles_v")), "v")
-            .mapInArrow(_confirm(percent, 100), "u bigint, v bigint")
-        )
-        links = work.write(pairs, f"links-{round_}")
+        links, sets = _confirmed(new, rows, sets, percent, work, str(round_))
         checked = new if checked is None else checked.unionByName(new)
         if round_ and links.isEmpty():
-            return star
+            break
         star = components(star.unionByName(links), work, f"components-{round_}")
         if round_:
             # Who met nobody new meets nobody later: only components have grown.
@@ -331,6 +324,74 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
         else:
             trees, window = TREES, WINDOW
         round_ += 1
+    rest = work.write(_unchecked(classes, star, percent, work).join(checked, ["u", "v"], "left_anti"), "new-last")
+    if rest.isEmpty():
+        return star
+    links, _ = _confirmed(rest, rows, sets, percent, work, "last")
+    return components(star.unionByName(links), work, "components-last")
+
+
+def _confirmed(
+    new: DataFrame, rows: DataFrame, sets: DataFrame | None, percent: int, work: Workspace, name: str
+) -> tuple[DataFrame, DataFrame]:
+    """The links among candidates ``new``, and the sets made so far."""
+    nodes = new.select(F.col("u").alias("doc_id")).union(new.select("v")).distinct()
+    if sets is not None:
+        nodes = nodes.join(sets.select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
+    nodes = work.write(nodes, f"nodes-{name}")
+    found = work.write(_shingle_sets(rows.join(nodes, "doc_id", "left_semi")), f"sets-{name}")
+    sets = found if sets is None else sets.unionByName(found)
+    pairs = (
+        new.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("shingles_u")), "u")
+        .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("shingles_v")), "v")
+        .mapInArrow(_confirm(percent, 100), "u bigint, v bigint")
+    )
+    return work.write(pairs, f"links-{name}"), sets
+
+
+def _unchecked(classes: DataFrame, star: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """Pairs (u < v) of different components that share a region in any order.
+
+    Left out are only pairs whose sizes alone rule a link out. A region's rows
+    are counted per component; those outside its largest component are joined
+    with all of its rows.
+    """
+    label = star.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    rows = classes.select("node", "n", "signature").join(label, "node", "left")
+    rows = rows.select("node", "n", "signature", F.coalesce("label", "node").alias("component"))
+    rows = rows.mapInArrow(_regions, "region bigint, node bigint, n bigint, component bigint")
+    sizes = rows.groupBy("region", "component").agg(F.count("*").alias("size"))
+    top = sizes.groupBy("region").agg(
+        F.count("*").alias("components"), F.max(F.struct("size", "component"))["component"].alias("top")
+    )
+    rows = work.write(rows.join(top.filter("components > 1").drop("components"), "region"), "regions")
+    outside = rows.filter("component <> top").select(
+        "region", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of_a")
+    )
+    met = outside.join(rows, "region").filter(
+        (F.col("of_a") != F.col("component"))
+        & ((F.col("component") == F.col("top")) | (F.col("a") < F.col("node")))
+        & (100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a"))
+    )
+    return met.select(F.least("a", "node").alias("u"), F.greatest("a", "node").alias("v")).distinct()
+
+
+def _regions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per class and order: a hash of the order and the first ``LEAST_PREFIX`` values."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1024):
+            part = batch.slice(start, 1024)
+            n = part.num_rows
+            sig = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint32).reshape(n, HASHES)
+            for t in range(TREES):
+                region = np.full(n, t, np.uint64)
+                for p in range(LEAST_PREFIX):
+                    region = T.mix(region ^ sig[:, _ORDERS[t, p]].astype(np.uint64))
+                    region += np.uint64(p + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(region.view(np.int64)), *(part.column(c) for c in ("node", "n", "component"))],
+                    ["region", "node", "n", "component"],
+                )
 
 
 def _shingle_sets(docs: DataFrame) -> DataFrame:

@@ -132,3 +132,18 @@ def test_window_goes_past_its_own_component(window):
     batches = [rows.slice(a, 7) for a in range(0, n, 7)]
     found = {(r["u"], r["v"]) for b in minhash_dedup._neighbours(window, 100)(batches) for r in b.to_pylist()}
     assert found == {(a, b) for a in range(20) for b in range(20, 20 + window)}
+
+
+def just_below(seed, groups=4, size=150):
+    """Groups in which two texts are linked, each also alike just below the threshold to most others."""
+    rng, texts = random.Random(seed), []
+    for g in range(groups):
+        base = [f"g{g}b{i}" for i in range(150)]
+        texts += [edited(base, 1 if i < 2 else 2, rng) for i in range(size)]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_no_link_is_missed_just_above_many_refuted_pairs(spark):
+    rows = just_below(1)
+    assert got(minhash_dedup.near_duplicates(spark.createDataFrame(rows, DOCS))) == expected(rows)
