@@ -318,7 +318,7 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
             break
         star = components(star.unionByName(links), work, f"components-{round_}")
         if round_:
-            # Who met nobody new meets nobody later: only components have grown.
+            # Who met nobody new is left to the last pass, which takes all classes.
             met = new.select(F.col("u").alias("node")).union(new.select("v")).distinct()
             members = classes.join(met, "node", "left_semi").select("node", "signature")
         else:

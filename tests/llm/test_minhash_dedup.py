@@ -147,3 +147,10 @@ def just_below(seed, groups=4, size=150):
 def test_no_link_is_missed_just_above_many_refuted_pairs(spark):
     rows = just_below(1)
     assert got(minhash_dedup.near_duplicates(spark.createDataFrame(rows, DOCS))) == expected(rows)
+
+
+def test_rounds_that_see_little_lose_nothing(spark, monkeypatch):
+    """With one neighbour a round, rounds end early and drop rows; the result is whole all the same."""
+    rows = just_below(2)
+    monkeypatch.setattr(minhash_dedup, "WINDOW", 1)
+    assert got(minhash_dedup.near_duplicates(spark.createDataFrame(rows, DOCS))) == expected(rows)
