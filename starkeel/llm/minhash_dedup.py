@@ -46,8 +46,6 @@ FIRST_WINDOW = 1
 # Neighbours looked at in each order, and how many of them become candidates.
 WINDOW = 32
 BEST = 2
-# Rows of one component that a task remembers while it waits for the next component.
-CARRIED = 200_000
 
 _rng = np.random.default_rng(5)
 _FACTOR = _rng.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -124,20 +122,16 @@ def _forest(trees: int):
     return run
 
 
-def _alike(threshold: float) -> int:
-    """Equal sketch bits that a pair at the threshold falls below once in 30,000 times (four deviations)."""
-    p = (1 + threshold) / 2
-    return int(HASHES * p - 4 * (HASHES * p * (1 - p)) ** 0.5)
-
-
-def _neighbours(window: int, least_equal: int):
+def _neighbours(window: int, most: int):
     """Candidates among rows sorted by (tree, key).
 
     A row is held against the ``window`` rows after the end of its run, a run
-    being rows of one component; the ``BEST`` of them by sketch are its
-    candidates. Rows that the following batches may still meet are carried over.
+    being rows of one component; the ``most`` of them that are most alike by
+    sketch are its candidates. Rows that the following batches may still meet are carried over.
     """
 
+    most = min(most, window)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
@@ -163,8 +157,8 @@ def _neighbours(window: int, least_equal: int):
             ends = np.flatnonzero(np.concatenate([component[1:] != component[:-1], [True]])) + 1
             run_end = ends[np.searchsorted(ends, np.arange(n), side="right")]
             # The most alike of the window, best first.
-            score = np.full((BEST, n), -1)
-            best = np.zeros((BEST, n), dtype=np.int64)
+            score = np.full((most, n), -1)
+            best = np.zeros((most, n), dtype=np.int64)
             for k in range(window):
                 i = np.flatnonzero(run_end + k < n)
                 j = run_end[i] + k
@@ -174,8 +168,7 @@ def _neighbours(window: int, least_equal: int):
                 new = same & (j >= old) & (component[i] != component[j])
                 i, j = i[new], j[new]
                 equal = HASHES - np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1).astype(np.int64)
-                i, j, equal = i[equal >= least_equal], j[equal >= least_equal], equal[equal >= least_equal]
-                for rank in range(BEST):
+                for rank in range(most):
                     ahead = equal > score[rank, i]
                     old_equal, old_j = score[rank, i[ahead]], best[rank, i[ahead]]
                     score[rank, i[ahead]], best[rank, i[ahead]] = equal[ahead], j[ahead]
@@ -187,7 +180,7 @@ def _neighbours(window: int, least_equal: int):
             # Rows of the last region whose window reaches past the last row may meet rows to come.
             starts = np.concatenate([[0], ends[:-1]])
             open_run = starts[np.searchsorted(ends, max(0, n - window), side="right")]
-            begin = max(int(np.searchsorted(region, region[-1])), int(open_run), n - window - CARRIED)
+            begin = max(int(np.searchsorted(region, region[-1])), int(open_run))
             held = tuple(r[begin:] for r in rows)
             if len(left):
                 pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
@@ -295,7 +288,6 @@ def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
 def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -> DataFrame:
     """Each linked node with the smallest node of its component (columns u, v)."""
     forest_schema = "tree int, key binary, node bigint, component bigint, sketch binary"
-    least_equal = _alike(percent / 100)
     star = rows.sparkSession.createDataFrame([], "u bigint, v bigint")
     checked = sets = None
     members = classes.select("node", "signature")
@@ -308,7 +300,7 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
             .repartitionByRange("tree", "key", "node")
             .sortWithinPartitions("tree", "key", "component", "node")
         )
-        new = forest.mapInArrow(_neighbours(window, least_equal), "u bigint, v bigint").distinct()
+        new = forest.mapInArrow(_neighbours(window, BEST), "u bigint, v bigint").distinct()
         if checked is not None:
             new = new.join(checked, ["u", "v"], "left_anti")
         new = work.write(new, f"new-{round_}")

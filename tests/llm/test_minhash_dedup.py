@@ -154,3 +154,33 @@ def test_rounds_that_see_little_lose_nothing(spark, monkeypatch):
     rows = just_below(2)
     monkeypatch.setattr(minhash_dedup, "WINDOW", 1)
     assert got(minhash_dedup.near_duplicates(spark.createDataFrame(rows, DOCS))) == expected(rows)
+
+
+def many(n, components, sketches):
+    import numpy as np
+    import pyarrow as pa
+
+    key = b"\0" * (4 * minhash_dedup.DEPTH)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.zeros(n, np.int32)),
+            pa.array([key] * n, pa.binary()),
+            pa.array(np.arange(n)),
+            pa.array(components),
+            pa.array(sketches, pa.binary()),
+        ],
+        ["tree", "key", "node", "component", "sketch"],
+    )
+
+
+def test_a_run_of_any_length_meets_the_next_component():
+    n, width = 250_001, minhash_dedup.HASHES // 8
+    rows = many(n, [0] * (n - 1) + [1], [b"\0" * width] * n)
+    batches = [rows.slice(a, 50_000) for a in range(0, n, 50_000)]
+    assert sum(b.num_rows for b in minhash_dedup._neighbours(1, 100)(batches)) == n - 1
+
+
+def test_the_sketch_rejects_nobody():
+    width = minhash_dedup.HASHES // 8
+    rows = many(2, [0, 1], [b"\0" * width, b"\xff" * width])
+    assert sum(b.num_rows for b in minhash_dedup._neighbours(1, 100)([rows])) == 1
