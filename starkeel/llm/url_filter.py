@@ -4,9 +4,12 @@ Rules name a host and a path prefix and decide the pages they fit. Every other
 page takes its host's verdict. A host is trusted by the share of its pages
 that rules allow and distrusted by the share they block. Trust follows links
 from trusted hosts (personalised PageRank), distrust follows them backwards
-from blocked ones: who links to a blocked host is suspect. A host without
-links keeps what it has. A host is blocked if its distrust reaches the
-threshold and exceeds its trust.
+from blocked ones: who links to a blocked host is suspect. Distrust is the
+chance that a walk along a host's links, given up with 1 - ``DAMPING`` at each
+step, meets a blocked page; how many others link to the blocked host does not
+matter. A host without links keeps what it has. A host is blocked if its
+distrust reaches the threshold and exceeds its trust, or if the share of its own
+pages that rules block does so by itself.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from .staging import Workspace
 
 DAMPING = 0.85
+# Rounds that the SQL equivalent writes out; the query goes on until nothing moves.
 ROUNDS = 10
 SETTLED = 1e-9
 DISTRUST = 0.5
@@ -71,34 +75,39 @@ def links(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, work: Workspace, name: str, rounds: int = ROUNDS) -> DataFrame:
-    """``host`` and ``mass`` after so many rounds (fewer if nothing moves any more) from ``seeds`` (host, seed) along ``edges`` (src, dst).
+def propagate(seeds: DataFrame, edges: DataFrame, work: Workspace, name: str, share: bool = False) -> DataFrame:
+    """``host`` and ``mass``, settled, from ``seeds`` (host, seed) along ``edges`` (src, dst).
 
-    A host passes its mass on in equal parts; one without links keeps it.
+    A host passes its mass on in equal parts; one without links keeps it. With
+    ``share``, each host takes the mean of those that it links to instead,
+    ``DAMPING`` of it for the part that is not its own seed.
     """
     degree = edges.groupBy("src").agg(F.count("*").alias("degree"))
     nodes = seeds.join(degree, seeds["host"] == degree["src"], "left").select("host", "seed", "degree")
     nodes = work.write(nodes, f"{name}-nodes")
-    now = nodes.select("host", F.col("seed").alias("mass"))
-    for k in range(rounds):
-        sent = nodes.select("host", "degree").join(now, "host").filter("mass <> 0")
-        passed = sent.filter("degree is not null").join(edges, F.col("host") == edges["src"])
-        received = (
-            passed.select(F.col("dst").alias("host"), (F.col("mass") / F.col("degree")).alias("part"))
-            .unionByName(sent.filter("degree is null").select("host", F.col("mass").alias("part")))
-            .groupBy("host")
-            .agg(F.sum("part").alias("part"))
-        )
-        moved = nodes.join(received, "host", "left").select(
-            "host",
-            ((1 - DAMPING) * F.col("seed") + DAMPING * F.coalesce("part", F.lit(0.0))).alias("mass"),
-        )
-        new = work.write(moved, f"{name}-{k}")
-        change = new.join(now.withColumnRenamed("mass", "was"), "host").agg(F.max(F.abs(F.col("mass") - F.col("was"))))
-        now = new
-        if (change.first()[0] or 0.0) < SETTLED:
-            break
-    return now
+    now, k = nodes.select("host", F.col("seed").alias("mass")), 0
+    seed, part = F.col("seed"), F.coalesce("part", F.lit(0.0))
+    while True:
+        if share:
+            sent = now.filter("mass <> 0").join(edges, F.col("host") == edges["dst"])
+            sent = sent.select(F.col("src").alias("host"), "mass")
+            mass = seed + (1 - seed) * DAMPING * part / F.coalesce("degree", F.lit(1))
+        else:
+            sent = nodes.filter("degree is not null").select("host", "degree").join(now, "host").filter("mass <> 0")
+            sent = sent.join(edges, F.col("host") == edges["src"])
+            sent = sent.select(F.col("dst").alias("host"), (F.col("mass") / F.col("degree")).alias("mass"))
+            # What a host without links keeps in all rounds, added up.
+            kept = seed + DAMPING / (1 - DAMPING) * part
+            mass = F.when(F.col("degree").isNull(), kept).otherwise((1 - DAMPING) * seed + DAMPING * part)
+        received = sent.groupBy("host").agg(F.sum("mass").alias("part"))
+        new = work.write(nodes.join(received, "host", "left").select("host", mass.alias("mass")), f"{name}-{k}")
+        moved = F.abs(F.col("mass") - F.col("was")) / F.greatest(F.lit(1.0), F.col("mass"))
+        change = new.join(now.withColumnRenamed("mass", "was"), "host").agg(F.max(moved)).first()[0]
+        if k:
+            work.drop(f"{name}-{k - 1}")
+        now, k = new, k + 1
+        if (change or 0.0) < SETTLED:
+            return now
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -129,10 +138,12 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     linked = edges.select(F.col("dst").alias("host"), F.lit(0.0).alias("allowed"), F.lit(0.0).alias("blocked"))
     hosts = hosts.unionByName(linked.distinct()).groupBy("host").agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked"))
     hosts = work.write(hosts, "hosts")
-    backwards = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     trust = propagate(hosts.select("host", F.col("allowed").alias("seed")), edges, work, "trust")
-    distrust = propagate(hosts.select("host", F.col("blocked").alias("seed")), backwards, work, "distrust")
+    distrust = propagate(hosts.select("host", F.col("blocked").alias("seed")), edges, work, "distrust", share=True)
     verdicts = trust.withColumnRenamed("mass", "trust").join(distrust.withColumnRenamed("mass", "distrust"), "host")
+    verdicts = verdicts.join(hosts, "host")
+    suspect = (F.col("distrust") >= DISTRUST) & (F.col("distrust") > F.greatest("trust", "allowed"))
+    blocked = (F.col("blocked") >= DISTRUST) & (F.col("blocked") > F.col("allowed"))
     result = judged.join(verdicts, "host", "left").select(
         "page_id",
         "host",
@@ -140,7 +151,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         "rule",
         F.coalesce(
             "said",
-            F.when((F.col("distrust") >= DISTRUST) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow"),
+            F.when(suspect | blocked, "block").otherwise("allow"),
         ).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"),
         F.coalesce("distrust", F.lit(0.0)).alias("distrust"),

@@ -141,3 +141,17 @@ def test_trust_and_distrust_spread(spark):
         sent = {"friend.com": mass["good.org"], "friend2.com": mass["friend.com"] + mass["friend2.com"], "good.org": 0.0}
         mass = {h: 0.15 * seed[h] + 0.85 * sent[h] for h in mass}
     assert by["friend.com"]["trust"] == pytest.approx(mass["friend.com"])
+
+
+@pytest.mark.parametrize("n", [2, 1000])
+def test_distrust_does_not_thin_out_with_the_number_of_linkers(spark, n):
+    """Hosts that link to a blocked one are caught however many there are; the blocked one stays blocked."""
+    rows = [page(i, f"http://s{i}.com/", "http://bad.com/de/") for i in range(n)]
+    rows += [page(n + i, f"http://bad.com/de/{i}") for i in range(9)] + [page(n + 9, "http://bad.com/other")]
+    rules = (url_filter.Rule("block", "bad.com", "/de/"),)
+    rows += [page(n + 10, "http://far.com/", "http://s0.com/", "http://s1.com/"), page(n + 11, "http://mixed.com/", *[f"http://x{i}.com/" for i in range(9)], "http://bad.com/")]
+    by = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame(rows, PAGES), rules).collect()}
+    assert all(by[i]["verdict"] == "block" and by[i]["distrust"] == pytest.approx(0.85 * 0.9) for i in range(n))
+    assert by[n + 9]["verdict"] == "block" and by[n + 9]["distrust"] == pytest.approx(0.9)
+    assert by[n + 10]["distrust"] == pytest.approx(0.85**2 * 0.9) and by[n + 10]["verdict"] == "block"
+    assert by[n + 11]["distrust"] == pytest.approx(0.085 * 0.9) and by[n + 11]["verdict"] == "allow"
