@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +18,15 @@ from . import (
     license_scan,
     lm_scoring,
     minhash_dedup,
+    periodic_runs,
+    quality_rules,
+    tokens,
     toxicity,
     url_filter,
+    vector_codes,
 )
+from .staging import Workspace
+from .texts import slices
 
 TOXIC = 0.3
 RULES = (
@@ -122,6 +130,86 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; one text in ten repeats some of its words periodically up to its end.
+
+    With h the checksum of the id and g = h // 10, texts with h % 10 = 0 have each
+    word i from a = g % n on replaced by word a + (i - a) % p, p = 1 + (n - a) // (3 + g % 8).
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = tokens.words(part.column("text"))
+                start, n = words.firsts[:-1], np.diff(words.firsts)
+                g = part.column("g").to_numpy(zero_copy_only=False)
+                a = g % np.maximum(n, 1)
+                p = 1 + (n - a) // (3 + g % 8)
+                own = words.text
+                i = np.arange(len(own)) - start[own]
+                source = start[own] + np.where(i < a[own], i, a[own] + (i - a[own]) % p[own])
+                text = tokens.joined(words.values.take(pa.array(source)), words.firsts)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), text], ["doc_id", "text"])
+
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    planted = docs.filter(chosen).select("doc_id", "text", F.floor(h / 10).alias("g"))
+    return docs.filter(~chosen).select("doc_id", "text").unionByName(planted.mapInArrow(run, "doc_id bigint, text string"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of all documents: the longest, and digests of all and of the rest."""
+    found = periodic_runs.periodic_runs(_planted(_table(spark, sf_dir, "documents")))
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("s"), r["period"].alias("p")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("longest.s").alias("start"),
+        (-F.col("longest.n")).alias("length"),
+        F.col("longest.p").alias("period"),
+        F.expr("(-1000 * longest.n) div longest.p").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents, and whether they are too short or repeat themselves."""
+    found = quality_rules.measures(_table(spark, sf_dir, "documents"))
+    failed = quality_rules.base_failed()
+    return found.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & ~quality_rules.repetitive()).alias("kept"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of all vectors, with the codebooks' digest."""
+    rows = vector_codes.usable(_table(spark, sf_dir, "embeddings"))
+    books = vector_codes.train(rows)
+    schema = "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string"
+    if books is None:
+        return spark.createDataFrame([], schema)
+    work = Workspace(spark, "vector-codes")
+    coded = work.write(vector_codes.encode(rows, books), "coded")
+    return vector_codes.label_errors(coded).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -135,6 +223,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_decontamination,
         op10_language_id,
+        op11_periodic_runs,
+        op12_quality_rules,
+        op13_vector_codes,
     )
 }
 
@@ -205,7 +296,87 @@ select j.page_id, j.host, j.path, j.rule, coalesce(j.said, case
 from judged j left join t{last} t using (host) left join d{last} d using (host)"""
 
 
+def _quality_oracle() -> str:
+    """Windows as lists of words, counted per document."""
+    lengths = sorted({quality_rules.WINDOW, *quality_rules.NGRAM_LIMITS})
+    parts = [
+        r"""w0 as materialized (select row_number() over () as r, doc_id, coalesce(text, '') as t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents)""",
+        "w as materialized (select r, unnest(w) as word, unnest(range(len(w))) as i from w0)",
+        """base as (select r, doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as word_chars,
+            length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols from w0)""",
+        """l0 as (select r, unnest(string_split(t, chr(10))) as line from w0)""",
+        r"""l as (select r, sum(n - 1) as n_dup_lines, sum((n - 1) * length(line)) as dup_line_chars from (
+            select r, line, count(*) as n from l0 where regexp_matches(line, '[^\x20\x09-\x0D]') group by r, line) group by r)""",
+    ]
+    sums = []
+    for n in lengths:
+        parts.append(
+            f"""g{n} as (select r, i, count(*) over (partition by r, g) as n,
+            row_number() over (partition by r, g order by i) as k from (
+                select r, unnest(range(len(w) - {n - 1})) as i,
+                    unnest(list_transform(range(len(w) - {n - 1}), lambda i: list_slice(w, i + 1, i + {n}))) as g
+                from w0 where len(w) >= {n}))"""
+        )
+        for name, which, value in (("repeat", "n > 1", "1"), (f"dup_{n}", "k > 1", "length(word)")):
+            if name == "repeat" and n != quality_rules.WINDOW:
+                continue
+            parts.append(
+                f"""{name} as (select r, sum({value}) as {name} from w join (
+                    select distinct r, i + unnest(range({n})) as i from g{n} where {which}) using (r, i) group by r)"""
+            )
+            sums.append(name)
+    joins = " ".join(f"left join {s} using (r)" for s in ["l", *sums])
+    limits = [f"100 * coalesce(dup_{n}, 0) <= {limit} * word_chars" for n, limit in quality_rules.NGRAM_LIMITS.items()]
+    limits.append(f"100 * coalesce(dup_line_chars, 0) <= {quality_rules.LINE_LIMIT} * word_chars")
+    failed = f"""(n_words < {quality_rules.LEAST_WORDS}
+        or 100 * coalesce(repeat, 0) > {quality_rules.MOST_REPEATED} * n_words)"""
+    return f"""with {", ".join(parts)}
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+    cast(n_symbols as bigint) as n_symbols, cast(coalesce(n_dup_lines, 0) as bigint) as n_dup_lines,
+    cast(coalesce(repeat, 0) as bigint) as n_repeat_words, {failed} as base_failed,
+    not {failed} and {" and ".join(limits)} as kept
+from base {joins}"""
+
+
+def _codes_oracle() -> str:
+    """All rounds written out, a table of distances and one of entries for each."""
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+    steps = [
+        f"""kept as materialized (select row_number() over (order by vec_id nulls last, embedding) as r, vec_id, label,
+            list_transform(embedding, lambda x: cast(floor({vector_codes.SCALE} * cast(x as double)) as bigint)) as v
+            from embeddings where embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0)""",
+        f"""x as materialized (select r, j // (n // {parts}) as p, j % (n // {parts}) as i, x from (
+            select r, len(v) as n, unnest(v) as x, unnest(range(len(v))) as j from kept))""",
+        f"b0 as materialized (select p, r - 1 as e, i, x as c from x where r <= {entries})",
+    ]
+    for k in range(vector_codes.ROUNDS + 1):
+        steps.append(
+            f"""a{k} as materialized (select r, p, e, d from (
+                select r, p, e, d, row_number() over (partition by r, p order by d, e) as place from (
+                    select r, p, e, sum((x - c) * (x - c)) as d from x join b{k} using (p, i) group by r, p, e))
+                where place = 1)"""
+        )
+        if k < vector_codes.ROUNDS:
+            steps.append(
+                f"""b{k + 1} as materialized (select p, e, i, coalesce(m, c) as c from b{k} left join (
+                    select p, e, i, cast((s - ((s % n) + n) % n) // n as bigint) as m from (
+                        select p, e, i, sum(x) as s, count(*) as n from a{k} join x using (r, p) group by p, e, i))
+                    using (p, e, i))"""
+            )
+    last = vector_codes.ROUNDS
+    return f"""with {", ".join(steps)},
+coded as materialized (select r, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error
+    from a{last} group by r)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+    (select sha256(string_agg(cast(c as varchar), ',' order by p, e, i)) from b{last}) as codebooks_sha256
+from kept join coded using (r)"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_quality_rules": _quality_oracle(),
+    "op13_vector_codes": _codes_oracle(),
     "op3_license_scan": license_scan.oracle_sql(),
     "op4_chat_format": _CHAT,
     "op5_url_filter": _url_oracle(),
