@@ -12,6 +12,7 @@ from ..functions import malformed, parse
 
 REASON = "reject_reason"
 CORRUPT = "_corrupt_record"
+TYPED, RECEIVED = "typed", "received"
 
 
 def conform(raw: DataFrame, schema: T.StructType) -> DataFrame:
@@ -55,6 +56,30 @@ def rejected(
     return raw.withColumn(REASON, F.concat_ws(",", *reasons)).filter(F.col(REASON) != "")
 
 
+def judged(
+    raw: DataFrame, schema: T.StructType, required: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
+    """Every row as received, its typed form and the reasons against it ("": none).
+
+    Each cell is read once; accepted and rejected rows are then a filter of the
+    same stored frame. ``keep`` are columns of the feed that are not part of it.
+    """
+    typed = F.struct(*[parse(F.col(f.name), f.dataType).alias(f.name) for f in schema])
+    rows = raw.select("*", typed.alias(TYPED))
+    tests = []
+    if CORRUPT in raw.columns:
+        tests.append((F.col(CORRUPT).isNotNull(), "corrupt_row"))
+    for f in schema:
+        if not isinstance(f.dataType, T.StringType):
+            unread = F.col(f.name).isNotNull() & F.col(f"{TYPED}.{f.name}").isNull()
+            tests.append((unread, f"bad_{f.name}"))
+        if f.name in required:
+            tests.append((F.col(f.name).isNull(), f"null_{f.name}"))
+    reasons = [F.when(fails, F.lit(why)) for fails, why in tests]
+    received = [f.name for f in raw.schema if f.name not in keep]
+    return rows.select(*keep, F.struct(*received).alias(RECEIVED), TYPED, F.concat_ws(",", *reasons).alias(REASON))
+
+
 def with_audit(df: DataFrame, *columns: str) -> DataFrame:
     """Add load-time stamps; off unless asked for, since reruns would differ."""
     now = F.current_timestamp()

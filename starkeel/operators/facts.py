@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import date_key
+from ..functions import date_key, open_end
 from .conform import REASON
 from .intervals import HALF_OPEN, interval_join
+from .runs import SINCE, UNTIL
 from .skew import hot_keys, lookup_join
 
 NO_CUSTOMER = "no_customer_version"
@@ -27,6 +30,7 @@ def resolve_orders(
     period: str | None = None,
     rows_per_slice: int | None = None,
     how: str = "left",
+    seen: str | None = None,
 ) -> DataFrame:
     """Attach to each order the customer version of its date and its product.
 
@@ -35,10 +39,16 @@ def resolve_orders(
     interval and price are carried through the shuffles. With
     ``rows_per_slice`` the orders are also scanned for hot keys, so they should
     be a stored table and not a long computation.
+
+    With ``seen``, the run date an order came with, the dimensions are those of
+    :func:`.runs.scd2_known` and :func:`.runs.scd1_states`: an order meets what
+    they held after its own run. Orders of many runs are so resolved at once.
     """
-    placed = orders.select(*_ORDER_COLUMNS).withColumn(
+    placed = orders.select(*_ORDER_COLUMNS, *([seen] if seen else [])).withColumn(
         "created_at", F.to_timestamp("order_date")
     )
+    if seen is not None:
+        return _resolve_as_seen(placed, customers, products, rows_per_slice, how, seen)
     versions = customers.select("customer_id", "customer_key", "start_date", "end_date")
     items = products.select("product_id", "product_key", F.col("price").alias("price_each"))
     with_customer = interval_join(
@@ -55,14 +65,33 @@ def resolve_orders(
     )
 
 
-def fact_rows(resolved: DataFrame) -> DataFrame:
-    """Resolved orders with both partners, as rows of the fact table."""
+def _resolve_as_seen(
+    placed: DataFrame, customers: DataFrame, products: DataFrame, rows_per_slice: int | None, how: str, seen: str
+) -> DataFrame:
+    at = "__seen"
+    versions = customers.select(
+        "customer_id", "customer_key", "start_date", "end_date", F.col(SINCE).cast("timestamp").alias("__known")
+    )
+    items = products.select(
+        "product_id", "product_key", F.col("price").alias("price_each"),
+        F.coalesce(F.col(SINCE).cast("timestamp"), F.lit(dt.datetime(1, 1, 1))).alias("__from"),
+        F.coalesce(F.col(UNTIL).cast("timestamp"), open_end()).alias("__to"),
+    )
+    options = {"how": how, "rows_per_slice": rows_per_slice, "spread_by": "order_id"}
+    rows = placed.withColumn(at, F.col(seen).cast("timestamp"))
+    rows = interval_join(rows, versions, "customer_id", "created_at", seen=at, known="__known", **options)
+    rows = rows.drop("start_date", "end_date", "__known")
+    return interval_join(rows, items, "product_id", at, "__from", "__to", **options).drop("__from", "__to", at)
+
+
+def fact_rows(resolved: DataFrame, *more: str) -> DataFrame:
+    """Resolved orders with both partners, as rows of the fact table, and ``more`` of their columns."""
     return resolved.filter(
         F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
     ).select(
         "order_id", "customer_key", "product_key",
         date_key(F.col("order_date")).alias("order_date_key"),
-        "quantity", "price_each", "total_amount", "order_status", "created_at",
+        "quantity", "price_each", "total_amount", "order_status", "created_at", *more,
     )
 
 
@@ -83,15 +112,15 @@ def build_fact(
     )
 
 
-def unmatched(resolved: DataFrame) -> DataFrame:
-    """Orders that found no partner, with the reason."""
+def unmatched(resolved: DataFrame, *more: str) -> DataFrame:
+    """Orders that found no partner, with the reason, and ``more`` of their columns."""
     reason = F.when(F.col("customer_key").isNull(), NO_CUSTOMER).when(
         F.col("product_key").isNull(), NO_PRODUCT
     )
     return (
         resolved.withColumn(REASON, reason)
         .filter(F.col(REASON).isNotNull())
-        .select(*_ORDER_COLUMNS, REASON)
+        .select(*_ORDER_COLUMNS, *more, REASON)
     )
 
 
@@ -170,6 +199,20 @@ def daily_sales(
     ).agg(*[m.alias(n) for n, m in measures.items()])
 
 
+def summed(parts: DataFrame, like: DataFrame) -> DataFrame:
+    """Rows of :func:`daily_sales` for the same group added up; groups without orders left are gone."""
+    groups = ["year", "month", "order_date_key", "customer_state", "product_category"]
+    totals = ["total_items_sold", "total_sales_usd", "total_order_count"]
+    added = parts.groupBy(*groups).agg(*[F.sum(c).cast(like.schema[c].dataType).alias(c) for c in totals])
+    return added.filter(F.col("total_order_count") != 0)
+
+
+def negated(sales: DataFrame) -> DataFrame:
+    """Rows of :func:`daily_sales` that take away what they count."""
+    totals = ["total_items_sold", "total_sales_usd", "total_order_count"]
+    return sales.withColumns({c: (-F.col(c)).cast(sales.schema[c].dataType) for c in totals})
+
+
 def order_totals(
     orders: DataFrame, products: DataFrame, product: str = "product_id",
     quantity: str = "quantity", price: str = "price",

@@ -52,6 +52,8 @@ def interval_join(
     period: str | None = None,
     rows_per_slice: int | None = None,
     spread_by: str | None = None,
+    seen: str | None = None,
+    known: str | None = None,
 ) -> DataFrame:
     """Join each fact row to the versions of its key valid at ``ts``.
 
@@ -67,6 +69,12 @@ def interval_join(
     ``rows_per_slice``
         Split keys (or key-periods) with more fact rows than this into slices.
 
+    With ``seen``, the instant at which a fact was looked at, and ``known``, the
+    instant since which a version is known (NULL: always), a fact meets what was
+    known then: no version that came later, and a version whose end lies behind
+    ``seen`` as if it were still open. Ends must be the instants at which they
+    became known, as those of a Type-2 dimension are.
+
     Facts and versions must not share column names other than ``key``.
     """
     if how not in ("inner", "left"):
@@ -82,7 +90,14 @@ def interval_join(
         right = skew.slice_right(right, on, hot)
         on = [*on, skew.SLICE]
     f, v = left.alias("f"), right.alias("v")
-    match = holds(F.col(f"f.{ts}"), F.col(f"v.{start}"), F.col(f"v.{end}"), bounds)
+    at, begin, finish = F.col(f"f.{ts}"), F.col(f"v.{start}"), F.col(f"v.{end}")
+    if seen is None:
+        match = holds(at, begin, finish, bounds)
+    elif bounds != HALF_OPEN or period is not None:
+        raise ValueError("what was known at an instant is defined for half-open intervals, uncut")
+    else:
+        match = (begin <= at) & (F.least(at, F.col(f"f.{seen}")) < finish)
+        match = match & (F.col(f"v.{known}").isNull() | (F.col(f"v.{known}") <= F.col(f"f.{seen}")))
     for c in on:
         match = (F.col(f"f.{c}") == F.col(f"v.{c}")) & match
     joined = f.join(v, match, how)

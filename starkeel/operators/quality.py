@@ -9,12 +9,51 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import open_end
 
 
+def measures(
+    not_null: Sequence[str] = (), max_length: Mapping[str, int] | None = None,
+    ranges: Mapping[str, tuple] | None = None,
+) -> dict[str, Column]:
+    """Counts of what breaks the declared rules, each an aggregate over a table's rows."""
+    found = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in not_null}
+    found |= {f"length_{c}": F.count_if(F.length(c) > n) for c, n in (max_length or {}).items()}
+    for c, (least, most) in (ranges or {}).items():
+        outside = F.lit(False)
+        if least is not None:
+            outside = outside | (F.col(c) < F.lit(least))
+        if most is not None:
+            outside = outside | (F.col(c) > F.lit(most))
+        found[f"range_{c}"] = F.count_if(outside)
+    return found
+
+
+def overflows(typed: Mapping[str, Column], text: Mapping[str, Column]) -> dict[str, Column]:
+    """Counts of numbers that are there as text but do not fit the type they were read as."""
+    return {
+        f"precision_{c}": F.count_if(typed[c].isNull() & text[c].try_cast("double").isNotNull()) for c in typed
+    }
+
+
+def watched(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The frame, and what will have been counted once it has been written.
+
+    The counts ride along with whatever job writes the frame: a check costs no
+    scan of its own. Tasks that are repeated after a failure may be counted twice.
+    """
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen
+
+
+def counted(seen: Observation) -> dict[str, int]:
+    """What was counted; empty if Spark found out while running that there were no rows."""
+    return seen.get if seen._jo.getRow().length() else {}
+
+
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

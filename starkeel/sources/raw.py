@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,24 @@ def read_raw(
     )
 
 
+def read_days(
+    spark: SparkSession, root: str, table: str, days: Sequence[dt.date], schema: T.StructType | None = None,
+) -> DataFrame:
+    """Several days of a feed in one scan, as :func:`read_raw`, with their ``ingest_date``."""
+    paths = [raw_path(root, table, day) for day in days]
+    for path in paths:
+        if not files.exists(spark, path):
+            raise MissingInput(f"no {table} feed at {path}")
+    text = schemas.all_text(schema or schemas.FEEDS[table])
+    extra = [T.StructField(CORRUPT, T.StringType()), T.StructField("ingest_date", T.DateType())]
+    return (
+        spark.read.schema(T.StructType([*text, *extra]))
+        .options(**CSV, enforceSchema=False, mode="PERMISSIVE",
+                 columnNameOfCorruptRecord=CORRUPT, basePath=files.join(root, table))
+        .csv(paths)
+    )
+
+
 def write_raw(df: DataFrame, root: str, table: str, day: str | dt.date) -> str:
     """Land one day of a feed; landing a day again replaces that day only."""
     path = raw_path(root, table, day)

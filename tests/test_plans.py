@@ -15,7 +15,7 @@ from starkeel.operators.scd1 import scd1_upsert
 from starkeel.operators.scd2 import scd2_apply
 from starkeel.operators.skew import hot_keys
 from starkeel.plans import workload as w
-from starkeel.sources.facts import read_partitioned, write_run
+from starkeel.sources import commits, facts
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,8 +49,8 @@ def stored(spark, tmp_path_factory):
     fact = build_fact(out["orders"], out["customers"], out["products"])
     fact = fact.withColumn("ingest_date", F.lit(dt.date(2026, 6, 1)))
     schema = fact.schema
-    write_run(fact, str(root / "fact"), dt.date(2026, 6, 1), schema, "order_date_key")
-    out["fact"] = read_partitioned(spark, str(root / "fact"), schema)
+    state = facts.write_days(fact, commits.State(str(root)), "fact", [dt.date(2026, 6, 1)], schema, "order_date_key")
+    out["fact"] = facts.read_days(spark, state, "fact", schema, "order_date_key")
     return out
 
 
@@ -95,7 +95,7 @@ def test_the_summary_reads_only_its_columns(spark, stored):
     ]
     assert {
         "order_id", "customer_key", "product_key", "quantity", "total_amount", "order_date_key",
-        "ingest_date",
+        "ingest_date", "write",  # the last three are names of directories
     } in read
     assert {"customer_key", "state"} in read
     summed = plan(daily_sales(

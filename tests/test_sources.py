@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from starkeel.operators.conform import CORRUPT
 from starkeel.operators.facts import date_dimension
 from starkeel.operators.scd1 import scd1_init
 from starkeel.operators.conform import conform
-from starkeel.sources import catalog, facts, files, layout, raw, snapshots
+from starkeel.sources import catalog, commits, facts, files, layout, raw, snapshots
 
 D1, D2, D3 = dt.date(2026, 6, 1), dt.date(2026, 6, 2), dt.date(2026, 6, 3)
 
@@ -104,35 +106,90 @@ def products(spark, *rows):
     return scd1_init(batch, "product_id", "product_key")
 
 
-def test_only_finished_runs_before_the_date_count(spark, tmp_path):
-    root = str(tmp_path / "dim_products")
-    assert snapshots.latest_run(spark, root) is None
-    assert snapshots.read_table(spark, root, D3, schemas.DIM_PRODUCTS) is None
-    for day, price in ((D1, "1.00"), (D2, "2.00"), (D3, "3.00")):
-        snapshots.write_run(
-            products(spark, item(1, price)), root, day, schemas.DIM_PRODUCTS, ("product_id",)
-        )
-    (tmp_path / "dim_products" / "run_date=2026-06-03" / "_SUCCESS").unlink()
-    assert snapshots.latest_run(spark, root) == D2
-    assert snapshots.latest_run(spark, root, before=D2) == D1
-    assert snapshots.latest_run(spark, root, before="2026-06-01") is None
-    now = snapshots.read_table(spark, root, D3, schemas.DIM_PRODUCTS)
+def run_of(spark, state, day, *rows):
+    df = products(spark, *rows).withColumn(snapshots.RUN, F.lit(day))
+    return snapshots.write_runs(df, state, "dim_products", [day], [day], schemas.DIM_PRODUCTS, ("product_id",))
+
+
+def test_only_committed_runs_before_the_date_count(spark, tmp_path):
+    state = commits.latest(spark, str(tmp_path))
+    assert state.number == 0 and snapshots.latest_run(state, "dim_products") is None
+    assert snapshots.read_table(spark, state, "dim_products", D3, schemas.DIM_PRODUCTS) is None
+    for day, price in ((D1, "1.00"), (D2, "2.00")):
+        state = commits.commit(spark, state, run_of(spark, state, day, item(1, price)))
+    run_of(spark, state, D3, item(1, "3.00"))  # written, never committed
+    state = commits.latest(spark, str(tmp_path))
+    assert snapshots.latest_run(state, "dim_products") == D2
+    assert snapshots.latest_run(state, "dim_products", before=D2) == D1
+    assert snapshots.latest_run(state, "dim_products", before="2026-06-01") is None
+    now = snapshots.read_table(spark, state, "dim_products", D3, schemas.DIM_PRODUCTS)
     assert [str(r["price"]) for r in now.collect()] == ["2.00"]
 
 
+def test_a_list_appears_once_and_whole(spark, tmp_path):
+    first = commits.latest(spark, str(tmp_path))
+    state = first.replacing("t", "day", [], [commits.Part("t", "day", "é", "t/write=1/a", ("1", "2"))])
+    assert commits.commit(spark, first, first) == first
+    done = commits.commit(spark, first, state)
+    assert commits.latest(spark, str(tmp_path)) == done and done.parts == state.parts
+    with pytest.raises(commits.CommitConflict):
+        commits.commit(spark, first, state.replacing("t", "day", [], [commits.Part("t", "day", "b")]))
+    assert commits.latest(spark, str(tmp_path)) == done
+    assert files.children(spark, str(tmp_path / "_commits")) == ["0000000001"]
+
+
 def test_a_store_that_cannot_be_reached_is_not_an_empty_one(spark):
     with pytest.raises(Exception, match="(?i)scheme"):
-        snapshots.latest_run(spark, "nosuch://store/dim")
+        commits.latest(spark, "nosuch://store/zone")
 
 
 def test_a_wrong_schema_is_not_written(spark, tmp_path):
+    state = commits.State(str(tmp_path))
     with pytest.raises(ValueError, match="product_key"):
-        snapshots.write_run(
-            spark.range(1), str(tmp_path / "t"), D1, schemas.DIM_PRODUCTS, ("product_id",)
+        snapshots.write_runs(
+            spark.range(1).withColumn(snapshots.RUN, F.lit(D1)), state, "t", [D1], [D1], schemas.DIM_PRODUCTS, ("product_id",)
         )
     assert not (tmp_path / "t").exists()
 
 
+def test_closed_versions_of_a_thousand_runs(spark, tmp_path, monkeypatch):
+    """Put together by month: as many directories as months, and two calls to the store for the list."""
+    schema = schemas.struct(key=schemas.STR, id=schemas.LONG, end_date=schemas.TS, is_current=schemas.BOOL)
+    first, n = dt.date(2024, 1, 1), 1000
+    days = [first + dt.timedelta(days=i) for i in range(n)]
+    parts = []
+    for i, day in enumerate(days):
+        path = f"dim/write=w{i}/run_date={day.isoformat()}/is_current=false"
+        (tmp_path / path).mkdir(parents=True)
+        rows = pa.table({"key": [f"k{i}", f"l{i}"], "id": [i, i % 7], "end_date": pa.array([dt.datetime(*day.timetuple()[:3])] * 2, pa.timestamp("us", "UTC"))})
+        pq.write_table(rows, tmp_path / path / "part-0.parquet")
+        label = day.isoformat()
+        parts.append(commits.Part("dim", snapshots.CLOSED, label, path, (label, label)))
+        kept = i >= n - 20
+        parts.append(commits.Part("dim", snapshots.CURRENT if kept else snapshots.FREED, label))
+    empty = commits.State(str(tmp_path))
+    before = commits.commit(spark, empty, empty.replacing("dim", "", [], parts))
+    after = snapshots.compact_closed(spark, before, "dim", schema, ("is_current", "id"))
+    after = commits.commit(spark, before, after)
+    months = {(d.year, d.month) for d in days}
+    assert len(after.of("dim", snapshots.CLOSED)) <= len(months) + 31
+    calls = []
+    for name in ("exists", "children", "matching", "read_text"):
+        monkeypatch.setattr(files, name, lambda *a, f=getattr(files, name): calls.append(f) or f(*a))
+    state = commits.latest(spark, str(tmp_path))
+    rows = snapshots.read_closed(spark, state, "dim", days[-1], schema)
+    assert len(calls) == 2
+    assert rows.count() == 2 * n and rows.select("key").distinct().count() == 2 * n
+    some = snapshots.read_closed(spark, state, "dim", days[99], schema, ended_after=days[95])
+    # Whole directories are skipped from below, rows are cut off exactly above.
+    assert some.agg(F.max("end_date")).first()[0].date() == days[99]
+    assert {f"k{i}" for i in range(95, 100)} <= {r["key"] for r in some.collect()}
+    assert snapshots.compact_closed(spark, state, "dim", schema, ("is_current", "id")) == state
+    commits.sweep(spark, str(tmp_path), keep=1)
+    assert snapshots.read_closed(spark, state, "dim", days[-1], schema).count() == 2 * n
+    assert len(files.children(spark, str(tmp_path / "dim"))) <= 33
+
+
 SALES = schemas.struct(id=schemas.INT, day=schemas.INT, v=schemas.STR)
 
 
@@ -143,41 +200,78 @@ def sales(spark, *rows):
 RUNS = schemas.struct(id=schemas.INT, day=schemas.INT, v=schemas.STR, ingest_date=schemas.DATE)
 
 
-def stored(spark, path, day, *rows):
+def stored(spark, state, day, *rows):
     df = sales(spark, *rows).withColumn("ingest_date", F.lit(day))
-    facts.write_run(df, path, day, RUNS, "day")
+    return facts.write_days(df, state, "fact", [day], RUNS, "day")
 
 
 def test_a_run_replaces_what_it_wrote_and_nothing_else(spark, tmp_path):
-    path = str(tmp_path / "fact")
-    assert facts.read_partitioned(spark, path, RUNS) is None
-    stored(spark, path, D1, (1, 20260601, "a"), (2, 20260602, "a"))
-    stored(spark, path, D2, (3, 20260602, "b"))
-    stored(spark, path, D1, (1, 20260603, "c"))
-    assert rows_of(facts.read_partitioned(spark, path, RUNS), "*") == [
+    state = commits.State(str(tmp_path))
+    assert facts.read_days(spark, state, "fact", RUNS, "day").isEmpty()
+    state = stored(spark, state, D1, (1, 20260601, "a"), (2, 20260602, "a"))
+    state = stored(spark, state, D2, (3, 20260602, "b"))
+    state = stored(spark, state, D1, (1, 20260603, "c"))
+    assert rows_of(facts.read_days(spark, state, "fact", RUNS, "day"), "*") == [
         (1, 20260603, "c", D1), (3, 20260602, "b", D2),
     ]
-    stored(spark, path, D1)
-    assert rows_of(facts.read_partitioned(spark, path, RUNS), "id") == [(3,)]
-
-
-def test_touched_partitions_are_pruned_while_running(spark, tmp_path):
-    path = str(tmp_path / "fact")
-    stored(spark, path, D1, *[(i, i, "a") for i in range(9)])
-    whole = facts.read_partitioned(spark, path, RUNS).select(*SALES.names)
-    touched = sales(spark, (1, 3, "a"), (2, 3, "b")).select("day").distinct()
-    part = facts.only_partitions(whole, touched, "day")
-    assert "dynamicpruning" in part._jdf.queryExecution().executedPlan().toString()
-    assert rows_of(part, "*") == [(3, 3, "a")]
-
-
-def test_replacing_partitions_leaves_the_others(spark, tmp_path):
-    path = str(tmp_path / "summary")
-    facts.replace_partitions(
-        sales(spark, (1, 1, "a"), (2, 2, "a"), (3, 2, "a"), (4, 3, "a")), {1, 2, 3}, path, SALES, "day"
+    assert rows_of(facts.read_days(spark, state, "fact", RUNS, "day", days=[D1]), "id") == [(1,)]
+    assert rows_of(facts.read_days(spark, state, "fact", RUNS, "day", but=[D1]), "id") == [(3,)]
+    assert facts.dates_of(state, "fact", [D1, D2]) == {20260602, 20260603}
+    state = stored(spark, state, D1)
+    assert rows_of(facts.read_days(spark, state, "fact", RUNS, "day"), "id") == [(3,)]
+
+
+def test_one_date_opens_only_its_directories(spark, tmp_path):
+    state = commits.State(str(tmp_path))
+    for day in (D1, D2):
+        state = stored(spark, state, day, *[(i, i, "a") for i in range(9)])
+    part = facts.read_days(spark, state, "fact", RUNS, "day", dates={3, 77})
+    assert len(part.inputFiles()) == 2 and rows_of(part, "id") == [(3,), (3,)]
+
+
+def test_replacing_dates_leaves_the_others(spark, tmp_path):
+    state = commits.State(str(tmp_path))
+    df = sales(spark, (1, 1, "a"), (2, 2, "a"), (3, 2, "a"), (4, 3, "a"))
+    state = facts.write_dates(df, state, "summary", {1, 2, 3}, SALES, "day")
+    state = facts.write_dates(sales(spark, (9, 2, "b")), state, "summary", {2, 3, 4}, SALES, "day")
+    assert rows_of(facts.read_dates(spark, state, "summary", SALES), "*") == [(1, 1, "a"), (9, 2, "b")]
+    assert rows_of(facts.read_dates(spark, state, "summary", SALES, {2, 5}), "id") == [(9,)]
+
+
+def scan_rows(df):
+    """Rows that the Parquet reader handed out, by the scan's own metric."""
+    query = df._jdf.queryExecution()
+    query.executedPlan().executeCollectPublic()
+    leaves = query.executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_a_search_by_id_skips_row_groups(spark, tmp_path, many):
+    """Scattered ids by Bloom filter; more than can be named, by ranges that statistics answer."""
+    schema = schemas.struct(id=schemas.LONG, day=schemas.INT, v=schemas.STR, ingest_date=schemas.DATE)
+    days, per_day = [D1 + dt.timedelta(days=n) for n in range(50)], 4000
+    at = F.col("id") % 50 if not many else F.floor(F.col("id") / per_day)
+    rows = spark.range(50 * per_day).select(
+        "id", F.lit(1).alias("day"), F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        F.date_add(F.lit(D1), at.cast("int")).alias("ingest_date"),
     )
-    facts.replace_partitions(sales(spark, (9, 2, "b")), {2, 3, 4}, path, SALES, "day")
-    assert rows_of(facts.read_partitioned(spark, path, SALES), "*") == [(1, 1, "a"), (9, 2, "b")]
+    state = facts.write_days(rows, commits.State(str(tmp_path)), "fact", days, schema, "day", "id")
+    if many:  # five stretches of new and old ids
+        ids = spark.range(2000).select((F.col("id") % 400 + F.floor(F.col("id") / 400) * 37 * 1000).alias("id"))
+    else:
+        ids = spark.createDataFrame([(7 + 1111 * n,) for n in range(4)] + [(10**12,)], "id bigint")
+    stored = facts.read_days(spark, state, "fact", schema, "day")
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = stored.filter(facts.among("id", ids)).select("id")
+        read = scan_rows(found)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)
+    assert rows_of(found.join(ids, "id", "left_semi"), "id") == rows_of(ids.filter(f"id < {50 * per_day}"), "id")
+    assert 0 < read <= 50 * per_day / 5
+    assert stored.filter(facts.among("id", ids.limit(0))).isEmpty()
 
 
 def test_a_hot_partition_is_split_over_tasks(spark, tmp_path):
@@ -189,10 +283,12 @@ def test_a_hot_partition_is_split_over_tasks(spark, tmp_path):
     keep = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
-        facts.write_run(df.withColumn("ingest_date", F.lit(D1)), str(tmp_path), D1, RUNS, "day")
+        state = facts.write_days(
+            df.withColumn("ingest_date", F.lit(D1)), commits.State(str(tmp_path)), "fact", [D1], RUNS, "day"
+        )
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", keep)
-    run = tmp_path / f"ingest_date={D1.isoformat()}"
+    run = tmp_path / state.of("fact")[0].path
     hot = list((run / "day=1").glob("*.parquet"))
     single = [
         d for d in run.glob("day=*") if len(list(d.glob("*.parquet"))) == 1
