@@ -51,7 +51,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _remainder(n: int):
-    return F.crc32(F.col("doc_id").cast("string")) % n
+    """What the checksum of the id leaves; n, which is no remainder, without an id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n, F.lit(n))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +97,8 @@ def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labelled rows that are not held out."""
     docs = _table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs.filter(_remainder(4) != 2), _table(spark, sf_dir, "labels"))
+    learned = docs.filter("doc_id is not null").filter(_remainder(4) != 2)
+    model = toxicity.fit(learned, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
         "doc_id",
         (_remainder(4) == 2).alias("held_out"),
@@ -124,7 +126,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from those that are not held out."""
     docs = _table(spark, sf_dir, "documents")
-    filters = language_id.fit(docs.filter(_remainder(5) != 0))
+    filters = language_id.fit(docs.filter("doc_id is not null").filter(_remainder(5) != 0))
     return language_id.predict(docs, filters).select(
         "doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score"
     )

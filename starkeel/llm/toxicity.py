@@ -150,7 +150,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    rows = texts.join(labelled, "doc_id").select("text", "toxic")
+    # One plan at every size: a side that is broadcast as long as it is small would
+    # change what the job needs from one table to a larger one.
+    rows = texts.join(labelled.hint("merge"), "doc_id").select("text", "toxic")
     counted = (
         rows.mapInArrow(_count, "bucket int, toxic bigint, clean bigint")
         .groupBy("bucket")
