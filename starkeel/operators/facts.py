@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import date_key, open_end
+from ..lineage import stored
 from .conform import REASON
 from .intervals import HALF_OPEN, interval_join
 from .runs import SINCE, UNTIL
@@ -56,7 +57,7 @@ def resolve_orders(
         period=period, rows_per_slice=rows_per_slice, spread_by="order_id",
     )
     hot = (
-        hot_keys(placed, ["product_id"], rows_per_slice)
+        stored(hot_keys(placed, ["product_id"], rows_per_slice), "hot")
         if rows_per_slice is not None else None
     )
     return lookup_join(
@@ -186,8 +187,10 @@ def daily_sales(
         spread = F.xxhash64("order_date_key", "customer_key", "product_key")
     hot_c = hot_p = None
     if rows_per_slice is not None:
-        hot_c = hot_keys(sold, ["customer_key"], rows_per_slice)
-        hot_p = hot_keys(sold, ["product_key"], rows_per_slice)
+        # The sums are made once, and searched twice for keys with many of them.
+        sold = stored(sold, "sold")
+        hot_c = stored(hot_keys(sold, ["customer_key"], rows_per_slice), "hot")
+        hot_p = stored(hot_keys(sold, ["product_key"], rows_per_slice), "hot")
     days = dates.select(F.col("date_key").alias("order_date_key"), "year", "month")
     states = customers.select("customer_key", F.col("state").alias("customer_state"))
     categories = products.select("product_key", F.col("category").alias("product_category"))

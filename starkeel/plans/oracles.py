@@ -262,8 +262,9 @@ _BODIES: dict[str, str] = {
       select * replace (cast(customer_id as varchar) as customer_id,
                         cast(signup_date as varchar) as signup_date,
                         {_text('updated_at')} as updated_at),
-             'null_signup_date' as reject_reason
-      from customer_rows_all where signup_date is null""",
+             concat_ws(',', case when address is null then 'null_address' end,
+                       case when signup_date is null then 'null_signup_date' end) as reject_reason
+      from customer_rows_all where signup_date is null or address is null""",
     "malformed_values": """
       select *, 'bad_whole_price' as reject_reason from whole_prices
       where not regexp_full_match(whole_price, '[0-9]+')""",
@@ -311,6 +312,22 @@ _BODIES: dict[str, str] = {
       from customers_rest n left join customers0 b on b.customer_id = n.customer_id
       where b.customer_id is null or b.address is distinct from n.address
          or b.city is distinct from n.city or b.state is distinct from n.state""",
+    "scd2_change_feed_by_digest": f"""
+      select n.* replace ({_text('n.updated_at')} as updated_at)
+      from customers_rest n left join customers0 b on b.customer_id = n.customer_id
+      where b.customer_id is null or b.address is distinct from n.address
+         or b.city is distinct from n.city or b.state is distinct from n.state""",
+    "scd2_states_of_runs": f"""
+      select customer_id, customer_key, {_text('start_date')} as start_date, {_text('end_date')} as end_date,
+             case when customer_key in (select customer_key from loaded) then date '{w.FIRST_RUN}'
+                  when customer_key in (select customer_key from merged) then date '{_RUN1}'
+                  else date '{_RUN2}' end as since_run
+      from dim_customer""",
+    "scd2_tables_of_runs": f"""
+      select {_VERSION}, date '{w.FIRST_RUN}' as run_date from loaded
+      union all select {_VERSION}, date '{_RUN1}' from merged
+      union all select {_VERSION}, date '{_RUN2}' from dim_customer
+      where is_current or end_date = timestamp '{_RUN2}'""",
     "as_of_lookup": f"""select {_VERSION} from dim_customer
       where start_date <= timestamp '{q.AS_OF}' and timestamp '{q.AS_OF}' < end_date""",
     "scd1_initial_load": f"""
@@ -321,6 +338,8 @@ _BODIES: dict[str, str] = {
     "interval_join_half_open": _interval_sql(),
     "interval_join_closed": _interval_sql("<="),
     "interval_join_left": _interval_sql(how="left join"),
+    "interval_join_swept": _interval_sql(),
+    "interval_join_swept_left": _interval_sql(how="left join"),
     "interval_join_by_month": _interval_sql(),
     "interval_join_sliced": _interval_sql(),
     "interval_join_by_year_sliced": _interval_sql(),
@@ -370,6 +389,11 @@ _BODIES: dict[str, str] = {
     ),
     "orphan_values": """select o_custkey, count(*) as n from orders
       where o_custkey not in (select customer_id from customers_all) group by o_custkey""",
+    "orphan_documents": """select doc_id, count(*) as n from documents
+      where doc_id not in (select doc_id from labels) group by doc_id""",
+    "monthly_orders_by_bitmap": """
+      select strftime(l_shipdate, '%Y-%m') as month, l_returnflag, count(distinct l_orderkey) as orders
+      from lineitem group by 1, 2""",
     "resolved_references": """select o_orderkey, o_custkey from orders
       where o_custkey in (select customer_id from customers_all)""",
     "current_flags": f"""

@@ -18,6 +18,8 @@ from ..lineage import stored
 from ..operators import quality
 from ..operators.conform import accepted, conform, rejected
 from ..operators.dedup import latest, pool
+from ..operators.digests import changed_by_digest
+from ..operators.distinct import count_bitmaps, id_bitmaps, merge_bitmaps
 from ..operators.facts import (
     build_dim_date,
     build_fact,
@@ -27,6 +29,7 @@ from ..operators.facts import (
     unmatched,
 )
 from ..operators.intervals import CLOSED, as_of, interval_join
+from ..operators.runs import scd2_known, scd2_states, scd2_tables
 from ..operators.sampling import bernoulli, number_in_order
 from ..operators.scd1 import changed_rows, scd1_init, scd1_upsert
 from ..operators.scd2 import (
@@ -39,6 +42,7 @@ from ..operators.scd2 import (
     scd2_init,
     scd2_merge,
 )
+from ..operators.sweep import as_of_sweep
 from . import workload as w
 from .workload import table
 
@@ -88,8 +92,9 @@ def conform_orders(spark, d):
 
 @query
 def rejected_customers(spark, d):
+    """Customers without sign-up date or address, as the feed had them."""
     feed = w.as_feed(w.customer_rows(spark, d, w.ALL))
-    return rejected(feed, w.CUSTOMER, schemas.REQUIRED["customers"])
+    return rejected(feed, w.CUSTOMER, (*schemas.REQUIRED["customers"], "address"))
 
 
 def _whole_prices(spark, d):
@@ -256,6 +261,30 @@ def scd2_change_feed(spark, d):
     )
 
 
+@query
+def scd2_change_feed_by_digest(spark, d):
+    """The same feed; only key ranges whose digests differ are joined."""
+    return changed_by_digest(
+        w.customer_batch(spark, d, 0), w.customer_batch(spark, d, w.REST), "customer_id",
+        CUSTOMERS.tracked,
+    )
+
+
+@query
+def scd2_states_of_runs(spark, d):
+    """Every version with the run that first knew it, from one pass over all batches."""
+    sent = w.customer_runs(spark, d)
+    states = scd2_states(None, sent, CUSTOMERS)
+    return scd2_known(states, None, CUSTOMERS)
+
+
+@query
+def scd2_tables_of_runs(spark, d):
+    """The current set after each run and the versions it closed, from one pass."""
+    states = scd2_states(None, w.customer_runs(spark, d), CUSTOMERS)
+    return scd2_tables(states, w.customer_run_days(), CUSTOMERS)
+
+
 @query
 def as_of_lookup(spark, d):
     return as_of(w.customer_dim(spark, d), AS_OF)
@@ -337,6 +366,23 @@ def interval_join_by_year_sliced(spark, d):
     return _interval(spark, d, period="year", rows_per_slice=2, spread_by="order_id")
 
 
+def _sweep(spark, d, how):
+    swept = as_of_sweep(
+        _customer_orders(spark, d), _versions(spark, d), "customer_id", "order_timestamp", how=how
+    )
+    return swept.select("order_id", "customer_id", "customer_key")
+
+
+@query
+def interval_join_swept(spark, d):
+    return _sweep(spark, d, "inner")
+
+
+@query
+def interval_join_swept_left(spark, d):
+    return _sweep(spark, d, "left")
+
+
 @query
 def product_lookup(spark, d):
     lines = w.order_lines(spark, d).select("order_id", "product_id", "quantity")
@@ -397,8 +443,6 @@ def _daily_sales(spark, d, **options):
     customers = stored(w.customer_dim(spark, d), "customers")
     products = stored(w.product_dim(spark, d), "products")
     fact = build_fact(w.order_batch(spark, d), customers, products, **options)
-    if options:  # looking for hot keys reads the fact again
-        fact = stored(fact, "fact")
     dates = build_dim_date(table(spark, d, "orders"), "o_orderdate")
     return daily_sales(fact, customers, products, dates, orders_unique=True, **options)
 
@@ -472,6 +516,24 @@ def resolved_references(spark, d):
     ).select("o_orderkey", "o_custkey")
 
 
+@query
+def orphan_documents(spark, d):
+    """Documents without a label: a reference that mostly does not resolve."""
+    return quality.fk_violations(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id", "doc_id")
+
+
+@query
+def monthly_orders_by_bitmap(spark, d):
+    """Distinct orders shipped per month and return flag, merged from bitmaps of days."""
+    lines = table(spark, d, "lineitem").select(
+        "l_orderkey", F.col("l_shipdate").cast("date").alias("day"), "l_returnflag"
+    )
+    days = id_bitmaps(lines, ["day", "l_returnflag"], "l_orderkey")
+    months = days.withColumn("month", F.date_format("day", "yyyy-MM"))
+    groups = ["month", "l_returnflag"]
+    return count_bitmaps(merge_bitmaps(months, groups), groups, "orders")
+
+
 def _line_intervals(spark, d):
     """Line items as would-be versions of their part: full of gaps and overlaps."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")

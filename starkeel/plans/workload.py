@@ -16,6 +16,9 @@ orders     one row per line item. Order and line number repeat, so the feed
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,7 @@ from ..operators.scd2 import scd2_replay
 NOT_SPECIFIED = "4-NOT SPECIFIED"
 NO_CATEGORY_FLAG = "N"
 CUSTOMER_RUNS = ("1996-01-01", "2000-06-01")
+FIRST_RUN = "1990-01-01"
 PRODUCT_RUNS = ("1995-03-01", "2001-09-01")
 LINES_PER_ORDER = 10
 ALL, REST = "all", "rest"
@@ -54,6 +58,7 @@ TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
@@ -181,6 +186,19 @@ def customer_dim(spark: SparkSession, sf_dir: str, runs: int = len(CUSTOMER_RUNS
     )
 
 
+def customer_run_days() -> list[dt.date]:
+    return [dt.date.fromisoformat(d) for d in (FIRST_RUN, *CUSTOMER_RUNS)]
+
+
+def customer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customer batches with the date of the run that brought them."""
+    batches = [
+        customer_batch(spark, sf_dir, i).withColumn("run_date", F.lit(day))
+        for i, day in enumerate(customer_run_days())
+    ]
+    return reduce(DataFrame.unionByName, batches)
+
+
 def product_dim(spark: SparkSession, sf_dir: str, runs: int = len(PRODUCT_RUNS)) -> DataFrame:
     dim = scd1_init(product_batch(spark, sf_dir, 0), "product_id", "product_key")
     for i in range(runs):

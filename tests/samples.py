@@ -13,7 +13,7 @@ def at(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text)
 
 
-def person(i, address="1 Main St", city="New York", state="NY", signup="2026-01-01",
+def person(i, address="2 Ferry Row", city="Albany", state="NY", signup="2026-01-01",
            updated="2026-01-01 10:00:00", name="Ann"):
     return (str(i), name, f"{name}{i}@test.com", f"555-{i}", address, city, state, signup, updated)
 

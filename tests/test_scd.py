@@ -46,22 +46,22 @@ def test_first_load_opens_one_version_per_customer(spark):
 
 def test_a_move_closes_one_version_and_opens_another(spark):
     history = scd2_init(people(
-        spark, person(1001, "123 Main St"), person(1002, "456 Oak Ave", "Chicago", "IL")
+        spark, person(1001, "3 Kiln Lane"), person(1002, "31 Weir Road", "Dayton", "OH")
     ))
     batch = people(
         spark,
-        person(1001, "789 Pine Rd", "San Jose", "CA", updated="2026-06-02 10:00:00"),
-        person(1003, "111 Elm St", "Miami", "FL", signup="2026-06-02"),
+        person(1001, "5 Tarn Close", "Bangor", "ME", updated="2026-09-02 10:00:00"),
+        person(1003, "70 Mill Walk", "Provo", "UT", signup="2026-09-02"),
     )
-    dim = scd2_merge(history, batch, "2026-06-02")
-    run = at("2026-06-02 00:00:00")
+    dim = scd2_merge(history, batch, "2026-09-02")
+    run = at("2026-09-02 00:00:00")
     assert rows_of(
         dim, "customer_id", "address", "start_date", "end_date", "is_current", "updated_at"
     ) == [
-        (1001, "123 Main St", at("2026-01-01"), run, False, run),
-        (1001, "789 Pine Rd", run, OPEN, True, at("2026-06-02 10:00:00")),
-        (1002, "456 Oak Ave", at("2026-01-01"), OPEN, True, at("2026-01-01 10:00:00")),
-        (1003, "111 Elm St", run, OPEN, True, at("2026-01-01 10:00:00")),
+        (1001, "3 Kiln Lane", at("2026-01-01"), run, False, run),
+        (1001, "5 Tarn Close", run, OPEN, True, at("2026-09-02 10:00:00")),
+        (1002, "31 Weir Road", at("2026-01-01"), OPEN, True, at("2026-01-01 10:00:00")),
+        (1003, "70 Mill Walk", run, OPEN, True, at("2026-01-01 10:00:00")),
     ]
     assert dim.select("customer_key").distinct().count() == 4
 
@@ -72,7 +72,7 @@ def test_a_move_closes_one_version_and_opens_another(spark):
 )
 def test_null_is_a_value_like_any_other(spark, old, new, versions):
     history = scd2_init(people(spark, person(1, old)))
-    dim = scd2_merge(history, people(spark, person(1, new)), "2026-06-02")
+    dim = scd2_merge(history, people(spark, person(1, new)), "2026-09-02")
     assert dim.count() == versions
     assert [r[0] for r in rows_of(current_rows(dim), "address")] == [new]
 
@@ -80,10 +80,10 @@ def test_null_is_a_value_like_any_other(spark, old, new, versions):
 def test_untracked_columns_keep_or_follow(spark):
     history = scd2_init(people(spark, person(1, name="Ann"), person(2, name="Bea")))
     batch = people(
-        spark, person(1, name="Anna", updated="2026-06-02 09:00:00"),
+        spark, person(1, name="Anna", updated="2026-09-02 09:00:00"),
         person(2, "moved", name="Beate"),
     )
-    kept = scd2_merge(history, batch, "2026-06-02")
+    kept = scd2_merge(history, batch, "2026-09-02")
     assert rows_of(kept, "customer_id", "name", "is_current") == [
         (1, "Ann", True), (2, "Bea", False), (2, "Beate", True),
     ]
@@ -91,44 +91,44 @@ def test_untracked_columns_keep_or_follow(spark):
         CUSTOMERS.key, CUSTOMERS.surrogate, CUSTOMERS.attributes, CUSTOMERS.tracked,
         CUSTOMERS.start_from, untracked=OVERWRITE,
     )
-    followed = scd2_merge(history, batch, "2026-06-02", spec)
+    followed = scd2_merge(history, batch, "2026-09-02", spec)
     assert rows_of(followed, "customer_id", "name", "is_current", "updated_at") == [
-        (1, "Anna", True, at("2026-06-02 09:00:00")),
-        (2, "Bea", False, at("2026-06-02 00:00:00")),
+        (1, "Anna", True, at("2026-09-02 09:00:00")),
+        (2, "Bea", False, at("2026-09-02 00:00:00")),
         (2, "Beate", True, at("2026-01-01 10:00:00")),
     ]
 
 
 def test_closed_versions_pass_and_a_returning_key_is_new(spark):
     first = scd2_init(people(spark, person(1, "A"), person(2, "A")))
-    second = scd2_merge(first, people(spark, person(1, "B")), "2026-06-02")
+    second = scd2_merge(first, people(spark, person(1, "B")), "2026-09-02")
     only_closed = second.filter("customer_id = 1 and not is_current").unionByName(
         second.filter("customer_id = 2")
     )
-    back = scd2_merge(only_closed, people(spark, person(1, "C", signup="2026-06-05")), "2026-06-07")
+    back = scd2_merge(only_closed, people(spark, person(1, "C", signup="2026-09-05")), "2026-09-07")
     assert rows_of(back, "customer_id", "address", "is_current", "start_date") == [
-        (1, "A", False, at("2026-01-01")), (1, "C", True, at("2026-06-05")),
+        (1, "A", False, at("2026-01-01")), (1, "C", True, at("2026-09-05")),
         (2, "A", True, at("2026-01-01")),
     ]
     spec = Scd2(
         CUSTOMERS.key, CUSTOMERS.surrogate, CUSTOMERS.attributes, CUSTOMERS.tracked,
         CUSTOMERS.start_from, new_from="run_date",
     )
-    at_run = scd2_merge(only_closed, people(spark, person(1, "C")), "2026-06-07", spec)
-    assert (1, "C", at("2026-06-07")) in rows_of(at_run, "customer_id", "address", "start_date")
+    at_run = scd2_merge(only_closed, people(spark, person(1, "C")), "2026-09-07", spec)
+    assert (1, "C", at("2026-09-07")) in rows_of(at_run, "customer_id", "address", "start_date")
 
 
 def test_empty_batch_changes_nothing_and_empty_history_is_a_first_load(spark):
     history = scd2_init(people(spark, person(1), person(2)))
     nobody = people(spark, person(1)).limit(0)
-    assert rows_of(scd2_merge(history, nobody, "2026-06-02"), "*") == rows_of(history, "*")
+    assert rows_of(scd2_merge(history, nobody, "2026-09-02"), "*") == rows_of(history, "*")
     batch = people(spark, person(7))
-    from_nothing = scd2_merge(history.limit(0), batch, "2026-06-02")
+    from_nothing = scd2_merge(history.limit(0), batch, "2026-09-02")
     assert rows_of(from_nothing, "*") == rows_of(scd2_init(batch), "*")
 
 
 def test_replay_equals_merging_step_by_step(spark):
-    days = [dt.date(2026, 6, d) for d in (2, 3, 4)]
+    days = [dt.date(2026, 9, d) for d in (2, 3, 4)]
     batches = [
         people(spark, *[person(i, f"{(i * d) % 3}") for i in range(1, 9) if (i + d) % 2])
         for d in range(4)
@@ -150,7 +150,7 @@ def test_replay_equals_merges_one_after_the_other(spark):
         batches.append(people(spark, *[
             person(i, rng.choice([None, "A", "B"]), name=f"N{n}", updated=f"2026-0{n + 1}-01 08:00:00") for i in keys
         ]))
-    days = [f"2026-06-0{n + 1}" for n in range(4)]
+    days = [f"2026-09-0{n + 1}" for n in range(4)]
     for untracked in ("history", OVERWRITE):
         spec = Scd2(
             CUSTOMERS.key, CUSTOMERS.surrogate, CUSTOMERS.attributes, CUSTOMERS.tracked,
@@ -177,30 +177,30 @@ def test_outcomes_name_every_key_once(spark):
 def test_as_of_returns_the_version_of_the_day(spark):
     dim = scd2_merge(
         scd2_init(people(spark, person(1001, "NY home"))),
-        people(spark, person(1001, "CA home")), "2026-06-02",
+        people(spark, person(1001, "CA home")), "2026-09-02",
     )
     seen = {
         day: rows_of(as_of(dim, day), "address")
-        for day in ("2025-12-31", "2026-02-15", "2026-06-02", "2026-06-10")
+        for day in ("2025-12-31", "2026-02-15", "2026-09-02", "2026-09-10")
     }
     assert seen == {
         "2025-12-31": [], "2026-02-15": [("NY home",)],
-        "2026-06-02": [("CA home",)], "2026-06-10": [("CA home",)],
+        "2026-09-02": [("CA home",)], "2026-09-10": [("CA home",)],
     }
 
 
 def test_latest_product_wins_with_its_nulls(spark):
     history = scd1_init(
-        items(spark, item(5001, "499.99", "100"), item(5002, "7.00")), "product_id", "product_key"
+        items(spark, item(5001, "312.40", "60"), item(5002, "7.00")), "product_id", "product_key"
     )
     batch = items(
-        spark, item(5001, "450.00", "85", category=None, updated="2026-06-02 12:00:00"),
+        spark, item(5001, "287.50", "44", category=None, updated="2026-09-02 12:00:00"),
         item(5003, "1.00"),
     )
     dim = scd1_upsert(history, batch, "product_id", "product_key")
     assert dim.schema.names == schemas.DIM_PRODUCTS.names
     assert rows_of(dim, "product_id", "price", "stock_quantity", "category", "updated_at") == [
-        (5001, Decimal("450.00"), 85, None, at("2026-06-02 12:00:00")),
+        (5001, Decimal("287.50"), 44, None, at("2026-09-02 12:00:00")),
         (5002, Decimal("7.00"), 5, "Books", at("2026-01-01")),
         (5003, Decimal("1.00"), 5, "Books", at("2026-01-01")),
     ]
