@@ -15,11 +15,22 @@ Candidates are confirmed on the full sets. Rounds follow as long as one finds a
 link: each passes over neighbours that are already in the same component, so
 that a document of a dense region meets those it is not yet linked to. They
 only make components large at little cost; what they leave out, a last pass
-makes up for: in each region, all pairs of different components that have not
-been checked are candidates. Their number is that of the members outside the
-region's largest component times all members, so it is small for copies of one
-text and grows with the square where many texts are alike just below the
-threshold.
+makes up for. In a region with few members outside its largest component, these
+are held against all members. Regions with more are taken together by that
+component, and each such group gets a pivot, the shingles that most of its
+members have. Of a member x only the differences from the pivot c are kept:
+a = |c - x|, b = |x - c|, and its weight w = 100 a + p b at p percent. For two members
+that share s differences
+
+    100 |x & y| - p |x | y| = (100 - p) |c| - w(x) - w(y) + (100 + p) s.
+
+So all members light enough to be linked whatever they share are linked with the
+lightest one, and any other link needs a number of shared differences that the
+two weights tell. Of d differences in order of their frequency, r of which have to
+be shared, one of the first d - r + 1 is then shared: only members that meet in one
+of these are candidates. Since r depends on the other's weight, members meet per
+band of weights. Copies with edits of their own so cost what they
+differ in, not their number squared, and no link is lost.
 """
 
 from __future__ import annotations
@@ -46,6 +57,10 @@ FIRST_WINDOW = 1
 # Neighbours looked at in each order, and how many of them become candidates.
 WINDOW = 32
 BEST = 2
+# Members outside its largest component up to which a region compares them one by one.
+SPARSE = 4
+# Bands of weight up to the weight that two members may have together.
+BANDS = 8
 
 _rng = np.random.default_rng(5)
 _FACTOR = _rng.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -53,6 +68,9 @@ _SHIFT = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
 _ORDERS = np.stack([_rng.permutation(HASHES)[:DEPTH] for _ in range(TREES)])
 
 FEATURES = "doc_id bigint, text_key bigint, n_shingles bigint, set_a bigint, set_b bigint, signature binary"
+DIFFERENCES = (
+    "group bigint, node bigint, component bigint, w bigint, most bigint, d bigint, differences array<bigint>"
+)
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
@@ -214,38 +232,46 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     links lead to, ``kept`` whether the row has that id.
 
     Null, empty and blank texts have an empty set and are linked with nothing.
-    Rows that share a doc_id are judged each by its own text, under that id. A
-    row without doc_id is linked with nothing, has no component and is kept. An
+    Rows that share a doc_id are judged each by its own text, and their component
+    has the smallest id of its texts, which unlike texts may then share. A row without doc_id is linked with nothing, has no component and is kept. An
     empty table gives an empty result; other columns are not read.
 
     Links are exact, on the full sets as 64-bit hashes. A pair at the threshold
     shares a prefix of ``LEAST_PREFIX`` in one of the orders with a probability
-    of 1 - 10^-7 (85 percent), more above it, and all pairs that share one and are
-    not in one component are checked. Sets are only made for documents that have
+    of 1 - 10^-7 (85 percent), more above it, and no link between two that share
+    one is left out. Sets are only made for documents that have
     a candidate. A hot group costs one row per member and tree, and its sort is
     split by key range.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "near-duplicates")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = rows.withColumn("text_key", F.xxhash64("text"))
-    features = work.write(keyed.mapInArrow(_features, FEATURES), "features")
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    features = work.write(rows.mapInArrow(_features, FEATURES), "features")
     classes = work.write(
         features.filter("doc_id is not null and n_shingles > 0")
         .groupBy("set_a", "set_b")
-        .agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature")),
+        .agg(
+            F.min(F.struct("doc_id", "text_key")).alias("first"),
+            F.min("n_shingles").alias("n"),
+            F.min("signature").alias("signature"),
+        )
+        # A number of the set's own: ids may be shared by unlike texts.
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     links = _links(rows, classes, percent, work)
     labels = links.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    of_set = classes.select("set_a", "set_b", "node").join(labels, "node", "left")
-    of_set = of_set.select("set_a", "set_b", F.coalesce("label", "node").alias("label"))
+    of_set = classes.select("set_a", "set_b", "node", F.col("first.doc_id").alias("doc_id")).join(labels, "node", "left")
+    of_set = of_set.withColumn("label", F.coalesce("label", "node"))
+    least = of_set.groupBy("label").agg(F.min("doc_id").alias("label_id"))
+    of_set = of_set.join(least, "label").select("set_a", "set_b", "label_id")
     found = (
         features.drop("signature")
         .join(of_set, ["set_a", "set_b"], "left")
         .withColumn(
             "component_id",
-            F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("label")),
+            F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("label_id")),
         )
     )
     result = work.write(
@@ -304,7 +330,7 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
         if checked is not None:
             new = new.join(checked, ["u", "v"], "left_anti")
         new = work.write(new, f"new-{round_}")
-        links, sets = _confirmed(new, rows, sets, percent, work, str(round_))
+        links, sets = _confirmed(new, classes, rows, sets, percent, work, str(round_))
         checked = new if checked is None else checked.unionByName(new)
         if round_ and links.isEmpty():
             break
@@ -316,23 +342,38 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
         else:
             trees, window = TREES, WINDOW
         round_ += 1
-    rest = work.write(_unchecked(classes, star, percent, work).join(checked, ["u", "v"], "left_anti"), "new-last")
+    regions = _open_regions(classes, star, work)
+    rest = _few(regions, percent).unionByName(_many(regions, classes, rows, sets, percent, work))
+    rest = work.write(rest.distinct().join(checked, ["u", "v"], "left_anti"), "new-last")
+    work.drop("regions", "differences", "lists")
     if rest.isEmpty():
         return star
-    links, _ = _confirmed(rest, rows, sets, percent, work, "last")
+    links, _ = _confirmed(rest, classes, rows, sets, percent, work, "last")
     return components(star.unionByName(links), work, "components-last")
 
 
+def _with_sets(
+    nodes: DataFrame, classes: DataFrame, rows: DataFrame, sets: DataFrame | None, work: Workspace, name: str
+) -> DataFrame:
+    """The sets made so far and those of ``nodes``, one row per node."""
+    if sets is not None:
+        nodes = nodes.join(sets.select("node"), "node", "left_anti")
+    nodes = nodes.join(classes.select("node", "first.doc_id", "first.text_key"), "node")
+    nodes = work.write(nodes, f"nodes-{name}")
+    keys = ["doc_id", "text_key"]
+    # Rows that share id and text are one.
+    texts = rows.join(nodes, keys).groupBy("node", *keys).agg(F.first("text").alias("text")).select("node", "text")
+    found = work.write(texts.mapInArrow(_sets, "node bigint, shingles binary"), f"sets-{name}")
+    work.drop(f"nodes-{name}")
+    return found if sets is None else sets.unionByName(found)
+
+
 def _confirmed(
-    new: DataFrame, rows: DataFrame, sets: DataFrame | None, percent: int, work: Workspace, name: str
+    new: DataFrame, classes: DataFrame, rows: DataFrame, sets: DataFrame | None, percent: int, work: Workspace, name: str
 ) -> tuple[DataFrame, DataFrame]:
     """The links among candidates ``new``, and the sets made so far."""
-    nodes = new.select(F.col("u").alias("doc_id")).union(new.select("v")).distinct()
-    if sets is not None:
-        nodes = nodes.join(sets.select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
-    nodes = work.write(nodes, f"nodes-{name}")
-    found = work.write(_shingle_sets(rows.join(nodes, "doc_id", "left_semi")), f"sets-{name}")
-    sets = found if sets is None else sets.unionByName(found)
+    nodes = new.select(F.col("u").alias("node")).union(new.select("v")).distinct()
+    sets = _with_sets(nodes, classes, rows, sets, work, name)
     pairs = (
         new.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("shingles_u")), "u")
         .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("shingles_v")), "v")
@@ -341,12 +382,11 @@ def _confirmed(
     return work.write(pairs, f"links-{name}"), sets
 
 
-def _unchecked(classes: DataFrame, star: DataFrame, percent: int, work: Workspace) -> DataFrame:
-    """Pairs (u < v) of different components that share a region in any order.
+def _open_regions(classes: DataFrame, star: DataFrame, work: Workspace) -> DataFrame:
+    """Rows of the regions in which several components meet, in any order of the forest.
 
-    Left out are only pairs whose sizes alone rule a link out. A region's rows
-    are counted per component; those outside its largest component are joined
-    with all of its rows.
+    ``top`` is the region's largest component, ``outside`` the number of its
+    rows that are not in it.
     """
     label = star.select(F.col("u").alias("node"), F.col("v").alias("label"))
     rows = classes.select("node", "n", "signature").join(label, "node", "left")
@@ -354,9 +394,22 @@ def _unchecked(classes: DataFrame, star: DataFrame, percent: int, work: Workspac
     rows = rows.mapInArrow(_regions, "region bigint, node bigint, n bigint, component bigint")
     sizes = rows.groupBy("region", "component").agg(F.count("*").alias("size"))
     top = sizes.groupBy("region").agg(
-        F.count("*").alias("components"), F.max(F.struct("size", "component"))["component"].alias("top")
+        F.count("*").alias("components"),
+        F.sum("size").alias("members"),
+        F.max(F.struct("size", "component")).alias("largest"),
     )
-    rows = work.write(rows.join(top.filter("components > 1").drop("components"), "region"), "regions")
+    top = top.filter("components > 1").select(
+        "region", F.col("largest.component").alias("top"), (F.col("members") - F.col("largest.size")).alias("outside")
+    )
+    return work.write(rows.join(top, "region"), "regions")
+
+
+def _few(regions: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in the regions with few members outside the largest one.
+
+    Left out are only pairs whose sizes alone rule a link out.
+    """
+    rows = regions.filter(F.col("outside") <= SPARSE)
     outside = rows.filter("component <> top").select(
         "region", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of_a")
     )
@@ -365,7 +418,97 @@ def _unchecked(classes: DataFrame, star: DataFrame, percent: int, work: Workspac
         & ((F.col("component") == F.col("top")) | (F.col("a") < F.col("node")))
         & (100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a"))
     )
-    return met.select(F.least("a", "node").alias("u"), F.greatest("a", "node").alias("v")).distinct()
+    return met.select(F.least("a", "node").alias("u"), F.greatest("a", "node").alias("v"))
+
+
+def _many(
+    regions: DataFrame, classes: DataFrame, rows: DataFrame, sets: DataFrame | None, percent: int, work: Workspace
+) -> DataFrame:
+    """Pairs that include every link between components in the other regions, by pivots."""
+    members = regions.filter(F.col("outside") > SPARSE).select(F.col("top").alias("group"), "node", "component").distinct()
+    members = work.write(members, "grouped")
+    sets = _with_sets(members.select("node").distinct(), classes, rows, sets, work, "grouped")
+    members = work.write(members.join(sets, "node").select("group", "node", "component", "shingles"), "members")
+    sizes = members.groupBy("group").agg(F.count("*").alias("size"))
+    held = members.select("group", "shingles").mapInArrow(_elements, "group bigint, element bigint")
+    held = held.groupBy("group", "element").agg(F.count("*").alias("n")).join(sizes, "group")
+    # No more than twice as many as a member has on average.
+    pivots = held.filter(2 * F.col("n") > F.col("size")).groupBy("group").agg(F.collect_list("element").alias("pivot"))
+    found = work.write(
+        members.join(pivots, "group", "left").mapInArrow(_differences(percent), DIFFERENCES), "differences"
+    )
+    work.drop("members", "grouped")
+    least = found.groupBy("group").agg(F.min(F.struct("w", "node", "component")).alias("lightest"))
+    found = found.join(least, "group").withColumn("over", F.col("w") + F.col("lightest.w") - F.col("most"))
+    light = found.filter((F.col("over") <= 0) & (F.col("component") != F.col("lightest.component"))).select(
+        F.least("node", "lightest.node").alias("u"), F.greatest("node", "lightest.node").alias("v")
+    )
+    # Members are told apart by bands of weight: what two have to share depends on both.
+    width = F.greatest(F.floor(F.col("most") / BANDS), F.lit(100)).alias("width")
+    found = found.join(found.groupBy("group").agg(F.max("w").alias("heaviest")), "group")
+    each = found.select(
+        "group", "node", "component", "w", "most", "d", width, F.col("heaviest"),
+        (F.col("over") > 0).alias("heavy"), F.explode("differences").alias("element"),
+    )
+    common = each.groupBy("group", "element").agg(
+        F.count("*").alias("n"), F.count_if("heavy").alias("n_heavy"),
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+    )
+    order = Window.partitionBy("group", "node").orderBy("n", "element")
+    # With a member of a band, so much can be shared from this difference on.
+    left = (100 + percent) * (F.col("d") - F.col("place") + 1) + F.col("most") - F.col("w")
+    reach = F.floor(F.least(left, F.col("heaviest")) / F.col("width"))
+    lists = (
+        each.join(common, ["group", "element"])
+        .withColumn("place", F.row_number().over(order))
+        .filter((F.col("n_heavy") > 0) & (F.col("lo") != F.col("hi")) & (left >= 0))
+        .select(
+            "group", "element", "node", "component", "heavy", F.floor(F.col("w") / F.col("width")).alias("band"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), reach)).alias("other"),
+        )
+    )
+    lists = work.write(lists, "lists")
+    heavy = lists.filter("heavy").select(
+        "group", "element", F.col("other").alias("band"), F.col("band").alias("other"),
+        F.col("node").alias("a"), F.col("component").alias("of_a"),
+    )
+    met = heavy.join(lists, ["group", "element", "band", "other"]).filter(
+        (F.col("of_a") != F.col("component")) & (~F.col("heavy") | (F.col("a") < F.col("node")))
+    )
+    return light.unionByName(met.select(F.least("a", "node").alias("u"), F.greatest("a", "node").alias("v")))
+
+
+def _elements(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in T.slices(batch, "shingles"):
+            sets = [np.frombuffer(x, np.int64) for x in part.column("shingles").to_pylist()]
+            group = np.repeat(part.column("group").to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group), pa.array(np.concatenate([*sets, np.empty(0, np.int64)]))], ["group", "element"]
+            )
+
+
+def _differences(percent: int):
+    """Per member its weight, the weight two members may have together, and its differences from the pivot."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.slices(batch, "shingles"):
+                w, most, found = [], [], []
+                for x, c in zip(part.column("shingles").to_pylist(), part.column("pivot").to_pylist(), strict=True):
+                    x, c = np.frombuffer(x, np.int64), np.array(c or [], dtype=np.int64)
+                    gone, added = np.setdiff1d(c, x), np.setdiff1d(x, c)
+                    w.append(100 * len(gone) + percent * len(added))
+                    most.append((100 - percent) * len(c))
+                    found.append(np.concatenate([gone, added]))
+                own = [part.column(k) for k in ("group", "node", "component")]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(w, pa.int64()), pa.array(most, pa.int64()),
+                     pa.array([len(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                    ["group", "node", "component", "w", "most", "d", "differences"],
+                )
+
+    return run
 
 
 def _regions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,7 +527,3 @@ def _regions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [pa.array(region.view(np.int64)), *(part.column(c) for c in ("node", "n", "component"))],
                     ["region", "node", "n", "component"],
                 )
-
-
-def _shingle_sets(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").alias("node"), "text").mapInArrow(_sets, "node bigint, shingles binary")

@@ -2,6 +2,8 @@
 
 import random
 
+
+import numpy as np
 import pytest
 
 from starkeel.llm import minhash_dedup, queries
@@ -184,3 +186,73 @@ def test_the_sketch_rejects_nobody():
     width = minhash_dedup.HASHES // 8
     rows = many(2, [0, 1], [b"\0" * width, b"\xff" * width])
     assert sum(b.num_rows for b in minhash_dedup._neighbours(1, 100)([rows])) == 1
+
+
+def test_unlike_texts_under_one_id_are_judged_apart(spark):
+    a = " ".join(f"a{i}" for i in range(200))
+    b = " ".join(f"b{i}" for i in range(200))
+    rows = [(0, a + " tail"), (1, a), (1, b), (1, b), (2, b + " more")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in minhash_dedup.near_duplicates(df).collect())
+    assert got == [(0, 0, True), (1, 0, False), (1, 1, True), (1, 1, True), (2, 1, False)]
+    kept = sorted((r["doc_id"], r["text"]) for r in minhash_dedup.one_of_each(df).collect())
+    assert kept == [(0, a + " tail"), (1, b)]
+
+
+def linked(sets, percent):
+    """Components by brute force."""
+    label = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            y = sets[j]
+            if 100 * len(x & y) >= percent * len(x | y) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if k == old else k for k in label]
+    return label
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_groups_by_pivot_lose_no_link(spark, tmp_path, seed, monkeypatch):
+    """Dense groups just around the threshold, with edits some members share, all in the last pass."""
+    rng = np.random.default_rng(seed)
+    texts, group = [], []
+    for g in range(6):
+        base = [f"{g}w{i}" for i in range(60)]
+        for _ in range(25):
+            words = list(base)
+            for at in rng.choice(60, rng.integers(0, 4), replace=False):
+                words[at] = f"{g}x{at}-{rng.integers(0, 2 if rng.random() < 0.6 else 1000)}"
+            texts.append(" ".join(words[: rng.integers(55, 61)]))
+            group.append(g)
+    texts = list(dict.fromkeys(texts))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    monkeypatch.setattr(minhash_dedup, "SPARSE", 0)
+    monkeypatch.setattr(minhash_dedup, "BEST", 1)
+    monkeypatch.setattr(minhash_dedup, "WINDOW", 1)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(texts))] == linked(sets, 85)
+
+
+def test_pivots_alone_find_every_link(spark):
+    """Without any round before: candidates of one group hold a path for every link."""
+    rng = np.random.default_rng(9)
+    rows, sets = [], []
+    for n in range(120):
+        x = set(range(100)) - set(rng.choice(100, rng.integers(0, 16), replace=False).tolist())
+        x |= set(rng.integers(1000, 1012, rng.integers(0, 8)).tolist()) | {5000 + 10 * n + k for k in range(rng.integers(0, 6))}
+        sets.append(x)
+        rows.append((7, n, n, bytearray(np.array(sorted(x), dtype=np.int64).tobytes())))
+    members = spark.createDataFrame(rows, "top bigint, node bigint, component bigint, shingles binary")
+    regions = members.select("top", "node", "component", F.lit(99).alias("outside"))
+    work = minhash_dedup.Workspace(spark, "pivots")
+    nothing = spark.createDataFrame([], "node bigint, first struct<doc_id: bigint, text_key: bigint>")
+    texts = spark.createDataFrame([], "doc_id bigint, text_key bigint, text string")
+    found = minhash_dedup._many(regions, nothing, texts, members.select("node", "shingles"), 85, work).collect()
+    label = list(range(len(sets)))
+    for r in found:
+        x, y = sets[r["u"]], sets[r["v"]]
+        if 100 * len(x & y) >= 85 * len(x | y):
+            old, new = sorted((label[r["u"]], label[r["v"]]), reverse=True)
+            label = [new if k == old else k for k in label]
+    assert label == linked(sets, 85) and len(set(label)) < len(sets)
