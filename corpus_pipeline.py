@@ -67,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = work.write(stage(spark, docs, sf_dir), name)
-    work.keep(STAGES[-1][0])
+        work.keep(name)  # nothing reads the stage before any more
     return docs
