@@ -8,13 +8,17 @@ overlap by k; bands below the bound are dropped without loss, and in the
 others the item is aligned within the band, at most k edits.
 
 Both sides are compared in lower case, each run of white space as one space.
+Items shorter than a q-gram allow no edits: they are searched as whole words, all
+at once with an automaton.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +43,27 @@ def budget(m: int, q: int = Q) -> int:
     return max(0, min(m // CHARS_PER_EDIT, m // q - 1))
 
 
+@functools.lru_cache(maxsize=4)
+def _automaton(items: tuple[str, ...]) -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for text in set(items):
+        found.add_word(text, (len(text), [n for n, t in enumerate(items) if t == text]))
+    found.make_automaton()
+    return found
+
+
+def _words(items: tuple[str, ...], text: str) -> dict[int, int]:
+    """The ``items`` that stand in the text with no letter or digit beside them, and where the first ends."""
+    found: dict[int, int] = {}
+    for last, (length, numbers) in _automaton(items).iter(text) if items else ():
+        begin, end = last + 1 - length, last + 1
+        if (begin and text[begin - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
+            continue
+        for n in numbers:
+            found.setdefault(n, end)
+    return found
+
+
 @dataclass(frozen=True)
 class Index:
     """The q-grams of one block of items, sorted by hash, with item and position."""
@@ -52,10 +77,13 @@ class Index:
     item_of: np.ndarray
     place_of: np.ndarray
     seen: np.ndarray
+    # Items without a q-gram; their ids follow the others'.
+    short: tuple[str, ...]
 
     @classmethod
     def of(cls, rows: list[tuple]) -> Index:
         kept = [(i, normal(t)) for i, t in rows]
+        short = [(i, t) for i, t in kept if 0 < len(t) < Q]
         kept = [(i, t) for i, t in kept if len(t) >= Q]
         items = tuple(t for _, t in kept)
         points, ends = T.codepoints(list(items))
@@ -72,7 +100,7 @@ class Index:
         edits = np.array([budget(len(t)) for t in items], dtype=np.int64)
         lengths = np.array([len(t) for t in items], dtype=np.int64)
         return cls(
-            tuple(i for i, _ in kept),
+            tuple(i for i, _ in kept + short),
             items,
             edits,
             lengths + 1 - Q * (edits + 1),
@@ -81,6 +109,7 @@ class Index:
             item_of[order],
             place_of[order],
             seen,
+            tuple(t for _, t in short),
         )
 
 
@@ -113,7 +142,9 @@ def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, edits: int)
 
 def _matches(index: Index, texts: list[str]) -> list[dict[int, tuple[int, int]]]:
     """Per text the items found in it: fewest edits and the end of the first such place."""
-    found: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
+    found: list[dict[int, tuple[int, int]]] = [
+        {len(index.items) + n: (0, end) for n, end in _words(index.short, t).items()} for t in texts
+    ]
     points, ends = T.codepoints(texts)
     if not len(index.hashes) or len(points) < Q:
         return found
@@ -164,7 +195,7 @@ def _matches(index: Index, texts: list[str]) -> list[dict[int, tuple[int, int]]]
 
 def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
     """The items in blocks of about ``block_chars``, one at a time on the driver."""
-    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter(F.length("text") >= Q)
+    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter(F.length("text") > 0)
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-total // block_chars)
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))
@@ -177,8 +208,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
 
     ``edits`` is the fewest found, one per ten characters at most; ``end_char``
     where the first such place ends in the normalised text. Null and empty
-    texts contain nothing; items of fewer than eight characters are not looked
-    for. Repeated documents and items are each reported. Empty tables give an
+    texts contain nothing, and null, empty and blank items are in nothing; items of
+    fewer than eight characters are found as whole words. Repeated documents and items are each reported. Empty tables give an
     empty result. Documents are not shuffled; the benchmark is taken in blocks
     of a bounded number of characters, one pass over the documents for each.
     """
@@ -186,7 +217,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
     schema = f"doc_id {id_type}, item_id {item_type}, edits int, end_char bigint"
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     result = docs.sparkSession.createDataFrame([], schema)
-    kinds = (_arrow(item_type), pa.int32(), pa.int64())
+    kinds = (benchmark.select("item_id").limit(0).toArrow().schema.field(0).type, pa.int32(), pa.int64())
     for items in _blocks(benchmark, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(Index.of(items))
 
@@ -207,10 +238,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
     return result
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows in which an item is found; all columns as they were."""
     for items in _blocks(benchmark, block_chars):

@@ -254,7 +254,7 @@ from written group by conv_id
 
 
 def _url_oracle() -> str:
-    """All rounds written out, one pair of tables for each."""
+    """Trust, rank and distrust of all hosts, round by round."""
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     rules = sorted(RULES, key=lambda r: -len(r.name))
     fits = [f"(host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')" for r in rules]
@@ -275,27 +275,33 @@ def _url_oracle() -> str:
         """hosts as (select host, max(a) as allowed, max(b) as blocked from (
             select host, avg(case when said = 'allow' then 1.0 else 0.0 end) as a,
                 avg(case when said = 'block' then 1.0 else 0.0 end) as b from judged where host <> '' group by host
-            union all select dst, 0.0, 0.0 from edges) group by host)""",
+            union all select dst, cast(0 as double), cast(0 as double) from edges) group by host)""",
     ]
-    for name, seed, src, dst in (("t", "allowed", "src", "dst"), ("d", "blocked", "dst", "src")):
-        parts.append(f"{name}_out as (select {src} as host, count(*) as n from edges group by {src})")
-        parts.append(f"{name}0 as (select host, {seed} as mass from hosts)")
-        for k in range(url_filter.ROUNDS):
-            parts.append(
-                f"""{name}{k + 1} as (select h.host, {1 - url_filter.DAMPING} * h.{seed}
-                + {url_filter.DAMPING} * coalesce(r.part, 0) as mass from hosts h left join (
-                    select host, sum(part) as part from (
-                        select e.{dst} as host, m.mass / o.n as part
-                        from {name}{k} m join {name}_out o using (host) join edges e on e.{src} = m.host
-                        union all
-                        select m.host, m.mass from {name}{k} m left join {name}_out o using (host) where o.n is null
-                    ) group by host) r using (host))"""
-            )
-    last = url_filter.ROUNDS
-    return f"""with {", ".join(parts)}
-select j.page_id, j.host, j.path, j.rule, coalesce(j.said, case
-    when d.mass >= {url_filter.DISTRUST} and d.mass > t.mass then 'block' else 'allow' end) as verdict
-from judged j left join t{last} t using (host) left join d{last} d using (host)"""
+    d = url_filter.DAMPING
+
+    def walked(seed: str, part: str) -> str:
+        return f"""case when n is null then {seed} + {d} / (1 - {d}) * coalesce({part}, 0)
+            else (1 - {d}) * {seed} + {d} * coalesce({part}, 0) end"""
+
+    walk = f"""walk as (
+        select 0 as k, h.host, h.allowed, h.blocked, o.n, h.allowed as trust, cast(1 as double) as rank, h.blocked as distrust
+        from hosts h left join (select src as host, count(*) as n from edges group by src) o using (host)
+        union all
+        select w.k + 1, w.host, w.allowed, w.blocked, w.n, {walked("w.allowed", "i.trust")}, {walked("1", "i.rank")},
+            w.blocked + (1 - w.blocked) * {d} * coalesce(j.distrust, 0) / coalesce(w.n, 1)
+        from walk w
+        left join (select e.dst as host, sum(m.trust / m.n) as trust, sum(m.rank / m.n) as rank
+            from walk m join edges e on e.src = m.host group by e.dst) i on i.host = w.host
+        left join (select e.src as host, sum(m.distrust) as distrust
+            from walk m join edges e on e.dst = m.host group by e.src) j on j.host = w.host
+        where w.k < {url_filter.ROUNDS})"""
+    least = url_filter.DISTRUST
+    return f"""with recursive {", ".join([*parts, walk])},
+verdicts as (select host, case when (distrust >= {least} and distrust >= {d} * trust / rank and distrust > allowed)
+    or (blocked >= {least} and blocked > allowed) then 'block' else 'allow' end as verdict
+    from walk where k = {url_filter.ROUNDS})
+select j.page_id, j.host, j.path, j.rule, coalesce(j.said, v.verdict, 'allow') as verdict
+from judged j left join verdicts v using (host)"""
 
 
 def _quality_oracle() -> str:

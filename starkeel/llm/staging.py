@@ -10,8 +10,10 @@ from ..sources import files
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; below the warehouse where none is named."""
+    """The folder in ``spark.checkpoint.dir``; below the warehouse in a local session without one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared directory")
     return named or files.join(spark.conf.get("spark.sql.warehouse.dir"), "_staging")
 
 

@@ -7,9 +7,13 @@ from trusted hosts (personalised PageRank), distrust follows them backwards
 from blocked ones: who links to a blocked host is suspect. Distrust is the
 chance that a walk along a host's links, given up with 1 - ``DAMPING`` at each
 step, meets a blocked page; how many others link to the blocked host does not
-matter. A host without links keeps what it has. A host is blocked if its
-distrust reaches the threshold and exceeds its trust, or if the share of its own
-pages that rules block does so by itself.
+matter. Trust is made comparable: of all the PageRank a host has, the share that
+comes from trusted pages, that is the chance that a surfer who is there began at
+one, times ``DAMPING``. It is below ``DAMPING`` however many trusted hosts link
+there, so links to a host cannot make up for what it links to itself. A host
+without links keeps what it has. A host is blocked if its distrust reaches the
+threshold, is no less than its trust and exceeds the share of its own pages that
+rules allow, or if the share of its own pages that rules block does so by itself.
 """
 
 from __future__ import annotations
@@ -23,8 +27,8 @@ from pyspark.sql import functions as F
 from .staging import Workspace
 
 DAMPING = 0.85
-# Rounds that the SQL equivalent writes out; the query goes on until nothing moves.
-ROUNDS = 10
+# Rounds of the SQL equivalent, enough for ``SETTLED``; the query stops when nothing moves.
+ROUNDS = 150
 SETTLED = 1e-9
 DISTRUST = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -140,9 +144,12 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     hosts = work.write(hosts, "hosts")
     trust = propagate(hosts.select("host", F.col("allowed").alias("seed")), edges, work, "trust")
     distrust = propagate(hosts.select("host", F.col("blocked").alias("seed")), edges, work, "distrust", share=True)
-    verdicts = trust.withColumnRenamed("mass", "trust").join(distrust.withColumnRenamed("mass", "distrust"), "host")
-    verdicts = verdicts.join(hosts, "host")
-    suspect = (F.col("distrust") >= DISTRUST) & (F.col("distrust") > F.greatest("trust", "allowed"))
+    ranks = propagate(hosts.select("host", F.lit(1.0).alias("seed")), edges, work, "ranks")
+    trust = trust.join(ranks.withColumnRenamed("mass", "rank"), "host")
+    trust = trust.select("host", (DAMPING * F.col("mass") / F.col("rank")).alias("trust"))
+    verdicts = trust.join(distrust.withColumnRenamed("mass", "distrust"), "host").join(hosts, "host")
+    suspect = (F.col("distrust") >= DISTRUST) & (F.col("distrust") >= F.col("trust"))
+    suspect = suspect & (F.col("distrust") > F.col("allowed"))
     blocked = (F.col("blocked") >= DISTRUST) & (F.col("blocked") > F.col("allowed"))
     result = judged.join(verdicts, "host", "left").select(
         "page_id",

@@ -1,10 +1,15 @@
 """Toxicity and language on held-out rows, and awkward rows."""
 
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from starkeel.llm import language_id, queries, toxicity
+from starkeel.llm import texts as T
 
 LARGER = "/root/testdata/sf0.01"
 
@@ -79,3 +84,86 @@ def test_filters_hold_any_number_of_languages(n):
         shares = own.shares(grams[i], own.false_rate())
         assert shares[i] > 0.999 and int(np.argmax(shares)) == i
         assert np.delete(shares, i).max() < 0.05
+
+
+def plain_grams(text, orders):
+    """Character n-grams as strings, a space at both ends."""
+    low = f" {' '.join(text.lower().split())} "
+    return [low[i : i + n] for n in orders for i in range(len(low) - n + 1)]
+
+
+def bucket(gram):
+    return int(T.grams(np.array([ord(c) for c in gram], np.uint32), len(gram))[0] >> np.uint64(64 - toxicity.BITS))
+
+
+def test_ratios_and_scores_by_plain_counting(spark):
+    """Document counts per n-gram from sets of strings, the ratios from their formula, scores from sums."""
+    rng = random.Random(3)
+    words = ["alpha", "Beta", "gämma", "delta", "vile", "wretch", "foul", "x"]
+    rows = []
+    for i in range(60):
+        toxic = int(i % 3 == 0)
+        rows.append((i, " ".join(rng.choice(words[4:] if toxic and rng.random() < 0.6 else words[:5]) for _ in range(rng.randint(1, 9))), toxic))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id bigint, toxic int")
+    held, totals = {0: {}, 1: {}}, [0, 0]
+    for _, text, toxic in rows:
+        totals[toxic] += 1
+        for b in {bucket(g) for g in plain_grams(text, toxicity.ORDERS)}:
+            held[toxic][b] = held[toxic].get(b, 0) + 1
+    ratio = {}
+    for b in {*held[0], *held[1]}:
+        clean, bad = held[0].get(b, 0), held[1].get(b, 0)
+        share = (clean + bad) / sum(totals)
+        of = [(n + toxicity.PRIOR * share) / (t + toxicity.PRIOR) for n, t in ((clean, totals[0]), (bad, totals[1]))]
+        if clean + bad >= toxicity.LEAST_DOCS:
+            ratio[b] = math.log(of[1]) - math.log(of[0])
+    counts = np.zeros((2, 1 << toxicity.BITS), np.int64)
+    for k in (0, 1):
+        for b, n in held[k].items():
+            counts[k, b] = n
+    found = toxicity._ratios(counts, np.array(totals))
+    assert {int(b): found[b] for b in np.flatnonzero(found)} == pytest.approx({b: r for b, r in ratio.items() if r})
+    model = toxicity.fit(docs, labels)
+    # Only n-grams with a ratio worth something carry weight, each as often as it is there: once.
+    assert set(np.flatnonzero(model.weights).tolist()) <= {b for b, r in ratio.items() if abs(r) > toxicity.LEAST_RATIO}
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    for i, text, _ in rows:
+        z = model.bias + sum(model.weights[b] for b in {bucket(g) for g in plain_grams(text, toxicity.ORDERS)})
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)))
+    bad, good = (np.mean([got[i] for i, _, t in rows if t == k]) for k in (1, 0))
+    assert bad > good
+
+
+def test_popcounts_against_plain_sets(spark):
+    """Shares per language from sets of n-grams, with the false positives of the filter taken off."""
+    rng = random.Random(8)
+    words = {"aa": ["lorem", "ipsum", "dolor", "sit"], "bb": ["quick", "brown", "fox", "ipsum"], "cc": ["žluť", "kůň", "pěl", "ódy"]}
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(20)), k) for i, k in enumerate(["aa", "bb", "cc"] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    filters = language_id.fit(docs)
+    assert filters.languages == ("aa", "bb", "cc")
+    sets = {k: Counter() for k in words}
+    for _, text, k in rows:
+        sets[k].update(plain_grams(text, language_id.ORDERS))
+    kept = {k: {g for g, n in c.items() if n >= language_id.SHARE * c.total()} for k, c in sets.items()}
+    rate = filters.false_rate()
+    asked = [(i, " ".join(rng.choice(sum(words.values(), [])) for _ in range(12))) for i in range(30)]
+    got = {r["doc_id"]: r for r in language_id.predict(spark.createDataFrame(asked, "doc_id bigint, text string"), filters).collect()}
+    wrong = 0
+    for i, text in asked:
+        grams = plain_grams(text, language_id.ORDERS)
+        hashes = language_id._grams([text])[0]
+        assert len(hashes) == len(grams)
+        # What the filter says beyond the sets are its false positives, and nothing is denied.
+        raw = []
+        for n, k in enumerate(filters.languages):
+            says = (filters.members(hashes)[:, n // 64] >> np.uint64(n % 64)) & np.uint64(1)
+            true = np.array([g in kept[k] for g in grams])
+            assert (says[true] == 1).all()
+            wrong += int(says[~true].sum())
+            raw.append(int(says.sum()))
+        shares = [max(0.0, min(1.0, (c / len(grams) - f) / (1 - f))) for c, f in zip(raw, rate, strict=True)]
+        best = int(np.argmax(shares))
+        assert got[i]["lang_pred"] == filters.languages[best] and got[i]["score"] == pytest.approx(shares[best])
+    assert wrong <= 30 * 3 * 200 * 0.05

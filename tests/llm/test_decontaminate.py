@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from starkeel.llm import decontaminate as D
 from starkeel.llm import queries
@@ -71,7 +73,7 @@ def test_awkward_rows(spark, awkward, empty):
     )
     found = D.leaks(awkward, items)
     got = sorted((str(r["doc_id"]), str(r["item_id"])) for r in found.collect())
-    assert got == [("1", "1")] * 4 + [("5", "None"), ("6", "None")] + [("None", "1")] * 2
+    assert got == [("1", "1")] * 4 + [("1", "4")] * 2 + [("5", "None"), ("6", "None")] + [("None", "1")] * 2 + [("None", "4")]
     kept = D.without_leaks(awkward, items)
     assert kept.columns == awkward.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 7, 8, 9]
@@ -83,3 +85,16 @@ def test_blocks_find_the_same(spark, documents):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     whole = sorted(map(tuple, D.leaks(documents, items).collect()))
     assert sorted(map(tuple, D.leaks(documents, items, block_chars=1500).collect())) == whole
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(20,3)", "string", "date", "bigint"])
+def test_short_items_and_ids_of_any_type(spark, kind):
+    items = [(1, "42 here"), (2, "abc"), (3, "  "), (4, ""), (5, None), (6, "X"), (7, "an item that is long enough to have grams")]
+    of = F.date_add(F.lit("2026-01-01").cast("date"), F.col("n")) if kind == "date" else F.col("n").cast(kind)
+    benchmark = spark.createDataFrame(items, "n int, text string").select(of.alias("item_id"), "text")
+    texts = ["answer 42 here", "42 hereby", "ABC, (x)!", "abcd xyz", "", None, "He said: an item that is long enough to have grams.", "x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    ids = {n: r["item_id"] for n, r in zip(range(1, 8), benchmark.collect(), strict=True)}
+    got = {(r["doc_id"], r["item_id"], r["edits"], r["end_char"]) for r in D.leaks(docs, benchmark).collect()}
+    assert got == {(0, ids[1], 0, 14), (2, ids[2], 0, 3), (2, ids[6], 0, 7), (6, ids[7], 0, 50), (7, ids[6], 0, 1)}
+    assert sorted(r["doc_id"] for r in D.without_leaks(docs, benchmark).collect()) == [1, 3, 4, 5]

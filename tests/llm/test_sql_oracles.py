@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pyarrow.parquet as pq
 import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
@@ -135,12 +136,59 @@ def test_trust_and_distrust_spread(spark):
     assert by["shady.com"]["distrust"] >= url_filter.DISTRUST and by["shady.com"]["verdict"] == "block"
     assert by["calm.com"]["verdict"] == "allow" and by["calm.com"]["distrust"] == 0
 
-    mass = {"good.org": 1.0, "friend.com": 0.0, "friend2.com": 0.0}
-    seed = dict(mass)
-    for _ in range(url_filter.ROUNDS):
-        sent = {"friend.com": mass["good.org"], "friend2.com": mass["friend.com"] + mass["friend2.com"], "good.org": 0.0}
-        mass = {h: 0.15 * seed[h] + 0.85 * sent[h] for h in mass}
-    assert by["friend.com"]["trust"] == pytest.approx(mass["friend.com"])
+    def settled(seed):
+        mass = dict(seed)
+        for _ in range(400):
+            # friend2.com has no links and keeps what it gets.
+            sent = {"friend.com": mass["good.org"], "friend2.com": mass["friend.com"], "good.org": 0.0}
+            mass = {h: 0.15 * seed[h] + 0.85 * sent[h] for h in mass}
+        return mass
+
+    mass, rank = settled({"good.org": 1.0, "friend.com": 0.0, "friend2.com": 0.0}), settled({"good.org": 1.0, "friend.com": 1.0, "friend2.com": 1.0})
+    assert by["friend.com"]["trust"] == pytest.approx(0.85 * mass["friend.com"] / rank["friend.com"])
+
+
+@pytest.mark.parametrize("n", [0, 5, 200])
+def test_links_to_a_host_do_not_change_what_it_links_to(spark, n):
+    """A host that only links to a blocked one is blocked, however many trusted hosts link to it."""
+    rows = [page(-1, "http://spam.com/", "http://bad.net/"), page(-2, "http://bad.net/")]
+    rows += [page(i, f"http://t{i}.org/fr/", "http://spam.com/") for i in range(n)]
+    by = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame(rows, PAGES), queries.RULES).collect()}
+    assert by[-1]["verdict"] == "block" and 0 <= by[-1]["trust"] < url_filter.DAMPING
+
+
+def test_linked_pages_by_sql(spark, tmp_path):
+    """Chains, cycles, few and many that link to blocked and to trusted hosts: the query's verdicts are those of SQL."""
+    rows, n = [], iter(range(10_000))
+    add = lambda url, *to: rows.append(page(next(n), url, *to))
+    add("http://bad.net/1")
+    add("http://worse.net/1")
+    add("http://good.org/fr/1", "http://c0.com/")
+    for k in range(6):
+        add(f"http://c{k}.com/", f"http://c{k + 1}.com/")
+        add(f"http://d{k + 1}.com/", f"http://d{k}.com/")
+    add("http://d0.com/", "http://bad.net/")
+    for k in range(3):
+        add(f"http://r{k}.com/", f"http://r{(k + 1) % 3}.com/", *(["http://bad.net/"] if k == 0 else []))
+        add(f"http://q{k}.com/", f"http://q{(k + 1) % 3}.com/", "http://good.org/")
+    for k in range(2):
+        add(f"http://few{k}.com/", "http://worse.net/")
+    for k in range(1000):
+        add(f"http://many{k}.com/", "http://bad.net/")
+        add(f"http://fan{k}.org/fr/", "http://spam.com/", "http://fine.com/")
+    add("http://spam.com/", "http://bad.net/")
+    add("http://fine.com/", "http://bad.net/", *[f"http://ok{k}.com/" for k in range(9)])
+    add("http://both.com/", "http://bad.net/", "http://good.org/")
+    add("http://example.com/de/", "http://fine.com/")
+    add("http://example.com/other", "http://bad.net/")
+    spark.createDataFrame(rows, PAGES).write.parquet(str(tmp_path / "all"))
+    pq.write_table(pq.read_table(tmp_path / "all"), tmp_path / "pages.parquet")
+    con = connect(str(tmp_path))
+    assert differences(queries.op5_url_filter(spark, str(tmp_path)), con, queries.ORACLES["op5_url_filter"]) == []
+    con.close()
+    verdicts = {r["host"]: r["verdict"] for r in queries.op5_url_filter(spark, str(tmp_path)).collect()}
+    assert verdicts["many7.com"] == verdicts["few0.com"] == verdicts["spam.com"] == verdicts["d1.com"] == "block"
+    assert verdicts["c3.com"] == verdicts["fine.com"] == verdicts["q1.com"] == "allow"
 
 
 @pytest.mark.parametrize("n", [2, 1000])
