@@ -11,6 +11,10 @@ def join(*parts: str) -> str:
     return "/".join([parts[0].rstrip("/"), *(p.strip("/") for p in parts[1:])])
 
 
+def parent(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[0]
+
+
 def _fs(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs
     p = hadoop.Path(path)

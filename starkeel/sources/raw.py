@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.keys import as_date
+from ..lineage import staged
 from ..operators.conform import CORRUPT
 from . import files
 
@@ -108,28 +109,30 @@ def _copy_lines(spark: SparkSession, source: str, target: str) -> None:
     header: lines equal to it and blank ones are copied like any other. Lines are
     written as text, so that no field is interpreted or lost.
     """
-    lines = spark.read.text(source).select(
+    numbered = spark.read.text(source).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         (F.col("_metadata.file_block_start") == 0).alias("starts"),
         F.monotonically_increasing_id().alias("line"),
     )
-    firsts = lines.filter("starts").groupBy("file").agg(F.min(F.struct("line", "value")).alias("first"))
-    headers = firsts.select("first.value").distinct().limit(2).collect()
-    if not headers:
-        raise ValueError(f"{source} has no header line")
-    if len(headers) > 1:
-        raise ValueError(f"the files of {source} have different headers")
-    header = headers[0]["value"]
-    # One row per landed file of one table and day.
-    marks = F.broadcast(firsts.select("file", F.col("first.line").alias("line")))
-    rows = lines.join(marks, ["file", "line"], "left_anti").select("value")
-    # The lower 33 bits count the rows of a task, that is, of the file it writes.
-    is_first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
-    whole = F.when(is_first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value"))
-    rows.select(whole.alias("value")).write.mode("overwrite").text(target)
-    if rows.isEmpty():
-        spark.createDataFrame([(header,)], "value string").write.mode("overwrite").text(target)
+    # Numbers are only good within one scan: it is stored, and read for both uses.
+    with staged(numbered, "publish", files.join(files.parent(target), "_staging")) as lines:
+        firsts = lines.filter("starts").groupBy("file").agg(F.min(F.struct("line", "value")).alias("first"))
+        headers = firsts.select("first.value").distinct().limit(2).collect()
+        if not headers:
+            raise ValueError(f"{source} has no header line")
+        if len(headers) > 1:
+            raise ValueError(f"the files of {source} have different headers")
+        header = headers[0]["value"]
+        # One row per landed file of one table and day.
+        marks = F.broadcast(firsts.select("file", F.col("first.line").alias("line")))
+        rows = lines.join(marks, ["file", "line"], "left_anti").select("value")
+        # The lower 33 bits count the rows of a task, that is, of the file it writes.
+        is_first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+        whole = F.when(is_first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value"))
+        rows.select(whole.alias("value")).write.mode("overwrite").text(target)
+        if rows.isEmpty():
+            spark.createDataFrame([(header,)], "value string").write.mode("overwrite").text(target)
 
 
 def publish(
