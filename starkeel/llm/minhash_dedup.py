@@ -26,10 +26,10 @@ that share s differences
 
 So all members light enough to be linked whatever they share are linked with the
 lightest one, and any other link needs a number of shared differences that the
-two weights tell. Of d differences in order of their frequency, r of which have to
-be shared, one of the first d - r + 1 is then shared: only members that meet in one
-of these are candidates. Since r depends on the other's weight, members meet per
-band of weights. Copies with edits of their own so cost what they
+two weights tell. Of d differences that others have too, in order of their
+frequency, r of which have to be shared, one of the first d - r + 1 is then shared:
+only members that meet in one of these are candidates. Since r depends on the
+other's weight, members are met per band of weights. Copies with edits of their own so cost what they
 differ in, not their number squared, and no link is lost.
 """
 
@@ -443,37 +443,51 @@ def _many(
     light = found.filter((F.col("over") <= 0) & (F.col("component") != F.col("lightest.component"))).select(
         F.least("node", "lightest.node").alias("u"), F.greatest("node", "lightest.node").alias("v")
     )
-    # Members are told apart by bands of weight: what two have to share depends on both.
-    width = F.greatest(F.floor(F.col("most") / BANDS), F.lit(100)).alias("width")
-    found = found.join(found.groupBy("group").agg(F.max("w").alias("heaviest")), "group")
-    each = found.select(
-        "group", "node", "component", "w", "most", "d", width, F.col("heaviest"),
-        (F.col("over") > 0).alias("heavy"), F.explode("differences").alias("element"),
+    heaviest = found.groupBy("group").agg(F.max("w").alias("heaviest"))
+    about = found.join(heaviest, "group").select(
+        "group", "node", "component", "w", "most", "heaviest", F.col("lightest.w").alias("least"),
+        (F.col("over") > 0).alias("heavy"), F.greatest(F.floor(F.col("most") / BANDS), F.lit(100)).alias("width"),
     )
-    common = each.groupBy("group", "element").agg(
-        F.count("*").alias("n"), F.count_if("heavy").alias("n_heavy"),
-        F.min("component").alias("lo"), F.max("component").alias("hi"),
+    each = found.select("group", "node", "component", (F.col("over") > 0).alias("heavy"), F.explode("differences").alias("element"))
+    # What two members of different components share, one of them heavy, is held by such two.
+    common = (
+        each.groupBy("group", "element")
+        .agg(
+            F.count("*").alias("n"), F.max("heavy").alias("some_heavy"),
+            F.min("component").alias("lo"), F.max("component").alias("hi"),
+        )
+        .filter("some_heavy and lo <> hi")
+        .select("group", "element", "n")
     )
-    order = Window.partitionBy("group", "node").orderBy("n", "element")
-    # With a member of a band, so much can be shared from this difference on.
-    left = (100 + percent) * (F.col("d") - F.col("place") + 1) + F.col("most") - F.col("w")
-    reach = F.floor(F.least(left, F.col("heaviest")) / F.col("width"))
+    own = Window.partitionBy("group", "node")
     lists = (
-        each.join(common, ["group", "element"])
-        .withColumn("place", F.row_number().over(order))
-        .filter((F.col("n_heavy") > 0) & (F.col("lo") != F.col("hi")) & (left >= 0))
-        .select(
-            "group", "element", "node", "component", "heavy", F.floor(F.col("w") / F.col("width")).alias("band"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), reach)).alias("other"),
-        )
+        each.select("group", "node", "element")
+        .join(common, ["group", "element"])
+        .withColumn("place", F.row_number().over(own.orderBy("n", "element")))
+        .withColumn("left", F.count("*").over(own) - F.col("place") + 1)
+        .select("group", "node", "element", "left")
+        .join(about, ["group", "node"])
+    )
+    # From this difference on so many can be shared, worth so much weight.
+    lists = lists.withColumn("worth", (100 + percent) * F.col("left")).filter(
+        (F.col("worth") >= F.col("w") - F.col("least")) | (F.col("heavy") & (F.col("worth") + F.col("most") >= F.col("w")))
     )
     lists = work.write(lists, "lists")
-    heavy = lists.filter("heavy").select(
-        "group", "element", F.col("other").alias("band"), F.col("band").alias("other"),
-        F.col("node").alias("a"), F.col("component").alias("of_a"),
+    spare = F.col("worth") + F.col("most") - F.col("w")
+    reach = F.floor(F.least(spare, F.col("heaviest")) / F.col("width"))
+    heavy = lists.filter(F.col("heavy") & (spare >= 0)).select(
+        "group", "element", F.col("node").alias("a"), F.col("component").alias("of_a"),
+        F.col("w").alias("w_a"), F.col("worth").alias("worth_a"), "most",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), reach)).alias("band"),
+    )
+    # Whoever is met by a heavy member, which weighs more than the limit less the lightest.
+    met_by = lists.filter(F.col("worth") >= F.col("w") - F.col("least")).select(
+        "group", "element", "node", "component", "w", "worth", F.floor(F.col("w") / F.col("width")).alias("band")
     )
-    met = heavy.join(lists, ["group", "element", "band", "other"]).filter(
-        (F.col("of_a") != F.col("component")) & (~F.col("heavy") | (F.col("a") < F.col("node")))
+    # Where two meet first, all they share lies from there on in both.
+    met = heavy.join(met_by, ["group", "element", "band"]).filter(
+        (F.col("of_a") != F.col("component"))
+        & (F.least("worth", "worth_a") + F.col("most") >= F.col("w") + F.col("w_a"))
     )
     return light.unionByName(met.select(F.least("a", "node").alias("u"), F.greatest("a", "node").alias("v")))
 
