@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from .intervals import HALF_OPEN, interval_join
 from .runs import SINCE, UNTIL
 from .skew import hot_keys, lookup_join
 
+# Keeps a frame as a table under a name and gives it back.
+Stage = Callable[[DataFrame, str], DataFrame]
+
 NO_CUSTOMER = "no_customer_version"
 NO_PRODUCT = "unknown_product"
 
@@ -32,6 +36,7 @@ def resolve_orders(
     rows_per_slice: int | None = None,
     how: str = "left",
     seen: str | None = None,
+    stage: Stage = stored,
 ) -> DataFrame:
     """Attach to each order the customer version of its date and its product.
 
@@ -49,15 +54,15 @@ def resolve_orders(
         "created_at", F.to_timestamp("order_date")
     )
     if seen is not None:
-        return _resolve_as_seen(placed, customers, products, rows_per_slice, how, seen)
+        return _resolve_as_seen(placed, customers, products, rows_per_slice, how, seen, stage)
     versions = customers.select("customer_id", "customer_key", "start_date", "end_date")
     items = products.select("product_id", "product_key", F.col("price").alias("price_each"))
     with_customer = interval_join(
         placed, versions, "customer_id", "created_at", bounds=bounds, how=how,
-        period=period, rows_per_slice=rows_per_slice, spread_by="order_id",
+        period=period, rows_per_slice=rows_per_slice, spread_by="order_id", stage=stage,
     )
     hot = (
-        stored(hot_keys(placed, ["product_id"], rows_per_slice), "hot")
+        stage(hot_keys(placed, ["product_id"], rows_per_slice), "hot")
         if rows_per_slice is not None else None
     )
     return lookup_join(
@@ -67,7 +72,8 @@ def resolve_orders(
 
 
 def _resolve_as_seen(
-    placed: DataFrame, customers: DataFrame, products: DataFrame, rows_per_slice: int | None, how: str, seen: str
+    placed: DataFrame, customers: DataFrame, products: DataFrame, rows_per_slice: int | None, how: str, seen: str,
+    stage: Stage,
 ) -> DataFrame:
     at = "__seen"
     versions = customers.select(
@@ -78,7 +84,7 @@ def _resolve_as_seen(
         F.coalesce(F.col(SINCE).cast("timestamp"), F.lit(dt.datetime(1, 1, 1))).alias("__from"),
         F.coalesce(F.col(UNTIL).cast("timestamp"), open_end()).alias("__to"),
     )
-    options = {"how": how, "rows_per_slice": rows_per_slice, "spread_by": "order_id"}
+    options = {"how": how, "rows_per_slice": rows_per_slice, "spread_by": "order_id", "stage": stage}
     rows = placed.withColumn(at, F.col(seen).cast("timestamp"))
     rows = interval_join(rows, versions, "customer_id", "created_at", seen=at, known="__known", **options)
     rows = rows.drop("start_date", "end_date", "__known")
@@ -157,7 +163,7 @@ def build_dim_date(df: DataFrame, day: str) -> DataFrame:
 
 def daily_sales(
     fact: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame,
-    rows_per_slice: int | None = None, orders_unique: bool = False,
+    rows_per_slice: int | None = None, orders_unique: bool = False, stage: Stage = stored,
 ) -> DataFrame:
     """Items, sales and orders per day, customer state and product category.
 
@@ -188,9 +194,9 @@ def daily_sales(
     hot_c = hot_p = None
     if rows_per_slice is not None:
         # The sums are made once, and searched twice for keys with many of them.
-        sold = stored(sold, "sold")
-        hot_c = stored(hot_keys(sold, ["customer_key"], rows_per_slice), "hot")
-        hot_p = stored(hot_keys(sold, ["product_key"], rows_per_slice), "hot")
+        sold = stage(sold, "sold")
+        hot_c = stage(hot_keys(sold, ["customer_key"], rows_per_slice), "hot")
+        hot_p = stage(hot_keys(sold, ["product_key"], rows_per_slice), "hot")
     days = dates.select(F.col("date_key").alias("order_date_key"), "year", "month")
     states = customers.select("customer_key", F.col("state").alias("customer_state"))
     categories = products.select("product_key", F.col("category").alias("product_category"))

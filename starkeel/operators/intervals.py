@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,7 @@ def interval_join(
     spread_by: str | None = None,
     seen: str | None = None,
     known: str | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] = stored,
 ) -> DataFrame:
     """Join each fact row to the versions of its key valid at ``ts``.
 
@@ -69,6 +71,7 @@ def interval_join(
         only. Suited to long histories; short ones need no cut.
     ``rows_per_slice``
         Split keys (or key-periods) with more fact rows than this into slices.
+        They are searched at once, and kept by ``stage`` as a table.
 
     With ``seen``, the instant at which a fact was looked at, and ``known``, the
     instant since which a version is known (NULL: always), a fact meets what was
@@ -86,7 +89,7 @@ def interval_join(
         on = [key, _PERIOD]
     if rows_per_slice is not None:
         # Searched once: both sides read the few keys that were found.
-        hot = stored(skew.hot_keys(left, on, rows_per_slice), "hot")
+        hot = stage(skew.hot_keys(left, on, rows_per_slice), "hot")
         spread = F.col(spread_by) if spread_by else F.struct(*facts.columns)
         left = skew.slice_left(left, on, hot, spread)
         right = skew.slice_right(right, on, hot)

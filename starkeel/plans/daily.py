@@ -278,7 +278,8 @@ def load_facts(run: _Run, customers: DataFrame, products: DataFrame) -> None:
     if before is not None and lo is not None:
         closed = snapshots.read_closed(spark, run.before, "dim_customers", before, schemas.DIM_CUSTOMERS, lo)
     resolved = resolve_orders(
-        fresh, scd2_known(customers, closed, CUSTOMERS), products, rows_per_slice=run.rows_per_slice, seen=RUN
+        fresh, scd2_known(customers, closed, CUSTOMERS), products, rows_per_slice=run.rows_per_slice, seen=RUN,
+        stage=run.staged,
     )
     resolved = resolved.withColumn("now", now)
     resolved = run.staged(_first_stored(resolved, run.days), "resolved")
@@ -337,7 +338,8 @@ def refresh_summary(run: _Run) -> None:
 
     def sales(rows: DataFrame, when: str) -> DataFrame:
         found = daily_sales(
-            rows, *dims[when], dates, rows_per_slice=run.rows_per_slice, orders_unique=True
+            rows, *dims[when], dates, rows_per_slice=run.rows_per_slice, orders_unique=True,
+            stage=run.staged,
         )
         return found if when == "new" else negated(found)
 
