@@ -7,10 +7,11 @@ class by a softmax within the group, and the id within the class by training
 counts. Frequent ids are classes of their own; the others share classes of
 equal training weight. Both softmaxes add up a bigram table, counted over all
 training texts, and what one head of causal self-attention over the last ids
-contributes. The attention's weights are trained in numpy: each task makes
-``PASSES`` passes over all ids of its training texts in consecutive windows, all
-tasks from the same start, and their weights are averaged by the number of
-windows.
+contributes. The attention's weights are trained in numpy: texts are dealt to
+shards by a hash of id and text, a shard makes ``PASSES`` passes over all ids of its
+training texts in consecutive windows of one text each, all shards from the same
+start, and their weights are averaged by the number of windows. How the input is
+partitioned has no influence.
 
 Scoring cuts a text into windows that overlap by ``CONTEXT`` ids; each id is
 scored once, in the window where it has most context, and windows are run
@@ -22,6 +23,7 @@ Beside it stands the base score, a smoothed unigram over whole words.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -35,6 +37,9 @@ from . import texts as T
 from .staging import Workspace
 
 SEGMENT_BYTES = 2 << 20
+# Shards grow with the table, and so does their number, which is (bytes / SHARD_BYTES) ** SHARD_POWER.
+SHARD_BYTES = 8 << 20
+SHARD_POWER = 0.75
 GROUPS = 32
 MEMBERS = 32
 CLASSES = GROUPS * MEMBERS
@@ -46,7 +51,8 @@ CONTEXT = 8
 REMEMBERED = 200_000
 # Passes over all training ids, whatever their number.
 PASSES = 2
-BATCH = 32
+# Windows a step of training takes at once.
+BATCH = 128
 RATE = 0.01
 SMOOTH = 0.1
 # Weight of the classes' shares in a row of the bigram table.
@@ -69,6 +75,8 @@ def _encoder(path: str):
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    if max(ranks.values()) >= 1 << 16:
+        raise ValueError("ids are kept in 16 bits: the vocabulary may hold 65,536 tokens at most")
     return tiktoken.Encoding("subwords", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -308,38 +316,50 @@ class Model:
         """
         w = self.weights
         x, q, k, v, a, h = self.attend(before)
-        flat, prev, y = h.reshape(-1, WIDTH), before.ravel(), target.ravel()
-        places = slice(None) if valid is None else np.flatnonzero(valid.ravel())
-        flat, prev, y = flat[places], prev[places], y[places]
-        n, (group, member) = len(y), np.divmod(y, MEMBERS)
+        y = target.ravel()
+        places = np.arange(y.size) if valid is None else np.flatnonzero(valid.ravel())
+        # Rows of one group stand side by side.
+        places = places[_order(y[places] // MEMBERS)]
+        flat, prev = h.reshape(-1, WIDTH)[places], before.ravel()[places]
+        n, (group, member) = len(places), np.divmod(y[places], MEMBERS)
+        row = np.arange(n)
         z = _softmax(flat @ w["g"] + self.groups[prev])
-        z[np.arange(n), group] -= 1
+        z[row, group] -= 1
         z /= n
         dh = z @ w["g"].T
         grads = {"g": flat.T @ z, "m": np.zeros_like(w["m"])}
-        for g, at in _by_value(group):
-            own = flat[at]
-            z = _softmax(own @ w["m"][g] + self.members[prev[at], g])
-            z[np.arange(len(at)), member[at]] -= 1
-            z /= n
-            grads["m"][g] = own.T @ z
-            dh[at] += z @ w["m"][g].T
+        z = _softmax(self.inner(flat, prev, group))
+        z[row, member] -= 1
+        z /= n
+        for g, at in _runs(group):
+            grads["m"][g] = flat[at].T @ z[at]
+            dh[at] += z[at] @ w["m"][g].T
         whole = np.zeros((before.size, WIDTH), dh.dtype)
         whole[places] = dh
         dh = whole.reshape(h.shape)
         da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
+        da -= (da * a).sum(axis=2, keepdims=True)
+        da *= a
+        da *= np.float32(WIDTH**-0.5)
+        dq, dk, dv = da @ k, da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
         dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
         de = np.zeros_like(w["e"])
-        flat_dx = dx.reshape(-1, WIDTH)
-        for c, at in _by_value(before.ravel()):
-            de[c] = flat_dx[at].sum(axis=0)
+        order = _order(before.ravel())
+        known = before.ravel()[order]
+        cuts = np.flatnonzero(np.concatenate([[True], known[1:] != known[:-1]]))
+        de[known[cuts]] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], cuts, axis=0)
         rows = x.reshape(-1, WIDTH).T
         for name, d in (("q", dq), ("k", dk), ("v", dv)):
             grads[name] = rows @ d.reshape(-1, WIDTH)
         return grads | {"e": de, "p": dx.sum(axis=0)}
 
+    def inner(self, flat: np.ndarray, prev: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Logits of the members of each row's group; rows of one group stand side by side."""
+        z = self.members.reshape(-1, MEMBERS)[prev * GROUPS + group]
+        for g, at in _runs(group):
+            z[at] += flat[at] @ self.weights["m"][g]
+        return z
+
     def score(self, stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Natural log probability of each id's class, given the ids before it in its text."""
         stride = WINDOW - CONTEXT
@@ -361,13 +381,12 @@ class Model:
             hidden = self.attend(prev)[-1]
             own = valid.copy()
             own[number[a : a + 256] > 0, :CONTEXT] = False
-            prev, hidden, at = prev[own], hidden[own], at[own]
+            at = at[own]
+            order = _order(stream[at] // MEMBERS)
+            prev, hidden, at = prev[own][order], hidden[own][order], at[order]
             group, member = np.divmod(stream[at], MEMBERS)
             logs = _log_of(hidden @ w["g"] + self.groups[prev], group)
-            inner = self.members[prev, group]
-            for g, rows in _by_value(group):
-                inner[rows] += hidden[rows] @ w["m"][g]
-            out[at] = logs + _log_of(inner, member)
+            out[at] = logs + _log_of(self.inner(hidden, prev, group), member)
         return out
 
 
@@ -386,13 +405,17 @@ def _log_of(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return target - np.log(z.sum(axis=1))
 
 
-def _by_value(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each distinct value and where it stands."""
-    order = np.argsort(values, kind="stable")
-    cuts = np.flatnonzero(np.diff(values[order])) + 1
-    for at in np.split(order, cuts):
-        if len(at):
-            yield int(values[at[0]]), at
+def _order(values: np.ndarray) -> np.ndarray:
+    """Places by value (of a class or group), equal ones as they stand; 16 bits are sorted by radix."""
+    return np.argsort(values.astype(np.uint16), kind="stable")
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each distinct value of a sorted array and where it stands."""
+    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if a < b:
+            yield int(values[a]), slice(a, b)
 
 
 _CAUSAL = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
@@ -421,52 +444,77 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _training(row: dict, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """The stream of a segment's training texts: each ends in 0, so the next one starts after an end."""
+    """The stream of a segment's training texts, each closed by 0, and where they start."""
     stream, _, starts = _streams(row, classes)
-    keep = np.repeat(~np.array(row["held"], dtype=bool), np.diff(starts))
-    return stream[keep], starts
+    sizes, held = np.diff(starts), np.array(row["held"], dtype=bool)
+    return stream[np.repeat(~held, sizes)], np.concatenate([[0], np.cumsum(sizes[~held])])
+
+
+class _Training:
+    """Weights on their way, by Adam."""
+
+    def __init__(self, initial: Model):
+        self.model = Model(dict(initial.weights), initial.groups, initial.members)
+        self.first = {n: np.zeros_like(w) for n, w in initial.weights.items()}
+        self.second = {n: np.zeros_like(w) for n, w in initial.weights.items()}
+        self.steps = self.windows = 0
+
+    def segment(self, stream: np.ndarray, starts: np.ndarray) -> None:
+        """``PASSES`` passes over all windows of some texts; no window reaches into another text."""
+        windows = -(-np.diff(starts) // WINDOW)
+        text = np.repeat(np.arange(len(windows)), windows)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
+        begin, end = starts[text] + number * WINDOW, starts[text + 1]
+        # The id before a text's first one is the end of the text before.
+        before = np.concatenate([[0], stream[:-1]])
+        # Not in the order of the text, so that a batch holds many texts.
+        rng = np.random.default_rng(11)
+        chosen = np.concatenate([rng.permutation(len(text)) for _ in range(PASSES)])
+        for a in range(0, len(chosen), BATCH):
+            own = chosen[a : a + BATCH]
+            at = begin[own, None] + np.arange(WINDOW)
+            valid = at < end[own, None]
+            at = np.where(valid, at, 0)
+            self.update(self.model.step(before[at], stream[at], valid))
+            self.windows += len(own)
+
+    def update(self, grads: dict[str, np.ndarray]) -> None:
+        self.steps += 1
+        rate = RATE * (1 - 0.99**self.steps) ** 0.5 / (1 - 0.9**self.steps)
+        for n, g in grads.items():
+            self.first[n] += 0.1 * (g - self.first[n])
+            self.second[n] += 0.01 * (g * g - self.second[n])
+            change = rate * self.first[n] / (np.sqrt(self.second[n]) + 1e-8)
+            self.model.weights[n] = self.model.weights[n] - change.astype(np.float32)
+
+    def row(self) -> pa.RecordBatch:
+        weights = self.model.weights
+        flat = np.concatenate([weights[n].ravel() for n in sorted(weights)]).astype(np.float64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), self.windows))],
+            ["place", "weight", "windows"],
+        )
 
 
 def _train(shared):
-    """One task's weights after ``PASSES`` passes of Adam over all its ids, and the number of windows."""
+    """A shard's weights after all its segments, and the number of windows; rows are sorted by segment."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, initial = shared.value
-        model = Model(dict(initial.weights), initial.groups, initial.members)
-        first = {n: np.zeros_like(w) for n, w in model.weights.items()}
-        second = {n: np.zeros_like(w) for n, w in model.weights.items()}
-        steps = windows = 0
+        shard, own = None, None
         for row in _rows(batches):
-            stream, _ = _training(row, classes)
-            size = len(stream)
-            # The last window may reach past the end.
-            stream = np.concatenate([stream, np.zeros(-size % WINDOW, stream.dtype)])
-            before = np.concatenate([[0], stream[:-1]])
-            # Not in the order of the text, so that a batch holds many texts.
-            rng = np.random.default_rng(11)
-            begins = np.concatenate([rng.permutation(np.arange(0, size, WINDOW)) for _ in range(PASSES)])
-            for a in range(0, len(begins), BATCH):
-                at = begins[a : a + BATCH, None] + np.arange(WINDOW)
-                grads = model.step(before[at], stream[at], None if at.max() < size else at < size)
-                steps += 1
-                windows += len(at)
-                for n, g in grads.items():
-                    first[n] += 0.1 * (g - first[n])
-                    second[n] += 0.01 * (g * g - second[n])
-                    rate = RATE * (1 - 0.99**steps) ** 0.5 / (1 - 0.9**steps)
-                    change = rate * first[n] / (np.sqrt(second[n]) + 1e-8)
-                    model.weights[n] = model.weights[n] - change.astype(np.float32)
-        if windows:
-            flat = np.concatenate([model.weights[n].ravel() for n in sorted(model.weights)]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), windows))],
-                ["place", "weight", "windows"],
-            )
+            if row["seg"] >> 32 != shard:
+                if own is not None and own.windows:
+                    yield own.row()
+                shard, own = row["seg"] >> 32, _Training(initial)
+            own.segment(*_training(row, classes))
+        if own is not None and own.windows:
+            yield own.row()
 
     return run
 
 
-def learn(segments: DataFrame) -> tuple[Classes, Model]:
+def learn(segments: DataFrame, shards: int) -> tuple[Classes, Model]:
     """Classes, bigram table and attention weights from the training texts of ``segments``.
 
     What reaches the driver has a fixed size: one number per subword id, per
@@ -478,13 +526,14 @@ def learn(segments: DataFrame) -> tuple[Classes, Model]:
     counts = np.zeros(1 << 16)
     counts[counted["sub_ids"].to_numpy(np.int64)] = counted["n"].to_numpy(np.float64)
     classes = Classes.from_counts(counts)
-    streams = segments.select("held", "n_words", "words", "sub", "sub_lengths")
+    streams = segments.select("seg", "held", "n_words", "words", "sub", "sub_lengths")
     pairs = streams.mapInArrow(_bigrams(context.broadcast(classes)), "pair int, n bigint")
     pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(CLASSES * CLASSES)
     table[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
     model = Model.of_pairs(table.reshape(CLASSES, CLASSES))
-    trained = streams.mapInArrow(
+    by_shard = streams.repartitionById(shards, F.shiftright("seg", 32).cast("int")).sortWithinPartitions("seg")
+    trained = by_shard.mapInArrow(
         _train(context.broadcast((classes, model))), "place int, weight double, windows bigint"
     )
     share = F.sum(F.col("weight") * F.col("windows")) / F.sum("windows")
@@ -551,18 +600,20 @@ def score(docs: DataFrame, held: Column, path: str) -> DataFrame:
         F.coalesce(held, F.lit(True)).alias("held"),
         F.col("text").cast("string").alias("text"),
     )
-    segments = work.write(rows.mapInArrow(_segments(path), SEGMENTS), "segments")
+    ends, size = rows.agg(F.count_if(~F.col("held")), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    shards = max(1, math.ceil((size / SHARD_BYTES) ** SHARD_POWER))
+    dealt = rows.repartition(shards, "doc_id", "text").sortWithinPartitions("doc_id", "text", "held")
+    segments = work.write(dealt.mapInArrow(_segments(path), SEGMENTS), "segments")
     found = segments.select("seg", "hashes", "train").mapInArrow(
         _vocabulary, "word bigint, n bigint, seg bigint, place int"
     )
     counts = found.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
     counts = work.write(counts, "counts")
-    ends = rows.agg(F.count(F.when(~F.col("held"), 1))).first()[0]
     distinct, total = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     back = found.select("word", "seg", "place").join(counts, "word").select("seg", "place", "c")
     back = back.repartition("seg").sortWithinPartitions("seg", "place")
     back = back.mapInArrow(_packed, "seg bigint, places binary, counts binary")
-    classes, model = learn(segments)
+    classes, model = learn(segments, shards)
     shared = docs.sparkSession.sparkContext.broadcast(
         (classes, model, ends, total + ends, distinct + int(ends > 0))
     )

@@ -176,7 +176,7 @@ def test_every_training_id_is_trained_on_alike(sizes, monkeypatch):
     texts = [" ".join(f"w{i}" for i in rng.integers(0, 500, n)) for n in sizes] + ["held out words"]
     row = segment_row(texts, [False] * len(sizes) + [True])
     classes = M.Classes.from_counts(rng.integers(0, 100, 1 << 16).astype(float))
-    stream, _ = M._training(row, classes)
+    stream, starts = M._training(row, classes)
     met, step = Counter(), M.Model.step
 
     def spy(self, before, target, valid=None):
@@ -186,12 +186,13 @@ def test_every_training_id_is_trained_on_alike(sizes, monkeypatch):
 
     monkeypatch.setattr(M.Model, "step", spy)
     kinds = dict(zip(M._SEGMENT_NAMES, M._SEGMENT_TYPES, strict=True))
-    names = ["held", "n_words", "words", "sub", "sub_lengths"]
+    names = ["seg", "held", "n_words", "words", "sub", "sub_lengths"]
     batch = pa.RecordBatch.from_arrays([pa.array([row[n]], kinds[n]) for n in names], names)
     (out,) = M._train(SimpleNamespace(value=(classes, model())))([batch])
     expected = Counter(zip([0, *stream[:-1].tolist()], stream.tolist(), strict=True))
     assert met == {pair: M.PASSES * n for pair, n in expected.items()}
-    assert out.column("windows")[0].as_py() == M.PASSES * -(-len(stream) // M.WINDOW)
+    windows = sum(-(-n // M.WINDOW) for n in np.diff(starts).tolist())
+    assert out.column("windows")[0].as_py() == M.PASSES * windows
     assert np.isfinite(out.column("weight").to_numpy()).all()
 
 
@@ -205,3 +206,47 @@ def test_places_past_the_end_add_nothing():
     one, two = own.step(before, target, valid), own.step(*other, valid)
     for name in one:
         assert two[name] == pytest.approx(one[name], abs=1e-6)
+
+
+def test_scores_do_not_depend_on_partitions(spark, documents, monkeypatch):
+    """Also with several shards, and segments smaller than one."""
+    monkeypatch.setattr(M, "SEGMENT_BYTES", 20_000)
+    monkeypatch.setattr(M, "SHARD_BYTES", 50_000)
+    rows = [
+        {tuple(r)[:6]: r["score"] for r in M.score(documents.repartition(n), F.col("doc_id") % 3 == 0, RANKS).collect()}
+        for n in (1, 7)
+    ]
+    assert rows[0].keys() == rows[1].keys()
+    assert all(rows[1][k] == pytest.approx(v, rel=1e-6) for k, v in rows[0].items())
+
+
+def test_windows_do_not_reach_into_other_texts():
+    """What a text adds to training does not depend on the texts beside it."""
+    rng = np.random.default_rng(8)
+    classes = M.Classes.from_counts(rng.integers(0, 100, 1 << 16).astype(float))
+    texts = ["a few words", "some more words than before " * 20, "the last"]
+    met = []
+
+    class Spy(M._Training):
+        def update(self, grads):
+            pass
+
+    for chosen in ([0, 1, 2], [2, 0, 1]):
+        own = Spy(model())
+        seen = Counter()
+        step = own.model.step
+        own.model.step = lambda b, t, v, seen=seen, step=step: (
+            seen.update(tuple(r[m].tolist()) for r, m in zip(t, v, strict=True)), step(b, t, v)
+        )[1]
+        own.segment(*M._training(segment_row([texts[i] for i in chosen]), classes))
+        met.append(seen)
+    assert met[0] == met[1]
+
+
+def test_a_vocabulary_of_too_many_ids_is_refused(tmp_path):
+    import base64
+
+    path = tmp_path / "ranks"
+    path.write_bytes(b"\n".join(base64.b64encode(bytes([i])) + b" %d" % (i << 9) for i in range(256)))
+    with pytest.raises(ValueError, match="16 bits"):
+        M._encoder(str(path))
