@@ -54,6 +54,8 @@ PASSES = 2
 # Windows a step of training takes at once.
 BATCH = 128
 RATE = 0.01
+# Largest logit; e to its power is far from the limits of 32-bit floats.
+LIMIT = 40
 SMOOTH = 0.1
 # Weight of the classes' shares in a row of the bigram table.
 PULL = 20
@@ -300,12 +302,13 @@ class Model:
         keeps them from every place before.
         """
         w = self.weights
-        x = w["e"][before] + w["p"]
-        q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-        s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5)
-        s += _CAUSAL
-        s -= s.max(axis=2, keepdims=True)
-        np.exp(s, out=s)
+        x = w["e"][before]
+        x += w["p"]
+        q, k, v = np.split(x @ np.concatenate([w["q"], w["k"], w["v"]], axis=1), 3, axis=2)
+        s = q @ k.transpose(0, 2, 1)
+        s *= np.float32(WIDTH**-0.5)
+        s = _exp(s)
+        s *= _CAUSAL
         s /= s.sum(axis=2, keepdims=True)
         return x, q, k, v, s, x + s @ v
 
@@ -325,12 +328,10 @@ class Model:
         row = np.arange(n)
         z = _softmax(flat @ w["g"] + self.groups[prev])
         z[row, group] -= 1
-        z /= n
         dh = z @ w["g"].T
         grads = {"g": flat.T @ z, "m": np.zeros_like(w["m"])}
         z = _softmax(self.inner(flat, prev, group))
         z[row, member] -= 1
-        z /= n
         for g, at in _runs(group):
             grads["m"][g] = flat[at].T @ z[at]
             dh[at] += z[at] @ w["m"][g].T
@@ -341,17 +342,18 @@ class Model:
         da -= (da * a).sum(axis=2, keepdims=True)
         da *= a
         da *= np.float32(WIDTH**-0.5)
-        dq, dk, dv = da @ k, da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
-        dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
+        inputs = np.concatenate([da @ k, da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh], axis=2)
+        dx = inputs @ np.concatenate([w["q"], w["k"], w["v"]], axis=1).T
+        dx += dh
         de = np.zeros_like(w["e"])
         order = _order(before.ravel())
         known = before.ravel()[order]
         cuts = np.flatnonzero(np.concatenate([[True], known[1:] != known[:-1]]))
         de[known[cuts]] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], cuts, axis=0)
-        rows = x.reshape(-1, WIDTH).T
-        for name, d in (("q", dq), ("k", dk), ("v", dv)):
-            grads[name] = rows @ d.reshape(-1, WIDTH)
-        return grads | {"e": de, "p": dx.sum(axis=0)}
+        inputs = x.reshape(-1, WIDTH).T @ inputs.reshape(-1, 3 * WIDTH)
+        grads |= dict(zip("qkv", np.split(inputs, 3, axis=1), strict=True)) | {"e": de, "p": dx.sum(axis=0)}
+        # All gradients so far are of the sum over the rows.
+        return {name: g / n for name, g in grads.items()}
 
     def inner(self, flat: np.ndarray, prev: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Logits of the members of each row's group; rows of one group stand side by side."""
@@ -390,19 +392,22 @@ class Model:
         return out
 
 
+def _exp(z: np.ndarray) -> np.ndarray:
+    """Weights of a softmax. Logits count up to ``LIMIT`` either way, so neither a weight nor a sum can overflow or vanish."""
+    np.clip(z, -LIMIT, LIMIT, out=z)
+    return np.exp(z, out=z)
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
+    _exp(z)
     z /= z.sum(axis=1, keepdims=True)
     return z
 
 
 def _log_of(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log softmax of the chosen column of each row."""
-    z -= z.max(axis=1, keepdims=True)
-    target = z[np.arange(len(z)), chosen]
-    np.exp(z, out=z)
-    return target - np.log(z.sum(axis=1))
+    _exp(z)
+    return np.log(z[np.arange(len(z)), chosen] / z.sum(axis=1))
 
 
 def _order(values: np.ndarray) -> np.ndarray:
@@ -418,7 +423,7 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(values[a]), slice(a, b)
 
 
-_CAUSAL = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
+_CAUSAL = np.tri(WINDOW, dtype=np.float32)
 
 
 def _bigrams(classes):
