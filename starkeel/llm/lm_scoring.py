@@ -7,11 +7,13 @@ class by a softmax within the group, and the id within the class by training
 counts. Frequent ids are classes of their own; the others share classes of
 equal training weight. Both softmaxes add up a bigram table, counted over all
 training texts, and what one head of causal self-attention over the last ids
-contributes. The attention's weights are trained in numpy: texts are dealt to
-shards by a hash of id and text, a shard makes ``PASSES`` passes over all ids of its
-training texts in consecutive windows of one text each, all shards from the same
-start, and their weights are averaged by the number of windows. How the input is
-partitioned has no influence.
+contributes. The attention's weights are trained in numpy, in ``PASSES`` passes over
+all ids of all training texts. Texts are dealt by a hash of id and text and lie in
+segments of about ``SEGMENT_BYTES``. In a pass each segment starts from the same
+weights and takes all its windows, none of which reaches into another text; the
+weights it arrives at are averaged over all segments by the number of windows, and
+the next pass starts from there. How the input is partitioned or the tasks are cut
+has no influence, and nothing but the averages ties segments together.
 
 Scoring cuts a text into windows that overlap by ``CONTEXT`` ids; each id is
 scored once, in the window where it has most context, and windows are run
@@ -37,9 +39,9 @@ from . import texts as T
 from .staging import Workspace
 
 SEGMENT_BYTES = 2 << 20
-# Shards grow with the table, and so does their number, which is (bytes / SHARD_BYTES) ** SHARD_POWER.
-SHARD_BYTES = 8 << 20
-SHARD_POWER = 0.75
+# Texts are dealt to (bytes / PART_BYTES) ** PART_POWER parts: both their size and number grow with the table.
+PART_BYTES = 8 << 20
+PART_POWER = 0.75
 GROUPS = 32
 MEMBERS = 32
 CLASSES = GROUPS * MEMBERS
@@ -95,6 +97,16 @@ def _ids(word: bytes, encoder) -> list[int]:
     return found
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on in as few bytes each as the largest one needs; the first byte tells how many."""
+    kind = np.min_scalar_type(int(numbers.max(initial=0)))
+    return bytes([kind.itemsize]) + numbers.astype(kind.newbyteorder("<")).tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
+
+
 class _Segment:
     """Words of some texts, each distinct word once."""
 
@@ -133,12 +145,12 @@ class _Segment:
             seg,
             self.ids,
             self.held,
-            np.concatenate(self.counts).astype("<i4").tobytes(),
-            words.astype("<u4").tobytes(),
+            _pack(np.concatenate(self.counts)),
+            _pack(words),
             hashes.tobytes(),
-            train.tobytes(),
-            flat.tobytes(),
-            lengths.astype("<u4").tobytes(),
+            _pack(train),
+            _pack(flat),
+            _pack(lengths),
             ids.tolist(),
             used[ids].astype(np.int64).tolist(),
         )
@@ -183,7 +195,7 @@ def _vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for seg, hashes, train in zip(*(batch.column(c).to_pylist() for c in ("seg", "hashes", "train")), strict=True):
             h = np.frombuffer(hashes, np.int64)
-            n = np.frombuffer(train, np.int64)
+            n = _unpack(train)
             for a in range(0, len(h), 50_000):
                 b = min(len(h), a + 50_000)
                 yield pa.RecordBatch.from_arrays(
@@ -205,8 +217,8 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([now], pa.int64()),
-                pa.array([np.concatenate(places).astype("<i4").tobytes()], pa.binary()),
-                pa.array([np.concatenate(counts).astype("<i8").tobytes()], pa.binary()),
+                pa.array([_pack(np.concatenate(places))], pa.binary()),
+                pa.array([_pack(np.concatenate(counts))], pa.binary()),
             ],
             ["seg", "places", "counts"],
         )
@@ -249,10 +261,7 @@ class Classes:
 
 def _streams(row: dict, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of all ids of a segment's texts, each text closed by 0; their log weight within; text starts."""
-    words = np.frombuffer(row["words"], "<u4").astype(np.int64)
-    n_words = np.frombuffer(row["n_words"], "<i4").astype(np.int64)
-    sub = np.frombuffer(row["sub"], np.uint16)
-    lengths = np.frombuffer(row["sub_lengths"], "<u4").astype(np.int64)
+    words, n_words, sub, lengths = (_unpack(row[c]) for c in ("words", "n_words", "sub", "sub_lengths"))
     begins = np.cumsum(lengths) - lengths
     own = lengths[words]
     ends = np.cumsum(own)
@@ -295,6 +304,16 @@ class Model:
             np.log(groups).astype(np.float32), np.log(smooth / groups[:, :, None]).astype(np.float32)
         )
 
+    def flat(self) -> np.ndarray:
+        """All weights in one array, by name."""
+        return np.concatenate([self.weights[n].ravel() for n in sorted(self.weights)]).astype(np.float64)
+
+    def with_weights(self, flat: np.ndarray) -> Model:
+        sizes = np.cumsum([self.weights[n].size for n in sorted(self.weights)])
+        parts = np.split(flat.astype(np.float32), sizes[:-1])
+        shaped = {n: p.reshape(self.weights[n].shape) for n, p in zip(sorted(self.weights), parts, strict=True)}
+        return Model(shaped, self.groups, self.members)
+
     def attend(self, before: np.ndarray) -> tuple:
         """Attention over windows: ``before`` (windows x places) holds the preceding classes.
 
@@ -465,7 +484,7 @@ class _Training:
         self.steps = self.windows = 0
 
     def segment(self, stream: np.ndarray, starts: np.ndarray) -> None:
-        """``PASSES`` passes over all windows of some texts; no window reaches into another text."""
+        """One pass over all windows of some texts; no window reaches into another text."""
         windows = -(-np.diff(starts) // WINDOW)
         text = np.repeat(np.arange(len(windows)), windows)
         number = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -473,8 +492,7 @@ class _Training:
         # The id before a text's first one is the end of the text before.
         before = np.concatenate([[0], stream[:-1]])
         # Not in the order of the text, so that a batch holds many texts.
-        rng = np.random.default_rng(11)
-        chosen = np.concatenate([rng.permutation(len(text)) for _ in range(PASSES)])
+        chosen = np.random.default_rng(11).permutation(len(text))
         for a in range(0, len(chosen), BATCH):
             own = chosen[a : a + BATCH]
             at = begin[own, None] + np.arange(WINDOW)
@@ -492,34 +510,28 @@ class _Training:
             change = rate * self.first[n] / (np.sqrt(self.second[n]) + 1e-8)
             self.model.weights[n] = self.model.weights[n] - change.astype(np.float32)
 
-    def row(self) -> pa.RecordBatch:
-        weights = self.model.weights
-        flat = np.concatenate([weights[n].ravel() for n in sorted(weights)]).astype(np.float64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), self.windows))],
-            ["place", "weight", "windows"],
-        )
-
 
 def _train(shared):
-    """A shard's weights after all its segments, and the number of windows; rows are sorted by segment."""
+    """One pass: the sum over a task's segments of their weights times windows, and the number of windows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, initial = shared.value
-        shard, own = None, None
+        total, windows = 0, 0
         for row in _rows(batches):
-            if row["seg"] >> 32 != shard:
-                if own is not None and own.windows:
-                    yield own.row()
-                shard, own = row["seg"] >> 32, _Training(initial)
+            own = _Training(initial)
             own.segment(*_training(row, classes))
-        if own is not None and own.windows:
-            yield own.row()
+            total = total + own.windows * own.model.flat()
+            windows += own.windows
+        if windows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), windows))],
+                ["place", "weight", "windows"],
+            )
 
     return run
 
 
-def learn(segments: DataFrame, shards: int) -> tuple[Classes, Model]:
+def learn(segments: DataFrame) -> tuple[Classes, Model]:
     """Classes, bigram table and attention weights from the training texts of ``segments``.
 
     What reaches the driver has a fixed size: one number per subword id, per
@@ -531,24 +543,20 @@ def learn(segments: DataFrame, shards: int) -> tuple[Classes, Model]:
     counts = np.zeros(1 << 16)
     counts[counted["sub_ids"].to_numpy(np.int64)] = counted["n"].to_numpy(np.float64)
     classes = Classes.from_counts(counts)
-    streams = segments.select("seg", "held", "n_words", "words", "sub", "sub_lengths")
+    streams = segments.select("held", "n_words", "words", "sub", "sub_lengths")
     pairs = streams.mapInArrow(_bigrams(context.broadcast(classes)), "pair int, n bigint")
     pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(CLASSES * CLASSES)
     table[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
     model = Model.of_pairs(table.reshape(CLASSES, CLASSES))
-    by_shard = streams.repartitionById(shards, F.shiftright("seg", 32).cast("int")).sortWithinPartitions("seg")
-    trained = by_shard.mapInArrow(
-        _train(context.broadcast((classes, model))), "place int, weight double, windows bigint"
-    )
-    share = F.sum(F.col("weight") * F.col("windows")) / F.sum("windows")
-    averaged = trained.groupBy("place").agg(share.alias("weight")).orderBy("place").toPandas()
-    if len(averaged):
-        flat, at = averaged["weight"].to_numpy(np.float32), 0
-        for n in sorted(model.weights):
-            size = model.weights[n].size
-            model.weights[n] = flat[at : at + size].reshape(model.weights[n].shape)
-            at += size
+    for _ in range(PASSES):
+        shared = context.broadcast((classes, model))
+        trained = streams.mapInArrow(_train(shared), "place int, weight double, windows bigint")
+        share = F.sum("weight") / F.sum("windows")
+        averaged = trained.groupBy("place").agg(share.alias("weight")).orderBy("place").toPandas()
+        shared.unpersist()
+        if len(averaged):
+            model = model.with_weights(averaged["weight"].to_numpy())
     return classes, model
 
 
@@ -561,11 +569,10 @@ def _score(shared):
             text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
             logs = model.score(stream, starts).astype(np.float64) + within
             score = np.bincount(text, logs, len(starts) - 1) / np.log(10)
-            words = np.frombuffer(row["words"], "<u4").astype(np.int64)
-            n_words = np.frombuffer(row["n_words"], "<i4").astype(np.int64)
-            known = np.zeros(len(np.frombuffer(row["hashes"], np.int64)), dtype=np.int64)
+            words, n_words = _unpack(row["words"]), _unpack(row["n_words"])
+            known = np.zeros(len(_unpack(row["sub_lengths"])), dtype=np.int64)
             if row["places"] is not None:
-                known[np.frombuffer(row["places"], "<i4")] = np.frombuffer(row["counts"], "<i8")
+                known[_unpack(row["places"])] = _unpack(row["counts"])
             of_word = np.repeat(np.arange(len(n_words)), n_words)
             base = np.bincount(of_word, np.log10(known + SMOOTH)[words], len(n_words)) + np.log10(ends + SMOOTH)
             n = n_words + 1
@@ -606,8 +613,8 @@ def score(docs: DataFrame, held: Column, path: str) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     ends, size = rows.agg(F.count_if(~F.col("held")), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    shards = max(1, math.ceil((size / SHARD_BYTES) ** SHARD_POWER))
-    dealt = rows.repartition(shards, "doc_id", "text").sortWithinPartitions("doc_id", "text", "held")
+    parts = max(1, math.ceil((size / PART_BYTES) ** PART_POWER))
+    dealt = rows.repartition(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text", "held")
     segments = work.write(dealt.mapInArrow(_segments(path), SEGMENTS), "segments")
     found = segments.select("seg", "hashes", "train").mapInArrow(
         _vocabulary, "word bigint, n bigint, seg bigint, place int"
@@ -618,11 +625,13 @@ def score(docs: DataFrame, held: Column, path: str) -> DataFrame:
     back = found.select("word", "seg", "place").join(counts, "word").select("seg", "place", "c")
     back = back.repartition("seg").sortWithinPartitions("seg", "place")
     back = back.mapInArrow(_packed, "seg bigint, places binary, counts binary")
-    classes, model = learn(segments, shards)
+    classes, model = learn(segments)
     shared = docs.sparkSession.sparkContext.broadcast(
         (classes, model, ends, total + ends, distinct + int(ends > 0))
     )
-    whole = segments.select("seg", "doc_ids", "held", "n_words", "words", "hashes", "sub", "sub_lengths")
+    whole = segments.select("seg", "doc_ids", "held", "n_words", "words", "sub", "sub_lengths")
+    # As many tasks as parts: the work is in the texts, which are far larger than what is shuffled.
+    whole, back = whole.repartition(parts, "seg"), back.repartition(parts, "seg")
     scored = whole.join(back, "seg", "left").mapInArrow(
         _score(shared),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
