@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -189,11 +190,15 @@ def search(vectors: DataFrame, is_query, k: int = 5, visited: float = VISITED) -
             queries.mapInArrow(visits, "vec_id bigint, vector array<double>, cells array<int>"), "queries"
         )
         blocks = -(-queries.count() // BLOCK)
-        found = spark.createDataFrame([], schema)
+        work.write(spark.createDataFrame([], schema), "found")
         for n in range(blocks):
             part = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).orderBy("vec_id").toArrow()
             if part.num_rows:
-                found = found.unionByName(_pass(index, part, books.cells, k, schema))
+                # Stored before the next block is fetched: the driver holds one block at a time.
+                block = spark.sparkContext.broadcast(_visits(part, books.cells))
+                work.append(_pass(index, block, k, schema), "found")
+                block.destroy()
+        found = work.read("found", schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     result = work.write(ranked.select("query_id", "rank", "vec_id", "score"), "result")
@@ -201,14 +206,18 @@ def search(vectors: DataFrame, is_query, k: int = 5, visited: float = VISITED) -
     return result
 
 
-def _pass(index: DataFrame, part: pa.Table, cells: int, k: int, schema: str) -> DataFrame:
-    """The nearest rows each task finds for one block of queries."""
+def _visits(part: pa.Table, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of one block of queries the ids, unit vectors and which cells each visits."""
     ids = part.column("vec_id").to_numpy()
     q = _unit(_matrix(part.column("vector").combine_chunks()))
     visits = np.zeros((len(ids), cells), dtype=bool)
     for n, own in enumerate(part.column("cells").to_pylist()):
         visits[n, own] = True
-    shared = index.sparkSession.sparkContext.broadcast((ids, q, visits))
+    return ids, q, visits
+
+
+def _pass(index: DataFrame, shared: Broadcast, k: int, schema: str) -> DataFrame:
+    """The nearest rows each task finds for one block of queries."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q, visits = shared.value
@@ -235,5 +244,5 @@ def _pass(index: DataFrame, part: pa.Table, cells: int, k: int, schema: str) ->
         if held is not None:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], ["query_id", "vec_id", "score"])
 
-    visited = np.flatnonzero(visits.any(axis=0)).tolist()
+    visited = np.flatnonzero(shared.value[2].any(axis=0)).tolist()
     return index.filter(F.col("cell").isin(visited)).mapInArrow(run, schema)

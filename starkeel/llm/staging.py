@@ -30,6 +30,13 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def append(self, df: DataFrame, name: str) -> None:
+        """Add the rows of ``df`` to a stored table."""
+        df.write.mode("append").parquet(files.join(self.root, name))
+
+    def read(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(files.join(self.root, name))
+
     def drop(self, *names: str) -> None:
         """Remove tables that nothing reads any more."""
         for name in names:
