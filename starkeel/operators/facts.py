@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,8 @@ def resolve_orders(
     how: str = "left",
     seen: str | None = None,
     stage: Stage = stored,
+    of_customers: Sequence[str] = (),
+    of_products: Sequence[str] = (),
 ) -> DataFrame:
     """Attach to each order the customer version of its date and its product.
 
@@ -49,18 +51,24 @@ def resolve_orders(
     With ``seen``, the run date an order came with, the dimensions are those of
     :func:`.runs.scd2_known` and :func:`.runs.scd1_states`: an order meets what
     they held after its own run. Orders of many runs are so resolved at once.
+
+    ``of_customers`` and ``of_products`` are further columns of the versions and
+    products found; without ``seen`` only.
     """
-    placed = orders.select(*_ORDER_COLUMNS, *([seen] if seen else [])).withColumn(
-        "created_at", F.to_timestamp("order_date")
-    )
+    placed = orders.select(*_ORDER_COLUMNS, *([seen] if seen else []))
+    created = F.to_timestamp("order_date")
     if seen is not None:
+        if of_customers or of_products:
+            raise ValueError("further columns are not defined for dimensions as seen")
+        placed = placed.withColumn("created_at", created)
         return _resolve_as_seen(placed, customers, products, rows_per_slice, how, seen, stage)
-    versions = customers.select("customer_id", "customer_key", "start_date", "end_date")
-    items = products.select("product_id", "product_key", F.col("price").alias("price_each"))
+    versions = customers.select("customer_id", "customer_key", "start_date", "end_date", *of_customers)
+    items = products.select("product_id", "product_key", F.col("price").alias("price_each"), *of_products)
+    # The order date stands for its midnight, which is added after the shuffles.
     with_customer = interval_join(
-        placed, versions, "customer_id", "created_at", bounds=bounds, how=how,
+        placed, versions, "customer_id", "order_date", bounds=bounds, how=how,
         period=period, rows_per_slice=rows_per_slice, spread_by="order_id", stage=stage,
-    )
+    ).drop("start_date", "end_date")
     hot = (
         stage(hot_keys(placed, ["product_id"], rows_per_slice), "hot")
         if rows_per_slice is not None else None
@@ -68,7 +76,7 @@ def resolve_orders(
     return lookup_join(
         with_customer, items, "product_id", how=how, hot=hot,
         spread_by=F.col("order_id"),
-    )
+    ).withColumn("created_at", created)
 
 
 def _resolve_as_seen(
@@ -105,18 +113,20 @@ def fact_rows(resolved: DataFrame, *more: str) -> DataFrame:
 def build_fact(
     orders: DataFrame, customers: DataFrame, products: DataFrame,
     bounds: str = HALF_OPEN, period: str | None = None,
-    rows_per_slice: int | None = None,
+    rows_per_slice: int | None = None, of_customers: Sequence[str] = (),
+    of_products: Sequence[str] = (),
 ) -> DataFrame:
     """Orders with the customer version valid at the order date.
 
     ``price_each`` is the product's current price, by definition of a Type-1
-    dimension, and need not equal ``total_amount / quantity``.
+    dimension, and need not equal ``total_amount / quantity``. Columns of the
+    dimensions that are wanted with the fact come out of the same joins.
     """
-    return fact_rows(
-        resolve_orders(
-            orders, customers, products, bounds, period, rows_per_slice, how="inner"
-        )
+    resolved = resolve_orders(
+        orders, customers, products, bounds, period, rows_per_slice, how="inner",
+        of_customers=of_customers, of_products=of_products,
     )
+    return fact_rows(resolved, *of_customers, *of_products)
 
 
 def unmatched(resolved: DataFrame, *more: str) -> DataFrame:
@@ -162,7 +172,7 @@ def build_dim_date(df: DataFrame, day: str) -> DataFrame:
 
 
 def daily_sales(
-    fact: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame,
+    fact: DataFrame, customers: DataFrame | None, products: DataFrame | None, dates: DataFrame,
     rows_per_slice: int | None = None, orders_unique: bool = False, stage: Stage = stored,
 ) -> DataFrame:
     """Items, sales and orders per day, customer state and product category.
@@ -173,10 +183,17 @@ def daily_sales(
     meet the dimensions, and no order id is shuffled at all. Otherwise orders are
     counted distinct. The fact is joined first to the calendar, whose size is
     bounded by the days it covers; only the columns used travel.
+
+    A dimension given as None is not looked up: the fact has its ``state`` or
+    ``category`` already, from the joins that built it. Without either, the sums
+    before the calendar have one row per group, and nothing larger is shuffled.
     """
+    of_customer = "customer_state" if customers is None else "customer_key"
+    of_product = "product_category" if products is None else "product_key"
     sold = fact.select(
-        "order_id", "customer_key", "product_key", "order_date_key", "quantity",
-        "total_amount",
+        "order_id", F.col("state" if customers is None else of_customer).alias(of_customer),
+        F.col("category" if products is None else of_product).alias(of_product),
+        "order_date_key", "quantity", "total_amount",
     )
     measures = {
         "total_items_sold": F.sum("quantity"),
@@ -186,23 +203,25 @@ def daily_sales(
     spread = F.col("order_id")
     if orders_unique:
         parts = measures | {"total_order_count": F.count("order_id")}
-        sold = sold.groupBy("order_date_key", "customer_key", "product_key").agg(
+        sold = sold.groupBy("order_date_key", of_customer, of_product).agg(
             *[m.alias(n) for n, m in parts.items()]
         )
         measures = {n: F.sum(n).cast(sold.schema[n].dataType) for n in parts}
-        spread = F.xxhash64("order_date_key", "customer_key", "product_key")
-    hot_c = hot_p = None
-    if rows_per_slice is not None:
-        # The sums are made once, and searched twice for keys with many of them.
+        spread = F.xxhash64("order_date_key", of_customer, of_product)
+    searched = [k for k, dim in (("customer_key", customers), ("product_key", products)) if dim is not None]
+    hot = {}
+    if rows_per_slice is not None and searched:
+        # The sums are made once, and searched for keys with many of them.
         sold = stage(sold, "sold")
-        hot_c = stage(hot_keys(sold, ["customer_key"], rows_per_slice), "hot")
-        hot_p = stage(hot_keys(sold, ["product_key"], rows_per_slice), "hot")
+        hot = {k: stage(hot_keys(sold, [k], rows_per_slice), "hot") for k in searched}
     days = dates.select(F.col("date_key").alias("order_date_key"), "year", "month")
-    states = customers.select("customer_key", F.col("state").alias("customer_state"))
-    categories = products.select("product_key", F.col("category").alias("product_category"))
     star = sold.join(days, "order_date_key")
-    star = lookup_join(star, categories, "product_key", hot=hot_p, spread_by=spread)
-    star = lookup_join(star, states, "customer_key", hot=hot_c, spread_by=spread)
+    if products is not None:
+        categories = products.select("product_key", F.col("category").alias("product_category"))
+        star = lookup_join(star, categories, "product_key", hot=hot.get("product_key"), spread_by=spread)
+    if customers is not None:
+        states = customers.select("customer_key", F.col("state").alias("customer_state"))
+        star = lookup_join(star, states, "customer_key", hot=hot.get("customer_key"), spread_by=spread)
     return star.groupBy(
         "year", "month", "order_date_key", "customer_state", "product_category"
     ).agg(*[m.alias(n) for n, m in measures.items()])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from starkeel import schemas
 from starkeel.operators.dedup import latest
-from starkeel.operators.facts import build_fact, daily_sales
+from starkeel.operators.facts import build_dim_date, build_fact, daily_sales
 from starkeel.operators.intervals import interval_join
 from starkeel.operators.scd1 import scd1_upsert
 from starkeel.operators.scd2 import scd2_apply
@@ -115,3 +115,25 @@ def test_entry_runs_with_the_declared_columns(spark):
     assert df.columns == schemas.DAILY_SALES.names
     assert [f.dataType for f in df.schema] == [f.dataType for f in schemas.DAILY_SALES]
     assert df.count() > 0
+
+
+def test_the_summary_query_shuffles_no_surrogate_keys(spark, shuffled_joins):
+    for name in ("daily_sales_summary", "daily_sales_sliced"):
+        p = plan(driver.queries()[name](spark, SF))
+        dealt = re.findall(r"hashpartitioning\(([^)]*)\)", p)
+        assert dealt and not [d for d in dealt if "customer_key" in d or "product_key" in d]
+
+
+@pytest.mark.parametrize("unique", [True, False])
+@pytest.mark.parametrize("carried", ["both", "state", "category"])
+def test_a_fact_with_state_and_category_gives_the_same_summary(spark, stored, unique, carried):
+    customers, products = stored["customers"], stored["products"]
+    dates = build_dim_date(w.table(spark, SF, "orders"), "o_orderdate")
+    fact = build_fact(stored["orders"], customers, products, of_customers=["state"], of_products=["category"])
+    found = daily_sales(
+        fact, customers if carried == "category" else None, products if carried == "state" else None, dates,
+        orders_unique=unique, rows_per_slice=2,
+    )
+    plain = daily_sales(fact.drop("state", "category"), customers, products, dates)
+    assert found.columns == plain.columns and found.count() == plain.count() > 0
+    assert found.exceptAll(plain).isEmpty()
