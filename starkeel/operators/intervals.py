@@ -13,8 +13,8 @@ from . import skew
 
 HALF_OPEN = "[)"
 CLOSED = "[]"
-_PERIOD = "__period"
-_PERIOD_STEP = {"day": "1 day", "week": "7 days", "month": "1 month", "year": "1 year"}
+_KEY, _PERIOD, _PERIODS = "__key", "__period", "__periods"
+PERIODS = ("day", "month", "week", "year")
 
 
 def holds(ts: Column, start: Column, end: Column, bounds: str = HALF_OPEN) -> Column:
@@ -66,9 +66,11 @@ def interval_join(
 
     ``period``
         Cut time into days, weeks, months or years and join on (key, period).
-        A version is repeated for each period it touches inside the range of
-        the facts, so a key with very many versions is compared per period
-        only. Suited to long histories; short ones need no cut.
+        A version is repeated for each period it touches in which its key has
+        facts, so a key with very many versions is compared per period only,
+        and there are no more repeated versions than (key, period) pairs of
+        the facts times the versions each meets, however long a version is.
+        Suited to long histories; short ones need no cut.
     ``rows_per_slice``
         Split keys (or key-periods) with more fact rows than this into slices.
         They are searched at once, and kept by ``stage`` as a table.
@@ -85,7 +87,7 @@ def interval_join(
         raise ValueError("how must be 'inner' or 'left'")
     left, right, on = facts, versions, [key]
     if period is not None:
-        left, right = _cut_time(facts, versions, ts, start, end, period)
+        left, right = _cut_time(facts, versions, key, ts, start, end, period)
         on = [key, _PERIOD]
     if rows_per_slice is not None:
         # Searched once: both sides read the few keys that were found.
@@ -113,20 +115,20 @@ def interval_join(
 
 
 def _cut_time(
-    facts: DataFrame, versions: DataFrame, ts: str, start: str, end: str, period: str
+    facts: DataFrame, versions: DataFrame, key: str, ts: str, start: str, end: str, period: str,
 ) -> tuple[DataFrame, DataFrame]:
-    if period not in _PERIOD_STEP:
-        raise ValueError(f"period must be one of {sorted(_PERIOD_STEP)}")
-    # The range of the facts keeps open-ended versions from being repeated up
-    # to year 9999. It enters as two scalar subqueries: one scan of one column.
-    lo = facts.agg(F.min(ts)).scalar()
-    hi = facts.agg(F.max(ts)).scalar()
+    if period not in PERIODS:
+        raise ValueError(f"period must be one of {list(PERIODS)}")
     left = facts.withColumn(_PERIOD, F.date_trunc(period, ts).cast("date"))
-    first = F.date_trunc(period, F.greatest(start, lo)).cast("date")
-    last = F.date_trunc(period, F.least(end, hi)).cast("date")
-    step = F.expr(f"interval {_PERIOD_STEP[period]}")
-    reached = (F.col(start) <= hi) & (F.col(end) >= lo) & (F.col(start) <= F.col(end))
-    right = versions.filter(reached).withColumn(
-        _PERIOD, F.explode(F.sequence(first, last, step))
+    # Only periods in which the key has facts can find anything: one short list
+    # per key, whose length is bounded by the periods the facts cover.
+    of_key = left.groupBy(F.col(key).alias(_KEY)).agg(F.collect_set(_PERIOD).alias(_PERIODS))
+    first = F.date_trunc(period, start).cast("date")
+    last = F.date_trunc(period, end).cast("date")
+    touched = F.filter(_PERIODS, lambda p: (first <= p) & (p <= last))
+    right = (
+        versions.filter(F.col(start) <= F.col(end))
+        .join(of_key, F.col(key) == F.col(_KEY))
+        .select(*versions.columns, F.explode(touched).alias(_PERIOD))
     )
     return left, right

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from samples import rows_of
 
 from starkeel.operators.dedup import latest, pool
-from starkeel.operators.intervals import interval_join
+from starkeel.operators.intervals import _cut_time, interval_join
 from starkeel.operators.sampling import bernoulli, number_in_order
 from starkeel.operators.skew import SLICES, hot_keys, lookup_join
 
@@ -156,3 +156,13 @@ def test_sampling_is_repeatable_and_near_its_rate(spark):
     assert a != {r[0] for r in bernoulli(df, "id", 0.15, 43).collect()}
     assert bernoulli(df, "id", 1.0, 1).count() == 20_000
     assert bernoulli(df, "id", 0.0, 1).count() == 0
+
+
+def test_a_long_version_is_cut_only_where_its_key_has_facts(spark):
+    facts = facts_of(spark, [(1, 0), (1, 1), (2, 40_000), (3, 5)])
+    versions = versions_of(spark, [(1, -9000, 90_000), (2, 0, 50_000), (4, 0, 50_000)])
+    for period, pieces in (("day", 3), ("week", 2), ("month", 2), ("year", 2)):
+        _, cut = _cut_time(facts, versions, "key", "ts", "start_date", "end_date", period)
+        assert cut.count() == pieces
+        joined = interval_join(facts, versions, "key", "ts", period=period, how="left")
+        assert rows_of(joined, "id", "version") == [(0, 0), (1, 0), (2, 1), (3, None)]
