@@ -10,7 +10,7 @@ from samples import rows_of
 
 import __spark_entry__ as driver
 from starkeel.operators.digests import changed_by_digest, differing, within
-from starkeel.operators.distinct import count_bitmaps, id_bitmaps, merge_bitmaps
+from starkeel.operators.distinct import count_bitmaps, count_words, id_bitmaps, id_words, merge_bitmaps, merge_words
 from starkeel.operators.intervals import interval_join
 from starkeel.operators.scd1 import changed_rows
 from starkeel.operators.sweep import as_of_sweep
@@ -144,3 +144,23 @@ def test_ranks_are_found_by_halving(spark):
     df = spark.createDataFrame([(float(x),) for x in (0, 1, 3, 5, 5.5, 8, 9, 99)] + [(None,)], "x double")
     got = [r[0] for r in df.select(layout._rank(F.col("x"), limits)).collect()]
     assert got[:-1] == np.searchsorted(limits, [0, 1, 3, 5, 5.5, 8, 9, 99], side="right").tolist() and got[-1] == 0
+
+
+def test_distinct_ids_by_words(spark):
+    rng = random.Random(4)
+    rows = [
+        (d, rng.choice("ab"), rng.choice([None, rng.randrange(-300, 300), rng.randrange(0, 40), 2**63 - 1, -(2**63)]))
+        for d in range(5) for _ in range(400)
+    ]
+    df = spark.createDataFrame([*rows, (9, "c", None)], "day int, g string, id bigint")
+    counted = df.filter("id is not null")
+    days = id_words(df, ["day", "g"], "id")
+    assert rows_of(count_words(merge_words(days, ["g"]), ["g"]), "g", "n") == rows_of(
+        counted.groupBy("g").agg(F.count_distinct("id").alias("n")), "g", "n"
+    )
+    assert rows_of(count_words(days, ["day", "g"]), "day", "g", "n") == rows_of(
+        counted.groupBy("day", "g").agg(F.count_distinct("id").alias("n")), "day", "g", "n"
+    )
+    # Scattered ids are not sorted as 4 kB each: words meet in hash tables.
+    plan = driver.queries()["monthly_orders_by_bitmap"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
