@@ -11,9 +11,9 @@ be is thus decided by each region itself: where few signatures share a short
 prefix, neighbours meet at that depth, and where thousands do, only those
 with the longest common prefixes stand side by side.
 
-Candidates are confirmed on the full sets. Rounds follow as long as one finds a
-link: each passes over neighbours that are already in the same component, so
-that a document of a dense region meets those it is not yet linked to. They
+Candidates are confirmed on the full sets, in two rounds at every size: a cheap
+one, and one that passes over neighbours that are already in the same component,
+so that a document of a dense region meets those it is not yet linked to. They
 only make components large at little cost; what they leave out, a last pass
 makes up for. In a region with few members outside its largest component, these
 are held against all members. Regions with more are taken together by that
@@ -57,6 +57,8 @@ FIRST_WINDOW = 1
 # Neighbours looked at in each order, and how many of them become candidates.
 WINDOW = 32
 BEST = 2
+# Bits that tell texts whose sets are wanted from most others; 64 of them are a row of a broadcast table.
+TEXT_BITS = 1 << 26
 # Members outside its largest component up to which a region compares them one by one.
 SPARSE = 4
 # Bands of weight up to the weight that two members may have together.
@@ -260,6 +262,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
+    # The signatures are in the classes now, once for each set.
+    features = work.write(features.drop("signature"), "sizes")
+    work.drop("features")
     links = _links(rows, classes, percent, work)
     labels = links.select(F.col("u").alias("node"), F.col("v").alias("label"))
     of_set = classes.select("set_a", "set_b", "node", F.col("first.doc_id").alias("doc_id")).join(labels, "node", "left")
@@ -267,8 +272,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     least = of_set.groupBy("label").agg(F.min("doc_id").alias("label_id"))
     of_set = of_set.join(least, "label").select("set_a", "set_b", "label_id")
     found = (
-        features.drop("signature")
-        .join(of_set, ["set_a", "set_b"], "left")
+        features.join(of_set, ["set_a", "set_b"], "left")
         .withColumn(
             "component_id",
             F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("label_id")),
@@ -316,10 +320,10 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
     forest_schema = "tree int, key binary, node bigint, component bigint, sketch binary"
     star = rows.sparkSession.createDataFrame([], "u bigint, v bigint")
     checked = sets = None
-    members = classes.select("node", "signature")
-    trees, window, round_ = FIRST_TREES, FIRST_WINDOW, 0
-    while True:
-        labelled = members.join(star.select(F.col("u").alias("node"), F.col("v").alias("label")), "node", "left")
+    for round_, (trees, window) in enumerate([(FIRST_TREES, FIRST_WINDOW), (TREES, WINDOW)]):
+        labelled = classes.select("node", "signature").join(
+            star.select(F.col("u").alias("node"), F.col("v").alias("label")), "node", "left"
+        )
         labelled = labelled.select("node", "signature", F.coalesce("label", "node").alias("component"))
         forest = (
             labelled.mapInArrow(_forest(trees), forest_schema)
@@ -332,16 +336,7 @@ def _links(rows: DataFrame, classes: DataFrame, percent: int, work: Workspace) -
         new = work.write(new, f"new-{round_}")
         links, sets = _confirmed(new, classes, rows, sets, percent, work, str(round_))
         checked = new if checked is None else checked.unionByName(new)
-        if round_ and links.isEmpty():
-            break
         star = components(star.unionByName(links), work, f"components-{round_}")
-        if round_:
-            # Who met nobody new is left to the last pass, which takes all classes.
-            met = new.select(F.col("u").alias("node")).union(new.select("v")).distinct()
-            members = classes.join(met, "node", "left_semi").select("node", "signature")
-        else:
-            trees, window = TREES, WINDOW
-        round_ += 1
     regions = _open_regions(classes, star, work)
     rest = _few(regions, percent).unionByName(_many(regions, classes, rows, sets, percent, work))
     rest = work.write(rest.distinct().join(checked, ["u", "v"], "left_anti"), "new-last")
@@ -362,12 +357,24 @@ def _with_sets(
     nodes = work.write(nodes, f"nodes-{name}")
     keys = ["doc_id", "text_key"]
     # Rows that share id and text are one.
-    texts = rows.join(nodes, keys).groupBy("node", *keys).agg(F.first("text").alias("text")).select("node", "text")
+    texts = _with_texts_of(rows, nodes).join(nodes, keys).groupBy("node", *keys).agg(F.first("text").alias("text")).select("node", "text")
     found = work.write(texts.mapInArrow(_sets, "node bigint, shingles binary"), f"sets-{name}")
     work.drop(f"nodes-{name}")
     return found if sets is None else sets.unionByName(found)
 
 
+def _with_texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose text no node has, so that these are not shuffled.
+
+    One bit of a table with a bound tells; rows that share it with a node stay.
+    """
+    place = F.shiftright(F.col("text_key").bitwiseAND(F.lit(TEXT_BITS - 1)), 6)
+    bit = F.expr("shiftleft(1L, cast(text_key & 63 as int))")
+    wanted = nodes.groupBy(place.alias("place")).agg(F.bit_or(bit).alias("bits"))
+    found = rows.withColumn("place", place).join(F.broadcast(wanted), "place")
+    return found.filter(F.col("bits").bitwiseAND(bit) != 0).drop("place", "bits")
+
+
 def _confirmed(
     new: DataFrame, classes: DataFrame, rows: DataFrame, sets: DataFrame | None, percent: int, work: Workspace, name: str
 ) -> tuple[DataFrame, DataFrame]:

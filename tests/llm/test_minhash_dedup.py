@@ -256,3 +256,32 @@ def test_pivots_alone_find_every_link(spark):
             old, new = sorted((label[r["u"]], label[r["v"]]), reverse=True)
             label = [new if k == old else k for k in label]
     assert label == linked(sets, 85) and len(set(label)) < len(sets)
+
+
+def test_as_many_rounds_at_every_size(spark, monkeypatch):
+    """Each further round reads all sets again; what two rounds leave is the last pass's."""
+    rows, names = just_below(3), []
+    write = minhash_dedup.Workspace.write
+
+    def noted(self, df, name):
+        names.append(name)
+        return write(self, df, name)
+
+    monkeypatch.setattr(minhash_dedup.Workspace, "write", noted)
+    assert got(minhash_dedup.near_duplicates(spark.createDataFrame(rows, DOCS))) == expected(rows)
+    assert [n for n in names if n.startswith("new-")] == ["new-0", "new-1", "new-last"]
+
+
+def test_texts_that_nobody_compares_are_left_where_they_are(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(1000)], DOCS)
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    nodes = rows.filter("doc_id % 50 = 0").select("doc_id", "text_key")
+    found = [r["doc_id"] for r in minhash_dedup._with_texts_of(rows, nodes).collect()]
+    assert set(range(0, 1000, 50)) <= set(found) and len(found) < 25
+    # With bits that many texts share, rows stay that need not; none is lost.
+    monkeypatch.setattr(minhash_dedup, "TEXT_BITS", 64)
+    found = [r["doc_id"] for r in minhash_dedup._with_texts_of(rows, nodes).collect()]
+    assert set(range(0, 1000, 50)) <= set(found) and len(found) < 1000
+    monkeypatch.setattr(minhash_dedup, "TEXT_BITS", 1)
+    docs = just_below(4, groups=2, size=30)
+    assert got(minhash_dedup.near_duplicates(spark.createDataFrame(docs, DOCS))) == expected(docs)
