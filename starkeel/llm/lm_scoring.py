@@ -51,6 +51,10 @@ WINDOW = 32
 CONTEXT = 8
 # Words whose ids a worker remembers.
 REMEMBERED = 200_000
+# Words at most whose counts every worker gets; the counts of all others meet their texts in a join.
+COMMON = 1 << 18
+# What a word adds to a base score is summed over partitions in units of this, so that their order makes no difference.
+UNIT = 2.0**-32
 # Passes over all training ids, whatever their number.
 PASSES = 2
 # Windows a step of training takes at once.
@@ -98,13 +102,19 @@ def _ids(word: bytes, encoder) -> list[int]:
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers from 0 on in as few bytes each as the largest one needs; the first byte tells how many."""
+    """Numbers from 0 on in as few bytes each as the largest one needs; the first byte tells how many.
+
+    All lowest bytes come first, then all second ones: small numbers leave the later ones alike,
+    so that a stored table holds little more than what they tell.
+    """
     kind = np.min_scalar_type(int(numbers.max(initial=0)))
-    return bytes([kind.itemsize]) + numbers.astype(kind.newbyteorder("<")).tobytes()
+    flat = numbers.astype(kind.newbyteorder("<")).view(np.uint8)
+    return bytes([kind.itemsize]) + flat.reshape(-1, kind.itemsize).T.tobytes()
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
+    planes = np.frombuffer(packed, np.uint8, offset=1).reshape(packed[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{packed[0]}").ravel().astype(np.int64)
 
 
 class _Segment:
@@ -135,6 +145,11 @@ class _Segment:
         train = np.bincount(inverse, np.concatenate(self.train), len(hashes)).astype(np.int64)
         shift = np.cumsum([0, *map(len, self.hashes[:-1])])
         words = np.concatenate([inverse[w + s] for w, s in zip(self.words, shift, strict=True)])
+        # Frequent words get the small numbers.
+        order = np.argsort(-np.bincount(words, minlength=len(hashes)), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        hashes, at, train, words = hashes[order], at[order], train[order], rank[words]
         spelt = np.concatenate(self.spelt)[at]
         subs = [_ids(w, encoder) for w in spelt]
         lengths = np.array([len(s) for s in subs], dtype=np.int64)
@@ -191,52 +206,55 @@ def _segments(path: str):
 
 
 def _vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per segment and distinct word: hash, training count, segment, place."""
+    """One row per segment and distinct training word: hash and training count."""
     for batch in batches:
-        for seg, hashes, train in zip(*(batch.column(c).to_pylist() for c in ("seg", "hashes", "train")), strict=True):
-            h = np.frombuffer(hashes, np.int64)
+        for hashes, train in zip(*(batch.column(c).to_pylist() for c in ("hashes", "train")), strict=True):
             n = _unpack(train)
+            h, n = np.frombuffer(hashes, np.int64)[n > 0], n[n > 0]
             for a in range(0, len(h), 50_000):
                 b = min(len(h), a + 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(h[a:b]), pa.array(n[a:b])], ["word", "n"])
+
+
+@dataclass(frozen=True)
+class Common:
+    """Hashes of the words of the highest training counts, ascending, and these counts."""
+
+    hashes: np.ndarray
+    counts: np.ndarray
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """Training counts of some words; 0 for those that are not common."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.counts[at], 0)
+
+
+def _rare(shared):
+    """One row per text and distinct word that is not common: hash, segment, place of the text in it, occurrences."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            hashes = np.frombuffer(row["hashes"], np.int64)
+            words, n_words = _unpack(row["words"]), _unpack(row["n_words"])
+            rare = (shared.value.of(hashes) == 0)[words]
+            text = np.repeat(np.arange(len(n_words)), n_words)[rare]
+            pairs, n = np.unique(words[rare] * len(n_words) + text, return_counts=True)
+            word, text = np.divmod(pairs, max(1, len(n_words)))
+            for a in range(0, len(pairs), 50_000):
+                b = min(len(pairs), a + 50_000)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h[a:b]),
+                        pa.array(hashes[word[a:b]]),
+                        pa.array(np.full(b - a, row["seg"])),
+                        pa.array(text[a:b].astype(np.int32)),
                         pa.array(n[a:b]),
-                        pa.array(np.full(b - a, seg)),
-                        pa.array(np.arange(a, b, dtype=np.int32)),
                     ],
-                    ["word", "n", "seg", "place"],
+                    ["word", "seg", "at", "n"],
                 )
 
-
-def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places and counts of a segment in two arrays, from rows sorted by segment."""
-    now, places, counts = None, [], []
-
-    def closed():
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([now], pa.int64()),
-                pa.array([_pack(np.concatenate(places))], pa.binary()),
-                pa.array([_pack(np.concatenate(counts))], pa.binary()),
-            ],
-            ["seg", "places", "counts"],
-        )
-
-    for batch in batches:
-        seg = batch.column("seg").to_numpy()
-        cuts = [0, *(np.flatnonzero(seg[1:] != seg[:-1]) + 1).tolist(), len(seg)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a == b:
-                continue
-            if now is not None and seg[a] != now:
-                yield closed()
-                places, counts = [], []
-            now = int(seg[a])
-            places.append(batch.column("place").to_numpy()[a:b])
-            counts.append(batch.column("c").to_numpy()[a:b])
-    if now is not None:
-        yield closed()
+    return run
 
 
 @dataclass(frozen=True)
@@ -562,7 +580,7 @@ def learn(segments: DataFrame) -> tuple[Classes, Model]:
 
 def _score(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, model, ends, total, distinct = shared.value
+        classes, model, common, ends, total, distinct = shared.value
         scale = np.log10(total + SMOOTH * (distinct + 1)) if total else np.log10(SMOOTH)
         for row in _rows(batches):
             stream, within, starts = _streams(row, classes)
@@ -570,14 +588,14 @@ def _score(shared):
             logs = model.score(stream, starts).astype(np.float64) + within
             score = np.bincount(text, logs, len(starts) - 1) / np.log(10)
             words, n_words = _unpack(row["words"]), _unpack(row["n_words"])
-            known = np.zeros(len(_unpack(row["sub_lengths"])), dtype=np.int64)
-            if row["places"] is not None:
-                known[_unpack(row["places"])] = _unpack(row["counts"])
+            known = common.of(np.frombuffer(row["hashes"], np.int64))
             of_word = np.repeat(np.arange(len(n_words)), n_words)
             base = np.bincount(of_word, np.log10(known + SMOOTH)[words], len(n_words)) + np.log10(ends + SMOOTH)
             n = n_words + 1
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(np.full(len(n), row["seg"])),
+                    pa.array(np.arange(len(n), dtype=np.int32)),
                     pa.array(row["doc_ids"], pa.int64()),
                     pa.array(row["held"], pa.bool_()),
                     pa.array(n),
@@ -586,7 +604,7 @@ def _score(shared):
                     pa.array(base - n * scale),
                     pa.array(score),
                 ],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                ["seg", "at", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
     return run
@@ -602,9 +620,10 @@ def score(docs: DataFrame, held: Column, path: str) -> DataFrame:
     uniform over classes. An empty table gives an empty result.
 
     Word counts cover all training texts: a segment's distinct words are
-    counted before they are shuffled, joined with the totals by word (frequent
-    words are in many segments and AQE splits them), and the totals return to
-    their segment as one array.
+    counted before they are shuffled. The highest counts, ``COMMON`` at most,
+    go to all workers. Every other word is joined with its count by word, once
+    per text that has it, and what it adds returns to the text as a sum, so
+    neither texts nor words that are in most segments are shuffled again.
     """
     work = Workspace(docs.sparkSession, "lm-scoring")
     rows = docs.select(
@@ -615,27 +634,43 @@ def score(docs: DataFrame, held: Column, path: str) -> DataFrame:
     ends, size = rows.agg(F.count_if(~F.col("held")), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, math.ceil((size / PART_BYTES) ** PART_POWER))
     dealt = rows.repartition(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text", "held")
-    segments = work.write(dealt.mapInArrow(_segments(path), SEGMENTS), "segments")
-    found = segments.select("seg", "hashes", "train").mapInArrow(
-        _vocabulary, "word bigint, n bigint, seg bigint, place int"
-    )
-    counts = found.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
+    segments = work.write(dealt.mapInArrow(_segments(path), SEGMENTS), "segments", compression="zstd")
+    found = segments.select("hashes", "train").mapInArrow(_vocabulary, "word bigint, n bigint")
+    counts = found.groupBy("word").agg(F.sum("n").alias("c"))
     counts = work.write(counts, "counts")
-    distinct, total = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    back = found.select("word", "seg", "place").join(counts, "word").select("seg", "place", "c")
-    back = back.repartition("seg").sortWithinPartitions("seg", "place")
-    back = back.mapInArrow(_packed, "seg bigint, places binary, counts binary")
-    classes, model = learn(segments)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (classes, model, ends, total + ends, distinct + int(ends > 0))
+    by_length = counts.groupBy(F.length(F.bin("c")).alias("bits")).agg(F.count("*").alias("n"), F.sum("c").alias("c"))
+    by_length = by_length.orderBy(F.desc("bits")).collect()
+    distinct, total = sum(r["n"] for r in by_length), sum(r["c"] for r in by_length)
+    least, above = 1 << 62, 0
+    for r in by_length:
+        above += r["n"]
+        if above > COMMON:
+            break
+        least = 1 << (r["bits"] - 1)
+    listed = counts.filter(F.col("c") >= least).orderBy("word").toPandas()
+    common = Common(listed["word"].to_numpy(np.int64), listed["c"].to_numpy(np.int64))
+    context = docs.sparkSession.sparkContext
+    rare = segments.select("seg", "n_words", "words", "hashes").mapInArrow(
+        _rare(context.broadcast(common)), "word bigint, seg bigint, at int, n bigint"
     )
-    whole = segments.select("seg", "doc_ids", "held", "n_words", "words", "sub", "sub_lengths")
-    # As many tasks as parts: the work is in the texts, which are far larger than what is shuffled.
-    whole, back = whole.repartition(parts, "seg"), back.repartition(parts, "seg")
-    scored = whole.join(back, "seg", "left").mapInArrow(
+    more = F.round((F.log10(F.col("c") + SMOOTH) - math.log10(SMOOTH)) / UNIT).cast("bigint")
+    rare = rare.join(counts.filter(F.col("c") < least), "word").groupBy("seg", "at")
+    rare = work.write(rare.agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * more).alias("more")), "rare")
+    classes, model = learn(segments)
+    shared = context.broadcast((classes, model, common, ends, total + ends, distinct + int(ends > 0)))
+    scored = segments.select("seg", "doc_ids", "held", "n_words", "words", "hashes", "sub", "sub_lengths").mapInArrow(
         _score(shared),
-        "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-        "base_score double, score double",
+        "seg bigint, at int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+        "train_tokens bigint, base_score double, score double",
+    )
+    scored = scored.join(rare, ["seg", "at"], "left").select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        "train_tokens",
+        (F.col("base_score") + F.coalesce("more", F.lit(0)) * UNIT).alias("base_score"),
+        "score",
     )
     result = work.write(scored, "result")
     work.keep("result")

@@ -53,6 +53,30 @@ def test_many_segments_count_alike(spark, documents, monkeypatch):
     close([tuple(r)[:6] for r in got], base(rows, lambda i: i % 3 == 0))
 
 
+@pytest.mark.parametrize("common", [0, 40])
+def test_words_counted_by_the_join_count_like_common_ones(spark, documents, monkeypatch, common):
+    """Also words that several segments share, and words that only held-out texts have."""
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    monkeypatch.setattr(M, "COMMON", common)
+    monkeypatch.setattr(M, "SEGMENT_BYTES", 10_000)
+    got = M.score(documents.repartition(3), F.col("doc_id") % 3 == 0, RANKS).collect()
+    close([tuple(r)[:6] for r in got], base(rows, lambda i: i % 3 == 0))
+
+
+def test_texts_are_shuffled_once(documents, monkeypatch):
+    """After they were dealt, no segment and no word that is everywhere goes through a shuffle."""
+    plans, write = {}, M.Workspace.write
+
+    def spy(self, df, name, **options):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(self, df, name, **options)
+
+    monkeypatch.setattr(M.Workspace, "write", spy)
+    M.score(documents, F.col("doc_id") % 3 == 0, RANKS)
+    assert "Repartition" in plans.pop("segments")
+    assert not any("Repartition" in plan for plan in plans.values())
+
+
 def test_awkward_rows(awkward, empty):
     got = M.score(awkward, F.col("doc_id") % 2 == 0, RANKS).collect()
     rows = [(r["doc_id"], r["text"]) for r in awkward.collect()]
@@ -261,6 +285,14 @@ def test_numbers_are_packed_in_as_few_bytes_as_they_need():
     assert M._unpack(M._pack(np.empty(0, np.int64))).tolist() == []
 
 
+def test_packed_numbers_compress():
+    """Frequent words have small numbers, whose upper bytes are alike."""
+    rng = np.random.default_rng(3)
+    words = [f"w{int(i)}" for i in rng.zipf(1.2, 200_000) % 90_000]
+    packed = segment_row([" ".join(words)])["words"]
+    assert len(zlib.compress(packed)) < 0.7 * len(packed)
+
+
 def test_weights_keep_their_places():
     own = model(4)
     again = model(9).with_weights(own.flat())
