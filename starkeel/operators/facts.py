@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import date_key, open_end
+from ..functions import date_key, id_key, open_end, version_key
 from ..lineage import stored
 from .conform import REASON
 from .intervals import HALF_OPEN, interval_join
@@ -39,6 +39,7 @@ def resolve_orders(
     stage: Stage = stored,
     of_customers: Sequence[str] = (),
     of_products: Sequence[str] = (),
+    keys_derived: bool = False,
 ) -> DataFrame:
     """Attach to each order the customer version of its date and its product.
 
@@ -54,7 +55,14 @@ def resolve_orders(
 
     ``of_customers`` and ``of_products`` are further columns of the versions and
     products found; without ``seen`` only.
+
+    With ``keys_derived`` the caller vouches that the keys are those that
+    :func:`.scd2.scd2_merge` and :func:`.scd1.scd1_upsert` give, and that ids have
+    one type: then the start of the version travels, and the digests are made
+    after the last shuffle. For orders with both partners only.
     """
+    if keys_derived and (how != "inner" or seen is not None):
+        raise ValueError("keys are derived for orders with both partners, and not for dimensions as seen")
     placed = orders.select(*_ORDER_COLUMNS, *([seen] if seen else []))
     created = F.to_timestamp("order_date")
     if seen is not None:
@@ -62,21 +70,28 @@ def resolve_orders(
             raise ValueError("further columns are not defined for dimensions as seen")
         placed = placed.withColumn("created_at", created)
         return _resolve_as_seen(placed, customers, products, rows_per_slice, how, seen, stage)
-    versions = customers.select("customer_id", "customer_key", "start_date", "end_date", *of_customers)
-    items = products.select("product_id", "product_key", F.col("price").alias("price_each"), *of_products)
+    stored_keys = [] if keys_derived else ["customer_key"], [] if keys_derived else ["product_key"]
+    versions = customers.select("customer_id", *stored_keys[0], "start_date", "end_date", *of_customers)
+    items = products.select("product_id", *stored_keys[1], F.col("price").alias("price_each"), *of_products)
     # The order date stands for its midnight, which is added after the shuffles.
     with_customer = interval_join(
         placed, versions, "customer_id", "order_date", bounds=bounds, how=how,
         period=period, rows_per_slice=rows_per_slice, spread_by="order_id", stage=stage,
-    ).drop("start_date", "end_date")
+    ).drop("end_date", *([] if keys_derived else ["start_date"]))
     hot = (
         stage(hot_keys(placed, ["product_id"], rows_per_slice), "hot")
         if rows_per_slice is not None else None
     )
-    return lookup_join(
+    resolved = lookup_join(
         with_customer, items, "product_id", how=how, hot=hot,
         spread_by=F.col("order_id"),
     ).withColumn("created_at", created)
+    if not keys_derived:
+        return resolved
+    return resolved.withColumns({
+        "customer_key": version_key(F.col("customer_id"), F.col("start_date")),
+        "product_key": id_key(F.col("product_id")),
+    }).drop("start_date")
 
 
 def _resolve_as_seen(
@@ -101,9 +116,12 @@ def _resolve_as_seen(
 
 def fact_rows(resolved: DataFrame, *more: str) -> DataFrame:
     """Resolved orders with both partners, as rows of the fact table, and ``more`` of their columns."""
-    return resolved.filter(
-        F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
-    ).select(
+    found = resolved.filter(F.col("customer_key").isNotNull() & F.col("product_key").isNotNull())
+    return _fact_columns(found, *more)
+
+
+def _fact_columns(resolved: DataFrame, *more: str) -> DataFrame:
+    return resolved.select(
         "order_id", "customer_key", "product_key",
         date_key(F.col("order_date")).alias("order_date_key"),
         "quantity", "price_each", "total_amount", "order_status", "created_at", *more,
@@ -114,7 +132,7 @@ def build_fact(
     orders: DataFrame, customers: DataFrame, products: DataFrame,
     bounds: str = HALF_OPEN, period: str | None = None,
     rows_per_slice: int | None = None, of_customers: Sequence[str] = (),
-    of_products: Sequence[str] = (),
+    of_products: Sequence[str] = (), keys_derived: bool = False,
 ) -> DataFrame:
     """Orders with the customer version valid at the order date.
 
@@ -124,9 +142,11 @@ def build_fact(
     """
     resolved = resolve_orders(
         orders, customers, products, bounds, period, rows_per_slice, how="inner",
-        of_customers=of_customers, of_products=of_products,
+        of_customers=of_customers, of_products=of_products, keys_derived=keys_derived,
     )
-    return fact_rows(resolved, *of_customers, *of_products)
+    # Derived keys are never NULL; asking would make the digests below the joins.
+    rows = _fact_columns if keys_derived else fact_rows
+    return rows(resolved, *of_customers, *of_products)
 
 
 def unmatched(resolved: DataFrame, *more: str) -> DataFrame:

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from samples import rows_of
 
 from starkeel.operators.dedup import latest, pool
+from starkeel.operators.facts import build_fact, resolve_orders
 from starkeel.operators.intervals import _cut_time, interval_join
 from starkeel.operators.sampling import bernoulli, number_in_order
 from starkeel.operators.skew import SLICES, hot_keys, lookup_join
+from starkeel.plans import workload as w
 
 EPOCH = dt.datetime(2026, 1, 1)
 
@@ -166,3 +168,19 @@ def test_a_long_version_is_cut_only_where_its_key_has_facts(spark):
         assert cut.count() == pieces
         joined = interval_join(facts, versions, "key", "ts", period=period, how="left")
         assert rows_of(joined, "id", "version") == [(0, 0), (1, 0), (2, 1), (3, None)]
+
+
+@pytest.mark.parametrize("bounds", ["[)", "[]"])
+def test_keys_made_after_the_joins_are_the_stored_ones(spark, bounds):
+    """And nothing below the last join carries a digest."""
+    d = "/root/testdata/sf0.001"
+    star = w.order_batch(spark, d), w.customer_dim(spark, d), w.product_dim(spark, d)
+    made = build_fact(*star, bounds=bounds, keys_derived=True)
+    kept = build_fact(*star, bounds=bounds)
+    assert made.dtypes == kept.dtypes
+    assert made.count() > 0
+    assert made.exceptAll(kept).count() == kept.exceptAll(made).count() == 0
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan[plan.index("Join"):]
+    with pytest.raises(ValueError, match="both partners"):
+        resolve_orders(*star, keys_derived=True)
