@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import math
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -49,8 +50,6 @@ FREQUENT = 896
 WIDTH = 16
 WINDOW = 32
 CONTEXT = 8
-# Words whose ids a worker remembers.
-REMEMBERED = 200_000
 # Words at most whose counts every worker gets; the counts of all others meet their texts in a join.
 COMMON = 1 << 18
 # What a word adds to a base score is summed over partitions in units of this, so that their order makes no difference.
@@ -72,8 +71,44 @@ SEGMENTS = (
 )
 
 
+@dataclass(frozen=True)
+class Encoder:
+    """A vocabulary's encoder, and the number of bytes of each id's token."""
+
+    encoding: object
+    sizes: np.ndarray
+
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, each with a space before it, and how many each word has.
+
+        Words are encoded in one text: no pre-token goes on past a space, save in white
+        space. A word that holds some other white space is therefore encoded by itself.
+        """
+        text = b" ".join([b"", *words]).decode("utf-8", "replace")
+        if not _ODD.search(text):
+            return self._joined(text)
+        words = text.split(" ")[1:]
+        odd = np.array([bool(_ODD.search(w)) for w in words])
+        plain, lengths = self._joined("".join(" " + w for w, o in zip(words, odd, strict=True) if not o))
+        alone = [self.encoding.encode_ordinary(" " + words[i]) for i in np.flatnonzero(odd)]
+        own = np.array([len(ids) for ids in alone])
+        counts = np.empty(len(words), np.int64)
+        counts[odd], counts[~odd] = own, lengths
+        # Where an odd word stands among the ids of the plain ones.
+        before = np.cumsum(np.where(odd, 0, counts))[odd]
+        return np.insert(plain, np.repeat(before, own), [i for ids in alone for i in ids]), counts
+
+    def _joined(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.encoding.encode_to_numpy(text, disallowed_special=()).astype(np.uint16)
+        begins = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == ord(" "))
+        return ids, np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), begins, side="right"), append=len(ids))
+
+
+_ODD = re.compile(r"[^\S ]")
+
+
 @functools.lru_cache(maxsize=2)
-def _encoder(path: str):
+def _encoder(path: str) -> Encoder:
     """The vocabulary's encoder; a file of ranks in base64, one token a line."""
     import base64
 
@@ -85,20 +120,9 @@ def _encoder(path: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     if max(ranks.values()) >= 1 << 16:
         raise ValueError("ids are kept in 16 bits: the vocabulary may hold 65,536 tokens at most")
-    return tiktoken.Encoding("subwords", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
-
-
-_memory: dict[bytes, list[int]] = {}
-
-
-def _ids(word: bytes, encoder) -> list[int]:
-    found = _memory.get(word)
-    if found is None:
-        found = encoder.encode_ordinary(" " + word.decode("utf-8", "replace"))
-        if len(_memory) >= REMEMBERED:
-            _memory.clear()
-        _memory[word] = found
-    return found
+    sizes = np.zeros(1 << 16, np.int64)
+    sizes[list(ranks.values())] = [len(token) for token in ranks]
+    return Encoder(tiktoken.Encoding("subwords", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={}), sizes)
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -140,7 +164,7 @@ class _Segment:
         self.spelt.append(np.array([flat[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], object))
         self.size += len(data)
 
-    def row(self, seg: int, encoder) -> tuple:
+    def row(self, seg: int, encoder: Encoder) -> tuple:
         hashes, at, inverse = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
         train = np.bincount(inverse, np.concatenate(self.train), len(hashes)).astype(np.int64)
         shift = np.cumsum([0, *map(len, self.hashes[:-1])])
@@ -151,9 +175,7 @@ class _Segment:
         rank[order] = np.arange(len(order))
         hashes, at, train, words = hashes[order], at[order], train[order], rank[words]
         spelt = np.concatenate(self.spelt)[at]
-        subs = [_ids(w, encoder) for w in spelt]
-        lengths = np.array([len(s) for s in subs], dtype=np.int64)
-        flat = np.array([i for s in subs for i in s], dtype=np.uint16)
+        flat, lengths = encoder.ids(spelt.tolist())
         used = np.bincount(flat, np.repeat(train, lengths)) if len(flat) else np.empty(0)
         ids = np.flatnonzero(used)
         return (
@@ -277,21 +299,39 @@ class Classes:
         return cls(of, np.log((counts + 0.5) / total[of]).astype(np.float32))
 
 
-def _streams(row: dict, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all ids of a segment's texts, each text closed by 0; their log weight within; text starts."""
+def _streams(row: dict, classes: Classes, training: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of all ids of a segment's texts (or training texts), each text closed by 0; their log weight within; text starts."""
     words, n_words, sub, lengths = (_unpack(row[c]) for c in ("words", "n_words", "sub", "sub_lengths"))
-    begins = np.cumsum(lengths) - lengths
+    if training:
+        own = ~np.array(row["held"], dtype=bool)
+        words, n_words = words[np.repeat(own, n_words)], n_words[own]
+    # The end of a text is one more word, of the id 0 alone.
+    of, within = np.append(classes.of[sub], np.int32(0)), np.append(classes.within[sub], np.float32(0))
+    lengths = np.append(lengths, 1)
+    after = np.cumsum(n_words)
+    words = np.insert(words, after, len(lengths) - 1)
     own = lengths[words]
     ends = np.cumsum(own)
-    at = np.repeat(begins[words] - (ends - own), own) + np.arange(int(ends[-1]) if len(ends) else 0)
-    ids = sub[at]
-    after = np.cumsum(n_words)
-    close = np.concatenate([[0], ends])[after]
-    return (
-        np.insert(classes.of[ids], close, 0),
-        np.insert(classes.within[ids], close, 0),
-        np.concatenate([[0], close + np.arange(1, len(close) + 1)]),
-    )
+    begins = np.cumsum(lengths) - lengths
+    at = np.repeat(begins[words] - (ends - own), own)
+    at += np.arange(len(at))
+    return of[at], within[at], np.concatenate([[0], ends[after + np.arange(len(after))]])
+
+
+class _Scratch:
+    """Arrays that are written anew at every step, by name: a task asks the system for their memory once."""
+
+    def __init__(self):
+        self.kept = {}
+
+    def __call__(self, name: str, kind: np.dtype, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        if size > self.kept.get((name, kind), np.empty(0)).size:
+            self.kept[name, kind] = np.empty(size, kind)
+        return self.kept[name, kind][:size].reshape(shape) if size else np.empty(shape, kind)
+
+
+_scratch = _Scratch()
 
 
 @dataclass
@@ -328,26 +368,31 @@ class Model:
 
     def with_weights(self, flat: np.ndarray) -> Model:
         sizes = np.cumsum([self.weights[n].size for n in sorted(self.weights)])
-        parts = np.split(flat.astype(np.float32), sizes[:-1])
+        parts = np.split(flat.astype(np.float32, copy=False), sizes[:-1])
         shaped = {n: p.reshape(self.weights[n].shape) for n, p in zip(sorted(self.weights), parts, strict=True)}
         return Model(shaped, self.groups, self.members)
 
-    def attend(self, before: np.ndarray) -> tuple:
+    def attend(self, before: np.ndarray, first: int = 0) -> tuple:
         """Attention over windows: ``before`` (windows x places) holds the preceding classes.
 
         Places past a text's end come last in its window, where the causal mask
-        keeps them from every place before.
+        keeps them from every place before. Only places from ``first`` on look
+        back. Queries, keys and values are products of the inputs x, so weights are
+        multiplied first: the logits are (x q k') x', what a place gathers is (a x) v.
         """
         w = self.weights
-        x = w["e"][before]
+        kind, shape = w["e"].dtype, (len(before), before.shape[1] - first, WIDTH)
+        x = np.take(w["e"], before, axis=0, out=_scratch("x", kind, *before.shape, WIDTH), mode="clip")
         x += w["p"]
-        q, k, v = np.split(x @ np.concatenate([w["q"], w["k"], w["v"]], axis=1), 3, axis=2)
-        s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(WIDTH**-0.5)
-        s = _exp(s)
-        s *= _CAUSAL
-        s /= s.sum(axis=2, keepdims=True)
-        return x, q, k, v, s, x + s @ v
+        r = _product(x, w["q"] @ w["k"].T * kind.type(WIDTH**-0.5), _scratch("r", kind, *x.shape))
+        a = _scratch("a", kind, *shape[:2], before.shape[1])
+        _exp(np.matmul(r[:, first:], x.transpose(0, 2, 1), out=a))
+        a *= _CAUSAL[first:]
+        a *= _parts(a)
+        u = np.matmul(a, x, out=_scratch("u", kind, *shape))
+        h = _product(u, w["v"], _scratch("h", kind, *shape))
+        h += x[:, first:]
+        return x, r, a, u, h
 
     def step(self, before: np.ndarray, target: np.ndarray, valid: np.ndarray | None = None) -> dict[str, np.ndarray]:
         """Gradients of the mean log loss over one batch of windows.
@@ -355,49 +400,65 @@ class Model:
         Places that are not ``valid`` come last in their window and add nothing.
         """
         w = self.weights
-        x, q, k, v, a, h = self.attend(before)
+        kind, scale = w["e"].dtype, w["e"].dtype.type(WIDTH**-0.5)
+        x, r, a, u, h = self.attend(before)
         y = target.ravel()
-        places = np.arange(y.size) if valid is None else np.flatnonzero(valid.ravel())
+        places = np.arange(y.size) if valid is None else np.flatnonzero(valid)
         # Rows of one group stand side by side.
         places = places[_order(y[places] // MEMBERS)]
-        flat, prev = h.reshape(-1, WIDTH)[places], before.ravel()[places]
-        n, (group, member) = len(places), np.divmod(y[places], MEMBERS)
-        row = np.arange(n)
-        z = _softmax(flat @ w["g"] + self.groups[prev])
-        z[row, group] -= 1
-        dh = z @ w["g"].T
+        n = len(places)
+        flat = np.take(h.reshape(-1, WIDTH), places, axis=0, out=_scratch("flat", kind, n, WIDTH), mode="clip")
+        prev, chosen, row = before.ravel()[places], y[places], np.arange(n)
+        group = chosen // MEMBERS
+        runs = _runs(group)
+        z = self.outer(flat, prev)
+        z *= _parts(z)
+        z.reshape(-1)[row * GROUPS + group] -= 1
+        back = np.matmul(z, w["g"].T, out=_scratch("back", kind, n, WIDTH))
         grads = {"g": flat.T @ z, "m": np.zeros_like(w["m"])}
-        z = _softmax(self.inner(flat, prev, group))
-        z[row, member] -= 1
-        for g, at in _runs(group):
-            grads["m"][g] = flat[at].T @ z[at]
-            dh[at] += z[at] @ w["m"][g].T
-        whole = np.zeros((before.size, WIDTH), dh.dtype)
-        whole[places] = dh
-        dh = whole.reshape(h.shape)
-        da = dh @ v.transpose(0, 2, 1)
-        da -= (da * a).sum(axis=2, keepdims=True)
-        da *= a
-        da *= np.float32(WIDTH**-0.5)
-        inputs = np.concatenate([da @ k, da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh], axis=2)
-        dx = inputs @ np.concatenate([w["q"], w["k"], w["v"]], axis=1).T
-        dx += dh
-        de = np.zeros_like(w["e"])
-        order = _order(before.ravel())
-        known = before.ravel()[order]
-        cuts = np.flatnonzero(np.concatenate([[True], known[1:] != known[:-1]]))
-        de[known[cuts]] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], cuts, axis=0)
-        inputs = x.reshape(-1, WIDTH).T @ inputs.reshape(-1, 3 * WIDTH)
-        grads |= dict(zip("qkv", np.split(inputs, 3, axis=1), strict=True)) | {"e": de, "p": dx.sum(axis=0)}
+        z = self.inner(flat, prev, group, runs)
+        z *= _parts(z)
+        z.reshape(-1)[row * MEMBERS + chosen - group * MEMBERS] -= 1
+        inner = _scratch("inner", kind, n, WIDTH)
+        for g, at in runs:
+            np.dot(flat[at].T, z[at], out=grads["m"][g])
+            np.dot(z[at], w["m"][g].T, out=inner[at])
+        back += inner
+        dh = _scratch("dh", kind, *x.shape)
+        if n < y.size:
+            dh[...] = 0
+        dh.reshape(-1, WIDTH)[places] = back
+        du = _product(dh, w["v"].T, _scratch("du", kind, *x.shape))
+        ds = np.matmul(du, x.transpose(0, 2, 1), out=_scratch("ds", kind, *a.shape))
+        ds -= np.einsum("bij,bij->bi", du, u)[:, :, None]
+        ds *= a
+        dr = np.matmul(ds, x, out=_scratch("dr", kind, *x.shape))
+        product = _flat(x).T @ _flat(dr) * scale
+        grads |= {"q": product @ w["k"], "k": product.T @ w["q"], "v": _flat(u).T @ _flat(dh)}
+        # An input is met as what is added, as a query, as a key and as a value.
+        dh += np.matmul(a.transpose(0, 2, 1), du, out=u)
+        dh += np.matmul(ds.transpose(0, 2, 1), r, out=u)
+        dh += _product(dr, w["k"] @ w["q"].T * scale, u)
+        grads["p"] = (np.ones(len(dh), kind) @ dh.reshape(len(dh), -1)).reshape(w["p"].shape)
+        places = np.take(_PLACES, before, axis=0)
+        grads["e"] = np.bincount(places.ravel(), dh.ravel(), w["e"].size).reshape(w["e"].shape)
         # All gradients so far are of the sum over the rows.
         return {name: g / n for name, g in grads.items()}
 
-    def inner(self, flat: np.ndarray, prev: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """Logits of the members of each row's group; rows of one group stand side by side."""
-        z = self.members.reshape(-1, MEMBERS)[prev * GROUPS + group]
-        for g, at in _runs(group):
-            z[at] += flat[at] @ self.weights["m"][g]
-        return z
+    def outer(self, flat: np.ndarray, prev: np.ndarray) -> np.ndarray:
+        """Weights of the groups, not yet divided by their sum."""
+        z = np.matmul(flat, self.weights["g"], out=_scratch("z", flat.dtype, len(flat), GROUPS))
+        z += np.take(self.groups, prev, axis=0, out=_scratch("rows", self.groups.dtype, *z.shape), mode="clip")
+        return _exp(z)
+
+    def inner(self, flat: np.ndarray, prev: np.ndarray, group: np.ndarray, runs: list[tuple[int, slice]]) -> np.ndarray:
+        """Weights of the members of each row's group, not yet divided by their sum; rows of one group stand side by side."""
+        z = _scratch("z", flat.dtype, len(flat), MEMBERS)
+        for g, at in runs:
+            np.dot(flat[at], self.weights["m"][g], out=z[at])
+        rows, members = prev.astype(np.int64) * GROUPS + group, self.members.reshape(-1, MEMBERS)
+        z += np.take(members, rows, axis=0, out=_scratch("rows", members.dtype, *z.shape), mode="clip")
+        return _exp(z)
 
     def score(self, stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Natural log probability of each id's class, given the ids before it in its text."""
@@ -407,40 +468,55 @@ class Model:
         windows = 1 + np.maximum(0, -(-(sizes - WINDOW) // stride))
         text = np.repeat(np.arange(len(sizes)), windows)
         number = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
-        begin = starts[text] + number * stride
+        begin, end = starts[text] + number * stride, starts[text + 1]
         before = np.concatenate([[0], stream[:-1]])
         before[starts[:-1]] = 0
         out = np.empty(len(stream), dtype=np.float32)
-        w = self.weights
-        for a in range(0, len(text), 256):
-            at = begin[a : a + 256, None] + np.arange(WINDOW)
-            valid = at < starts[text[a : a + 256] + 1][:, None]
-            at = np.where(valid, at, 0)
-            prev = before[at]
-            hidden = self.attend(prev)[-1]
-            own = valid.copy()
-            own[number[a : a + 256] > 0, :CONTEXT] = False
-            at = at[own]
-            order = _order(stream[at] // MEMBERS)
-            prev, hidden, at = prev[own][order], hidden[own][order], at[order]
-            group, member = np.divmod(stream[at], MEMBERS)
-            logs = _log_of(hidden @ w["g"] + self.groups[prev], group)
-            out[at] = logs + _log_of(self.inner(hidden, prev, group), member)
+        for first, of_kind in ((0, np.flatnonzero(number == 0)), (CONTEXT, np.flatnonzero(number))):
+            for a in range(0, len(of_kind), 256):
+                own = of_kind[a : a + 256]
+                at = begin[own, None] + np.arange(WINDOW)
+                valid = at < end[own, None]
+                at = np.where(valid, at, 0)
+                hidden = self.attend(before[at], first)[-1].reshape(-1, WIDTH)
+                places = np.flatnonzero(valid[:, first:])
+                at = at[:, first:].ravel()[places]
+                order = _order(stream[at] // MEMBERS)
+                at = at[order]
+                prev, chosen, hidden = before[at], stream[at], hidden[places[order]]
+                group, row = chosen // MEMBERS, np.arange(len(at))
+                z = self.outer(hidden, prev)
+                p = z[row, group] * _parts(z)[:, 0]
+                z = self.inner(hidden, prev, group, _runs(group))
+                out[at] = np.log(p) + np.log(z[row, chosen - group * MEMBERS] * _parts(z)[:, 0])
         return out
 
 
+_PLACES = np.arange(CLASSES * WIDTH).reshape(CLASSES, WIDTH)
+
+
+def _flat(rows: np.ndarray) -> np.ndarray:
+    return rows.reshape(-1, rows.shape[-1])
+
+
+def _product(rows: np.ndarray, weights: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Rows of all windows times weights, in one product."""
+    np.matmul(_flat(rows), weights, out=_flat(out))
+    return out
+
+
+def _parts(z: np.ndarray) -> np.ndarray:
+    """What one unit of each row is of the row's sum."""
+    sums = _flat(z) @ np.ones(z.shape[-1], z.dtype)
+    return (1 / sums).reshape(*z.shape[:-1], 1)
+
+
 def _exp(z: np.ndarray) -> np.ndarray:
     """Weights of a softmax. Logits count up to ``LIMIT`` either way, so neither a weight nor a sum can overflow or vanish."""
     np.clip(z, -LIMIT, LIMIT, out=z)
     return np.exp(z, out=z)
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    _exp(z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
-
-
 def _log_of(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log softmax of the chosen column of each row."""
     _exp(z)
@@ -452,12 +528,10 @@ def _order(values: np.ndarray) -> np.ndarray:
     return np.argsort(values.astype(np.uint16), kind="stable")
 
 
-def _runs(values: np.ndarray) -> Iterator[tuple[int, slice]]:
+def _runs(values: np.ndarray) -> list[tuple[int, slice]]:
     """Each distinct value of a sorted array and where it stands."""
-    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        if a < b:
-            yield int(values[a]), slice(a, b)
+    cuts = np.flatnonzero(np.diff(values, prepend=-1, append=-1)).tolist() if len(values) else [0]
+    return [(int(values[a]), slice(a, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _CAUSAL = np.tri(WINDOW, dtype=np.float32)
@@ -487,18 +561,18 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
 
 def _training(row: dict, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
     """The stream of a segment's training texts, each closed by 0, and where they start."""
-    stream, _, starts = _streams(row, classes)
-    sizes, held = np.diff(starts), np.array(row["held"], dtype=bool)
-    return stream[np.repeat(~held, sizes)], np.concatenate([[0], np.cumsum(sizes[~held])])
+    stream, _, starts = _streams(row, classes, training=True)
+    return stream, starts
 
 
 class _Training:
     """Weights on their way, by Adam."""
 
     def __init__(self, initial: Model):
-        self.model = Model(dict(initial.weights), initial.groups, initial.members)
-        self.first = {n: np.zeros_like(w) for n, w in initial.weights.items()}
-        self.second = {n: np.zeros_like(w) for n, w in initial.weights.items()}
+        self.flat = initial.flat().astype(np.float32)
+        # The model's weights are views of the flat ones.
+        self.model = initial.with_weights(self.flat)
+        self.first, self.second = np.zeros_like(self.flat), np.zeros_like(self.flat)
         self.steps = self.windows = 0
 
     def segment(self, stream: np.ndarray, starts: np.ndarray) -> None:
@@ -522,11 +596,20 @@ class _Training:
     def update(self, grads: dict[str, np.ndarray]) -> None:
         self.steps += 1
         rate = RATE * (1 - 0.99**self.steps) ** 0.5 / (1 - 0.9**self.steps)
-        for n, g in grads.items():
-            self.first[n] += 0.1 * (g - self.first[n])
-            self.second[n] += 0.01 * (g * g - self.second[n])
-            change = rate * self.first[n] / (np.sqrt(self.second[n]) + 1e-8)
-            self.model.weights[n] = self.model.weights[n] - change.astype(np.float32)
+        g = np.concatenate([grads[n].ravel() for n in sorted(grads)], dtype=np.float32, casting="same_kind")
+        change = _scratch("change", g.dtype, len(g))
+        np.subtract(g, self.first, out=change)
+        change *= np.float32(0.1)
+        self.first += change
+        g *= g
+        g -= self.second
+        g *= np.float32(0.01)
+        self.second += g
+        np.sqrt(self.second, out=g)
+        g += np.float32(1e-8)
+        np.divide(self.first, g, out=change)
+        change *= np.float32(rate)
+        self.flat -= change
 
 
 def _train(shared):

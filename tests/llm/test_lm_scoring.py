@@ -297,3 +297,41 @@ def test_weights_keep_their_places():
     own = model(4)
     again = model(9).with_weights(own.flat())
     assert all(np.array_equal(again.weights[n], w) for n, w in own.weights.items())
+
+
+def test_words_are_encoded_together(monkeypatch):
+    """As if each stood alone, also beside other white space and broken bytes; one call for all plain words."""
+    encoder, rng = M._encoder(RANKS), np.random.default_rng(12)
+    parts = ["a", "'s", "!", "12", "é", "你", "\U0001f600", "\x00", " ", "　", "\x85", "\x1c"]
+    words = ["".join(rng.choice(parts, n)).encode() for n in rng.integers(1, 7, 500)] + [b"\xe4\xbd", b"ok\xff"]
+    alone = [encoder.encoding.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in words]
+    for own, expected in ((words, alone), ([], []), (words[-1:], alone[-1:])):
+        ids, lengths = encoder.ids(own)
+        assert lengths.tolist() == [len(e) for e in expected]
+        assert ids.tolist() == [i for e in expected for i in e]
+    calls = Counter()
+
+    class Spy:
+        def __getattr__(self, name):
+            calls[name] += 1
+            return getattr(encoder.encoding, name)
+
+    M.Encoder(Spy(), encoder.sizes).ids([b"word%d" % i for i in range(1000)])
+    assert sum(calls.values()) == 1
+
+
+def test_a_step_uses_its_memory_again():
+    """What a step allocates is far less than the arrays it works on."""
+    import tracemalloc
+
+    own, rng = model(7), np.random.default_rng(8)
+    before, target = rng.integers(0, M.CLASSES, (2, M.BATCH, M.WINDOW))
+    expected = own.step(before, target)
+    tracemalloc.start()
+    try:
+        again = own.step(before, target)
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert all(np.array_equal(again[n], g) for n, g in expected.items())
+    assert peak < 3 << 20
